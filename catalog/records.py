@@ -100,7 +100,7 @@ SELECT record_id AS scryfall_oracle_id, CAST(face_index AS INTEGER) AS face_inde
        source AS name, 'normal' AS layout, CAST(length(line) AS FLOAT) AS mana_value,
        lang AS type_line, line AS oracle_text,
        1 AS n_formats, 'Legal' AS legal_en,
-       CASE WHEN length(line) > 200 THEN true END AS brawl,
+       length(line) > 200 AS has_skills,
        0 AS n_rulings, 0 AS n_urls,
        length(line) > 100 AS is_reserved, false AS is_funny,
        CAST(n_chars AS INTEGER) AS edhrec_rank, 'v1' AS source_version,
@@ -117,7 +117,7 @@ def normalize_faces(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "scryfall_oracle_id", "face_index", "name", "layout", "mana_value", "type_line", "oracle_text",
         F.size("legalities").alias("n_formats"), F.col("legalities")["en"].alias("legal_en"),
-        F.try_element_at("leadership_skills", F.lit("brawl")).alias("brawl"),
+        F.col("leadership_skills").isNotNull().alias("has_skills"),
         F.size("rulings").alias("n_rulings"), F.size("purchase_urls").alias("n_urls"),
         "is_reserved", "is_funny", "edhrec_rank", "source_version", "content_hash",
     )
