@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 
-def matcher():
+def matcher(digits: int):
     """A function for one stream of vector batches.
 
+    Similarities are rounded to ``digits`` decimals before they are compared.
     It is built inside a function so that it travels to the executors by
     value and does not need this package there.
     """
@@ -59,7 +60,7 @@ def matcher():
                         pick = np.flatnonzero(rough[:, j] >= floor[j] - 1e-9)
                         with np.errstate(invalid="ignore", divide="ignore"):
                             sims = (v[pick] * q_matrix[q]).sum(axis=1) / (v_norm[pick] * q_norm[q])
-                        keep(q, ids[pick], sims)
+                        keep(q, ids[pick], np.round(sims, digits))
 
         for q, found in best.items():
             sims = found["similarity"].astype(object).where(found["similarity"].notna(), None)

@@ -15,6 +15,10 @@ from loreweave.operators.kernel import matcher
 from loreweave.operators.ranking import top_k
 from loreweave.sources.staging import stage
 
+# Decimals of a similarity that count: what differs only beyond them (the order
+# in which a sum was taken) is a tie, and ties go to the smaller id.
+DIGITS = 12
+
 # Query vectors that one broadcast may hold, in rows and in floats (64 MB in
 # doubles). More queries than that are matched block by block instead.
 BROADCAST_ROWS = 20_000
@@ -99,7 +103,8 @@ def similar_cards(
 
 def _scored(vectors: DataFrame, query: Sequence[float], vector_col: str) -> DataFrame:
     kept = vectors.filter(F.col(vector_col).isNotNull())
-    return kept.withColumn("similarity", cosine(F.col(vector_col), vector_literal(query)))
+    exact = cosine(F.col(vector_col), vector_literal(query))
+    return kept.withColumn("similarity", F.round(exact, DIGITS))
 
 
 CARD_SOURCES = ("card_name", "card_text")
@@ -180,7 +185,7 @@ def _broadcast_match(base: DataFrame, rows: pa.Table, k: int, out: T.StructType)
     ids = np.array(rows.column("query_id").to_pylist(), dtype=object)
     cells = np.array(rows.column("cell").to_pylist(), dtype="int64")
     shared = base.sparkSession.sparkContext.broadcast((ids, matrix, cells))
-    match = matcher()
+    match = matcher(DIGITS)
 
     def run(batches):
         q_ids, q_matrix, q_cells = shared.value
@@ -201,7 +206,7 @@ def _blocked_match(
     right = wanted.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn(
         "vb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(v_blocks - 1).cast("bigint")))
     )
-    match = matcher()
+    match = matcher(DIGITS)
 
     def run(v, q):
         import numpy as np
