@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loreweave.sources.staging import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -13,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents for work that is heavy per text."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 class Catalog:
     """Queries by name with their optional SQL."""
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, table, texts
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
 from loreweave.plans.jobs import embed_source
@@ -32,7 +32,7 @@ def books(spark: SparkSession, sf: str) -> DataFrame:
     terms = F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit("\n"), F.col("lang"))), "\n\n")
     top = "Contents\n1. Game Concepts\nGlossary\nCredits\n\n1. Game Concepts\n"
     text = F.concat(F.lit(top), body, F.lit("\nGlossary\n"), terms, F.lit("\nCredits\nend"))
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), text.alias("text"))
+    return texts(spark, sf, "doc_id", "lang", "text").select(F.col("doc_id").alias("doc"), text.alias("text"))
 
 
 _HEAD = r"^\d{3}(\.\d+[a-z]?)?\.?\s"
@@ -81,7 +81,7 @@ def rules_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "doc_id", "source", "lang", "n_chars", "text").select(
         F.col("doc_id").cast("string").alias("scryfall_oracle_id"), F.lit(0).alias("face_index"),
         F.concat_ws(" ", "source", "lang").alias("name"),
         F.when(F.col("n_chars") > 100, F.col("text")).alias("oracle_text"),
@@ -164,7 +164,7 @@ def pending_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, 64 AS width,
        round(CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, 3) AS norm FROM documents""")
 def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.hashing_backend(64).embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    out = E.hashing_backend(64).embed(texts(spark, sf, "doc_id", "text"), "text")
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return out.select("doc_id", F.size("embedding").alias("width"), F.round(F.sqrt(norm), 3).alias("norm"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, table, texts
 from catalog.search import _COS
 from loreweave.operators import taxonomy as X
 from loreweave.operators.tagging import tag_arrays, tag_texts
@@ -202,13 +202,13 @@ WITH h AS (
 
 @catalog.add(_TAGS + " SELECT doc_id, key FROM tags")
 def tags(spark: SparkSession, sf: str) -> DataFrame:
-    return tag_texts(table(spark, sf, "documents"), "doc_id", "text", hints(spark, sf))
+    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf))
 
 
 @catalog.add(_TAGS + " SELECT doc_id, key FROM tags")
 def tags_by_grams(spark: SparkSession, sf: str) -> DataFrame:
     """The same when the hints are too many to test inside each row."""
-    return tag_texts(table(spark, sf, "documents"), "doc_id", "text", hints(spark, sf), inline=0)
+    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf), inline=0)
 
 
 @catalog.add(_TAGS + " SELECT doc_id, string_agg(key, '|' ORDER BY key) AS tags FROM tags GROUP BY doc_id")
@@ -251,7 +251,7 @@ def fan_out_texts(spark: SparkSession, sf: str) -> DataFrame:
     from loreweave.operators.embedding import hashing_backend
 
     model = hashing_backend(64)
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf, "doc_id", "text").withColumnRenamed("doc_id", "id")
     vectors = model.embed(docs, "text").select("id", "embedding")
     tax = tree(spark, sf)
     return fan_out(terms(spark, sf), tax, vectors, model, 5)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, table, texts
 from loreweave.functions import notation as T
 
 catalog = Catalog()
@@ -37,7 +37,7 @@ EXPECTED = [
 
 def written_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in notation, named by their first word or first two words."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "doc_id", "lang", "text")
     text = reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), WRITTEN, F.col("text"))
     first, second = (F.split_part("text", F.lit(" "), F.lit(n)) for n in (1, 2))
     name = F.when(F.col("lang").isin("en", "fr"), F.concat(first, F.lit(" // "), second)).otherwise(first)

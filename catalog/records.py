@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, table, texts
 from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
@@ -24,7 +24,7 @@ catalog = Catalog()
 
 
 def line_entries(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "doc_id", "source", "lang", "n_chars", "text")
 
     def face(line):
         record = F.when(F.length(line) >= 12, F.md5(line))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, table, texts
 from loreweave.functions.vectors import id_oracle
 from loreweave.operators import ann
 from loreweave.operators import checks as K
@@ -172,7 +172,7 @@ PHRASES = ["the th", "QUE", "a_d", "in%on", "100%", "no such phrase"]
 WITH phrases AS (SELECT unnest(['the th', 'QUE', 'a_d', 'in%on', '100%', 'no such phrase']) AS phrase)
 SELECT phrase, count(doc_id) AS n FROM phrases LEFT JOIN documents ON text ILIKE '%' || phrase || '%' GROUP BY phrase""")
 def phrase_count(spark: SparkSession, sf: str) -> DataFrame:
-    return S.phrase_counts(table(spark, sf, "documents"), "text", PHRASES)
+    return S.phrase_counts(texts(spark, sf, "text"), "text", PHRASES)
 
 
 @catalog.add("""

@@ -71,9 +71,17 @@ SELF_TOKEN = "this card"
 _WHOLE = {**{n: f"{w} generic mana" for n, w in NUMBERS.items()}, **BASIC_MANA, **SPECIAL}
 _HYBRID_PART = {**{n: f"{w} generic" for n, w in NUMBERS.items()}, **COLOURS}
 
-# Splits a text into symbols and the stretches between them; joining the
-# tokens gives the text back.
-_TOKENS = r"\{[^}]+\}|[^{]+|\{"
+# Splits a text into plain stretches, symbols and single signs; joining the
+# tokens gives the text back. The first pattern takes nearly all of a Latin
+# text, the third other scripts, the last whatever is left, one sign at a time:
+# it covers all of NON_ASCII.
+_TOKENS = "|".join([
+    r"[\x00-z|-\x7f\xbe-\u024f]+",
+    r"\{[^}]+\}",
+    r"[\u0250-\u02e2\u02e4-\u03bf\u03c1-\u2013\u2667-\ua788\ua78a-\x{10ffff}]+",
+    r"(?s:.)",
+])
+_MARKED = r"[{\u00b2-\u00bd\u02e3\u03c0\u2014-\u2666\ua789]"
 
 
 def _lookup(table: dict[str, str]) -> Column:
@@ -110,21 +118,6 @@ def _spaced(c: Column) -> Column:
     return F.replace(c, F.lit("}{"), F.lit("}, {"))
 
 
-def expand_symbols(text: Column) -> Column:
-    """Replace every braced symbol; a text without braces is passed through."""
-
-    def one(tok: Column) -> Column:
-        is_symbol = F.startswith(tok, F.lit("{")) & F.endswith(tok, F.lit("}"))
-        return F.when(
-            is_symbol, expand_symbol(F.substr(tok, F.lit(2), F.length(tok) - 2))
-        ).otherwise(tok)
-
-    tokens = F.regexp_extract_all(_spaced(text), F.lit(_TOKENS), F.lit(0))
-    return F.when(
-        F.contains(text, F.lit("{")), F.array_join(F.transform(tokens, one), "")
-    ).otherwise(text)
-
-
 def plain_ascii(text: Column) -> Column:
     """Replace the known non-ASCII signs; other characters stay."""
     single = {a: b for a, b in NON_ASCII.items() if len(b) == 1}
@@ -135,6 +128,34 @@ def plain_ascii(text: Column) -> Column:
     return out
 
 
+def expand_symbols(text: Column) -> Column:
+    """Replace braced symbols and then the known signs, in one pass over the text."""
+
+    in_braces = _lookup({f"{{{s}}}": words for s, words in _WHOLE.items()})
+    signs = _lookup(NON_ASCII)
+
+    def one(tok: Column) -> Column:
+        inner = F.substr(tok, F.lit(2), F.length(tok) - 2)
+        symbol = F.endswith(tok, F.lit("}"))
+        return (
+            F.when(
+                F.startswith(tok, F.lit("{")),
+                # Signs inside a symbol are replaced after the symbol is read.
+                F.coalesce(
+                    F.try_element_at(in_braces, tok),
+                    F.when(symbol, plain_ascii(expand_symbol(inner))).otherwise(tok),
+                ),
+            )
+            .when(F.octet_length(tok) <= 3, F.coalesce(F.try_element_at(signs, tok), tok))
+            .otherwise(tok)
+        )
+
+    tokens = F.regexp_extract_all(_spaced(text), F.lit(_TOKENS), F.lit(0))
+    return F.when(
+        F.regexp(text, F.lit(_MARKED)), F.array_join(F.transform(tokens, one), "")
+    ).otherwise(text)
+
+
 def hide_name(text: Column, name: Column) -> Column:
     """Replace a record's own name, then the single parts of an ``A // B`` name."""
     name = F.coalesce(name, F.lit(""))
@@ -152,7 +173,8 @@ def hide_name(text: Column, name: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Runs of blanks and tabs become one blank; line breaks stay."""
-    return strip(F.regexp_replace(text, r"[ \t]+", " "))
+    has_runs = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t"))
+    return strip(F.when(has_runs, F.regexp_replace(text, r"[ \t]+", " ")).otherwise(text))
 
 
 def expand_notation(
@@ -172,7 +194,7 @@ def expand_notation(
     if strip_reminder:
         text = F.regexp_replace(text, r"\(([^()]*)\)", "")
     df = df.withColumn(out_col, text)
-    df = df.withColumn(out_col, plain_ascii(expand_symbols(F.col(out_col))))
+    df = df.withColumn(out_col, expand_symbols(F.col(out_col)))
     if name_col is not None:
         df = df.withColumn(out_col, hide_name(F.col(out_col), F.col(name_col)))
     return df.withColumn(out_col, squeeze(F.col(out_col)))

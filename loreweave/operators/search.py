@@ -19,6 +19,9 @@ from loreweave.sources.staging import stage
 # in which a sum was taken) is a tie, and ties go to the smaller id.
 DIGITS = 12
 
+# Vectors in one block when blocks of vectors and queries meet.
+BLOCK_ROWS = 20_000
+
 # Query vectors that one broadcast may hold, in rows and in floats (64 MB in
 # doubles). More queries than that are matched block by block instead.
 BROADCAST_ROWS = 20_000
@@ -42,9 +45,10 @@ def phrase_counts(df: DataFrame, text_col: str, phrases: Sequence[str]) -> DataF
     ``%`` and ``_`` in a phrase are wildcards. All phrases are counted in one
     pass over the table, each task sending on one partial count per phrase.
     """
-    t = F.col(text_col)
-    counts = df.agg(*[
-        F.count_if(t.ilike(f"%{p}%")).alias(f"p{i}") for i, p in enumerate(phrases)
+    # Lower case is made once per text, not once per phrase.
+    low = df.select(F.lower(text_col).alias("_low"))
+    counts = low.agg(*[
+        F.count_if(F.col("_low").like(f"%{p.lower()}%")).alias(f"p{i}") for i, p in enumerate(phrases)
     ])
     rows = [F.struct(F.lit(p).alias("phrase"), F.col(f"p{i}").alias("n")) for i, p in enumerate(phrases)]
     return counts.select(F.inline(F.array(*rows)))
@@ -199,7 +203,7 @@ def _blocked_match(
 ) -> DataFrame:
     """Vectors and queries in hash blocks; every pair of blocks meets in one task."""
     q_blocks = -(-wanted.count() // per_block)
-    v_blocks = max(-(-base.count() // per_block), 1)
+    v_blocks = max(-(-base.count() // BLOCK_ROWS), 1)
     left = base.withColumn("vb", F.pmod(F.xxhash64("id", "vector"), F.lit(v_blocks))).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
     )
