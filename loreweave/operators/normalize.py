@@ -104,8 +104,9 @@ def face_columns(face: Column, entry_name: Column, version: Column) -> dict[str,
 def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
     """``(entry_pos, name, faces array<variant>)`` → the card columns.
 
-    Numbering happens inside each row; the only shuffle is the one on the
-    final key, and only one row per key and map task takes part in it.
+    Numbering happens inside each row. The raw face is reduced to its typed
+    columns and its hash before the only shuffle, the one on the final key, in
+    which one row per key and map task takes part.
     """
     version = F.lit(source_version) if isinstance(source_version, str) else source_version
     numbered = entries.select(
@@ -123,11 +124,10 @@ def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
         "entry_name",
         F.col("n.record_id").alias("scryfall_oracle_id"),
         F.col("n.face_index").alias("face_index"),
-        F.col("n.face").alias("raw"),
+        F.col("n.face").cast(schema.FACE).alias("face"),
+        content_hash(F.col("n.face"), schema.HASHED_KEYS).alias("content_hash"),
     )
     kept = keep_canonical(typed, schema.CARD_KEY, "entry_name", "entry_pos")
-    kept = kept.withColumn("content_hash", content_hash(F.col("raw"), schema.HASHED_KEYS))
-    kept = kept.withColumn("face", F.col("raw").cast(schema.FACE))
     columns = face_columns(F.col("face"), F.col("entry_name"), version)
     columns |= {c: F.col(c) for c in ("scryfall_oracle_id", "face_index", "content_hash")}
     return kept.select(*[columns[c].alias(c) for c in schema.CARD_COLUMNS])

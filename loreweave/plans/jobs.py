@@ -15,7 +15,7 @@ from loreweave.operators.embedding import Backend, merge_vectors, pending, with_
 from loreweave.operators.normalize import normalize
 from loreweave.sources.inputs import check_digests, read_books, read_dump
 from loreweave.sources.staging import stage
-from loreweave.sources.warehouse import Warehouse, run_time
+from loreweave.sources.warehouse import Warehouse, check, run_time
 
 log = logging.getLogger(__name__)
 
@@ -32,6 +32,7 @@ def sync_cards(
     now = run_time()
     old = store.cards()
     new = stage(rows.select(*schema.CARD_COLUMNS), "incoming")
+    check(new, schema.CARD_KEY, [c for c in schema.CARD_REQUIRED if c != "updated_at"])
     classes = S.diff(old, new, schema.CARD_KEY)
     changes = stage(classes.filter(F.col("change") != S.UNCHANGED), "changes")
     stamped = new.withColumn("updated_at", F.lit(now))
@@ -46,7 +47,8 @@ def sync_cards(
         "total_cards": total,
     }
     counts["unchanged"] = total - counts["inserted"] - counts["updated"]
-    store.publish_cards(merged, {
+    quiet = not (counts["inserted"] or counts["updated"] or counts["deleted"])
+    store.publish_cards(None if quiet else merged, {
         "started_at": now, "finished_at": now, "source_version": source_version,
         "source_sha256": source_sha256, "status": "success", **counts,
     })
@@ -86,7 +88,7 @@ def embed_source(
     kept = stored.join(changed.select("id", "chunk_index"), ["id", "chunk_index"], "left_anti")
     store.publish_vectors(
         name, kept.select(*schema.VECTORS.fieldNames()).unionByName(fresh), model.width,
-        {"model": model.name, "embedded": n, "finished_at": now},
+        {"model": model.name, "embedded": n, "finished_at": now}, F.col("updated_at") == F.lit(now),
     )
     return n
 

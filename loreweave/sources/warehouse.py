@@ -1,9 +1,9 @@
 """Versioned parquet tables with publish-last semantics.
 
-A run writes complete new snapshots ``…/v=N``, checks what was written, and
-only then appends one row to the log. The log row is both the audit record
-and the commit: readers take the snapshot of the highest logged id, so a
-failed run leaves nothing visible behind.
+A run writes a complete new snapshot ``…/v=N`` and only then appends one row to
+the log. The log row is both the audit record and the commit: readers take the
+snapshot that the last logged run names, so a failed run leaves nothing visible
+behind, and a run without changes writes no snapshot at all.
 """
 
 from __future__ import annotations
@@ -11,13 +11,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave import schema
 
 
+# The logs as stored: with the number of the snapshot that a run made current.
+_LOGS = {
+    "sync_log": T.StructType([*schema.SYNC_LOG.fields, T.StructField("snapshot", T.IntegerType())]),
+    "embed_log": T.StructType([*schema.EMBED_LOG.fields, T.StructField("snapshot", T.IntegerType())]),
+}
+
+
 class ConstraintError(ValueError):
     """Written rows break a key, a NOT NULL column or the vector width."""
 
@@ -56,49 +63,61 @@ class Warehouse:
 
     def init(self) -> None:
         """Create the logs if they are missing; safe to repeat."""
-        for name, layout in (("sync_log", schema.SYNC_LOG), ("embed_log", schema.EMBED_LOG)):
+        for name, layout in _LOGS.items():
             self._empty(layout).write.mode("append").parquet(f"{self.root}/{name}")
 
     def sync_log(self) -> DataFrame:
-        return self._read(f"{self.root}/sync_log", schema.SYNC_LOG)
+        return self._log("sync_log").drop("snapshot")
 
     def embed_log(self) -> DataFrame:
-        return self._read(f"{self.root}/embed_log", schema.EMBED_LOG)
+        return self._log("embed_log").drop("snapshot")
 
     def cards(self) -> DataFrame:
-        version = self._last_id(self.sync_log())
-        if version is None:
+        snapshot = self._current(self._log("sync_log"))
+        if snapshot is None:
             return self._empty(schema.CARDS)
-        return self._read(f"{self.root}/cards/v={version}", schema.CARDS)
+        return self._read(f"{self.root}/cards/v={snapshot}", schema.CARDS)
 
     def vectors(self, source: str) -> DataFrame:
         """The current vectors of one source; other sources are not touched."""
-        version = self._last_id(self.embed_log().filter(F.col("source") == source))
-        if version is None:
+        snapshot = self._current(self._log("embed_log").filter(F.col("source") == source))
+        if snapshot is None:
             return self._empty(schema.VECTORS)
-        return self._read(f"{self.root}/embeddings/{source}/v={version}", schema.VECTORS)
+        return self._read(f"{self.root}/embeddings/{source}/v={snapshot}", schema.VECTORS)
 
     def all_vectors(self) -> DataFrame:
-        current = self.embed_log().groupBy("source").agg(F.max("id").alias("id"))
         out = self._empty(schema.VECTORS)
-        for source in sorted(r.source for r in current.collect()):
-            out = out.unionByName(self.vectors(source))
+        for row in self._log("embed_log").select("source").distinct().orderBy("source").collect():
+            out = out.unionByName(self.vectors(row.source))
         return out
 
     # -- publishing ----------------------------------------------------------
 
-    def publish_cards(self, cards: DataFrame, log: dict) -> int:
-        run = self._next_id(self.sync_log())
-        written = self._write(cards, f"{self.root}/cards/v={run}", schema.CARDS)
-        check(written, schema.CARD_KEY, schema.CARD_REQUIRED)
-        self._append("sync_log", schema.SYNC_LOG, {**log, "id": run})
+    def publish_cards(self, cards: DataFrame | None, log: dict) -> int:
+        """Write and commit the next snapshot; without one, the last snapshot stays current."""
+        current = self._log("sync_log")
+        run = self._next_id(current)
+        snapshot = self._current(current)
+        if cards is not None or snapshot is None:
+            snapshot = run
+            rows = self._empty(schema.CARDS) if cards is None else cards
+            self._write(rows, f"{self.root}/cards/v={run}", schema.CARDS)
+        self._append("sync_log", {**log, "id": run, "snapshot": snapshot})
         return run
 
-    def publish_vectors(self, source: str, vectors: DataFrame, width: int, log: dict) -> int:
-        run = self._next_id(self.embed_log())
+    def publish_vectors(
+        self, source: str, vectors: DataFrame, width: int, log: dict, fresh: Column | None = None
+    ) -> int:
+        """Write, check and commit the vectors of one source.
+
+        ``fresh`` marks the rows that are new; the others have been checked
+        when they were written first.
+        """
+        run = self._next_id(self._log("embed_log"))
         written = self._write(vectors, f"{self.root}/embeddings/{source}/v={run}", schema.VECTORS)
-        check(written, schema.VECTOR_KEY, schema.VECTOR_REQUIRED, "embedding", width)
-        self._append("embed_log", schema.EMBED_LOG, {**log, "id": run, "source": source})
+        suspects = written if fresh is None else written.filter(fresh)
+        check(suspects, schema.VECTOR_KEY, schema.VECTOR_REQUIRED, "embedding", width)
+        self._append("embed_log", {**log, "id": run, "source": source, "snapshot": run})
         return run
 
     # -- helpers -------------------------------------------------------------
@@ -115,18 +134,23 @@ class Warehouse:
         df.select(*columns).write.mode("overwrite").parquet(path)
         return self._read(path, layout)
 
-    def _append(self, name: str, layout: T.StructType, values: dict) -> None:
+    def _log(self, name: str) -> DataFrame:
+        return self._read(f"{self.root}/{name}", _LOGS[name])
+
+    def _append(self, name: str, values: dict) -> None:
+        layout = _LOGS[name]
         row = Row(*[values.get(f) for f in layout.fieldNames()])
         self.spark.createDataFrame([row], layout).coalesce(1).write.mode("append").parquet(
             f"{self.root}/{name}"
         )
 
     @staticmethod
-    def _last_id(log: DataFrame) -> int | None:
-        return log.agg(F.max("id")).first()[0]
+    def _current(log: DataFrame) -> int | None:
+        return log.agg(F.max_by("snapshot", "id")).first()[0]
 
-    def _next_id(self, log: DataFrame) -> int:
-        return (self._last_id(log) or 0) + 1
+    @staticmethod
+    def _next_id(log: DataFrame) -> int:
+        return (log.agg(F.max("id")).first()[0] or 0) + 1
 
 
 def run_time() -> datetime:
