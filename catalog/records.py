@@ -12,7 +12,7 @@ from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
 from loreweave.plans.jobs import sync_cards
-from loreweave.sources.staging import shared_dir
+from loreweave.sources.staging import shared_dir, stage
 from loreweave.sources.warehouse import Warehouse
 
 catalog = Catalog()
@@ -193,7 +193,7 @@ def stale_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def _merged(spark: SparkSession, sf: str, delete_stale: bool) -> DataFrame:
     old, new = snapshot(spark, sf, "old"), snapshot(spark, sf, "new")
-    changes = S.diff(old, new, _KEY)
+    changes = stage(S.diff(old, new, _KEY).filter(F.col("change") != S.UNCHANGED), "changes")
     return S.merge(old, new, _KEY, changes, delete_stale=delete_stale)
 
 

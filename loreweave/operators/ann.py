@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +44,15 @@ def assign_lists(
     unit = centroids / np.where(norms > 0, norms, 1.0)[:, None]
     shared = vectors.sparkSession.sparkContext.broadcast(unit)
 
-    @F.pandas_udf("int")
-    def nearest(v):
+    @F.arrow_udf("int")
+    def nearest(v: pa.Array) -> pa.Array:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         if not len(v):
-            return pd.Series([], dtype="int32")
-        return pd.Series(np.argmax(np.array(v.tolist(), dtype="float64") @ shared.value.T, axis=1))
+            return pa.array([], pa.int32())
+        matrix = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+        return pa.array(np.argmax(matrix.astype("float64") @ shared.value.T, axis=1), pa.int32())
 
     return vectors.filter(F.col(vector_col).isNotNull()).withColumn("list_id", nearest(F.col(vector_col)))
 

@@ -98,10 +98,3 @@ def pending(chunks: DataFrame, stored: DataFrame, *, full_refresh: bool = False)
         stored = stored.withColumn("chunk_hash", F.lit(""))
     key = ["id", "chunk_index", "chunk_hash"]
     return chunks.join(stored.select(*key), key, "left_anti")
-
-
-def merge_vectors(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Stored rows replaced by fresh ones of the same key; ids are never removed."""
-    key = ["id", "chunk_index"]
-    kept = stored.join(fresh.select(*key), key, "left_anti")
-    return kept.unionByName(fresh)

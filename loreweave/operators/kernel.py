@@ -1,69 +1,90 @@
-"""The in-task part of the batch vector search."""
+"""The in-task part of the batch vector search, on Arrow batches."""
 
 from __future__ import annotations
 
 
-def matcher(digits: int):
-    """A function for one stream of vector batches.
+def matcher(k: int, digits: int):
+    """A function over one stream of vector batches: the k best ids per query.
 
     Similarities are rounded to ``digits`` decimals before they are compared.
-    It is built inside a function so that it travels to the executors by
-    value and does not need this package there.
+    The function is built in here so that it travels to the executors by value
+    and does not need this package there.
     """
 
-    def match(batches, q_ids, q_matrix, q_cells, k):
+    def match(batches, q_ids, q_matrix, q_cells):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        if not len(q_ids):
-            return
+        n_queries = len(q_ids)
         q_norm = np.sqrt((q_matrix * q_matrix).sum(axis=1))
+        q_unit = q_matrix / np.where(q_norm > 0, q_norm, 1.0)[:, None]
         by_cell = {c: np.flatnonzero(q_cells == c) for c in np.unique(q_cells)}
-        best: dict[int, pd.DataFrame] = {}
+        floor = np.full(n_queries, -np.inf)  # k-th best so far
+        best = None
 
-        def keep(q, ids, sims):
-            """Fold candidates of query ``q`` into its k best of this task."""
-            found = pd.DataFrame({"id": ids, "similarity": sims})
-            if q in best:
-                found = pd.concat([best[q], found], ignore_index=True)
-            found = found.sort_values(
-                ["similarity", "id"], ascending=[False, True], na_position="last"
-            )
-            best[q] = found.head(k)
+        def exact(v, v_norm, rows, queries):
+            """Similarity of row/query pairs, each summed in the same order."""
+            out = np.empty(len(rows))
+            step = max(4_000_000 // v.shape[1], 1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                for i in range(0, len(rows), step):
+                    r, q = rows[i : i + step], queries[i : i + step]
+                    out[i : i + step] = (v[r] * q_matrix[q]).sum(axis=1) / (v_norm[r] * q_norm[q])
+            return np.round(out, digits)
+
+        def top(found):
+            """The k best rows per query, equal similarities by id."""
+            found = found.take(pc.sort_indices(found, sort_keys=[
+                ("q", "ascending"), ("s", "descending"), ("id", "ascending")
+            ]))
+            q = found.column("q").to_numpy()
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            return found.filter(pa.array(rank < k))
 
         for batch in batches:
-            cells = batch["cell"].to_numpy()
+            cells = batch.column("cell").to_numpy(zero_copy_only=False)
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.reshape(batch.num_rows, -1).astype("float64")
+            found = [] if best is None else [best]
             for cell in np.unique(cells):
                 wanted = by_cell.get(cell)
                 if wanted is None:
                     continue
-                part = batch[cells == cell]
-                ids = part["id"].to_numpy()
-                v = np.array(part["vector"].tolist(), dtype="float64")
+                rows = np.flatnonzero(cells == cell)
+                v = matrix[rows]
                 v_norm = np.sqrt((v * v).sum(axis=1))
                 unit = v / np.where(v_norm > 0, v_norm, 1.0)[:, None]
-                # Bound the product matrix to a few million cells at a time.
                 step = max(4_000_000 // len(v), 1)
                 for i in range(0, len(wanted), step):
                     block = wanted[i : i + step]
-                    scale = np.where(q_norm[block] > 0, q_norm[block], 1.0)
-                    rough = unit @ (q_matrix[block] / scale[:, None]).T
+                    # The product only picks candidates, with some slack.
+                    rough = unit @ q_unit[block].T
                     rough[v_norm == 0] = -2.0
+                    low = floor[block]
                     if len(v) > k:
-                        floor = np.partition(rough, len(v) - k, axis=0)[len(v) - k]
-                    else:
-                        floor = np.full(len(block), -3.0)
-                    for j, q in enumerate(block):
-                        # The product picks candidates with some slack; their
-                        # similarity is then summed row by row, so that equal
-                        # vectors get equal values and ties go by id.
-                        pick = np.flatnonzero(rough[:, j] >= floor[j] - 1e-9)
-                        with np.errstate(invalid="ignore", divide="ignore"):
-                            sims = (v[pick] * q_matrix[q]).sum(axis=1) / (v_norm[pick] * q_norm[q])
-                        keep(q, ids[pick], np.round(sims, digits))
+                        low = np.maximum(low, np.partition(rough, len(v) - k, axis=0)[len(v) - k])
+                    r, q = np.nonzero(rough >= low - 1e-9)
+                    sims = exact(v, v_norm, r, block[q])
+                    found.append(pa.table({
+                        "q": pa.array(block[q], pa.int64()),
+                        "s": pa.array(sims, pa.float64(), mask=np.isnan(sims)),
+                        "id": batch.column("id").take(pa.array(rows[r])),
+                    }))
+            if not found:
+                continue
+            best = top(pa.concat_tables(found))
+            q = best.column("q").to_numpy()
+            last = np.flatnonzero(np.append(q[1:] != q[:-1], True)) if len(q) else q
+            full = last[np.bincount(q, minlength=n_queries)[q[last]] >= k] if len(q) else q
+            kth = best.column("s").fill_null(-2.0).to_numpy()[full]
+            floor[q[full]] = kth
 
-        for q, found in best.items():
-            sims = found["similarity"].astype(object).where(found["similarity"].notna(), None)
-            yield pd.DataFrame({"query_id": q_ids[q], "id": found["id"], "similarity": sims})
+        if best is not None and best.num_rows:
+            yield pa.table({
+                "query_id": q_ids.take(best.column("q")),
+                "id": best.column("id"),
+                "similarity": best.column("s"),
+            })
 
     return match

@@ -33,7 +33,7 @@ def number_rows(
     start numbers come from a count per range. No task ever sorts more than
     one range, however large the key is.
     """
-    df = df.withColumn("_range", F.floor(F.col(pos) / F.lit(span)))
+    df = df.withColumn("_range", F.expr(f"`{pos}` div {span}"))
     split = [*keys, "_range"]
     local = df.withColumn(
         "_n", F.row_number().over(Window.partitionBy(*split).orderBy(pos)) - 1

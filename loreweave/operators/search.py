@@ -184,18 +184,25 @@ def similar_batch(
     return top_k(partial, ["query_id"], k, *order)
 
 
+def _query_arrays(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    vectors = rows.column("query_vector").combine_chunks()
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+    return (
+        rows.column("query_id").combine_chunks(), matrix.astype("float64"), rows.column("cell").to_numpy()
+    )
+
+
 def _broadcast_match(base: DataFrame, rows: pa.Table, k: int, out: T.StructType) -> DataFrame:
-    matrix = np.array(rows.column("query_vector").to_pylist(), dtype="float64")
-    ids = np.array(rows.column("query_id").to_pylist(), dtype=object)
-    cells = np.array(rows.column("cell").to_pylist(), dtype="int64")
-    shared = base.sparkSession.sparkContext.broadcast((ids, matrix, cells))
-    match = matcher(DIGITS)
+    if not rows.num_rows:
+        return base.sparkSession.createDataFrame([], out)
+    shared = base.sparkSession.sparkContext.broadcast(_query_arrays(rows))
+    match = matcher(k, DIGITS)
 
     def run(batches):
-        q_ids, q_matrix, q_cells = shared.value
-        yield from match(batches, q_ids, q_matrix, q_cells, k)
+        for found in match(batches, *shared.value):
+            yield from found.to_batches()
 
-    return base.mapInPandas(run, out)
+    return base.mapInArrow(run, out)
 
 
 def _blocked_match(
@@ -210,23 +217,28 @@ def _blocked_match(
     right = wanted.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn(
         "vb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(v_blocks - 1).cast("bigint")))
     )
-    match = matcher(DIGITS)
+    match = matcher(k, DIGITS)
 
     def run(v, q):
         import numpy as np
-        import pandas as pd
-
-        if not len(v) or not len(q):
-            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
-        matrix = np.array(q["query_vector"].tolist(), dtype="float64")
-        found = match(
-            iter([v]), q["query_id"].to_numpy(dtype=object), matrix,
-            q["cell"].to_numpy(dtype="int64"), k,
-        )
-        return pd.concat(list(found))
+        import pyarrow as pa
+
+        if v.num_rows and q.num_rows:
+            vectors = q.column("query_vector").combine_chunks()
+            matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(q.num_rows, -1)
+            found = list(match(
+                v.combine_chunks().to_batches(), q.column("query_id").combine_chunks(),
+                np.asarray(matrix, dtype="float64"), q.column("cell").to_numpy(),
+            ))
+            if found:
+                return found[0]
+        return pa.table({
+            "query_id": q.column("query_id").slice(0, 0), "id": v.column("id").slice(0, 0),
+            "similarity": pa.array([], pa.float64()),
+        })
 
     key = ["cell", "qb", "vb"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(run, out)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, out)
 
 
 def top1_check(hits: DataFrame, expected: DataFrame) -> DataFrame:

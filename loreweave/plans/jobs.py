@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loreweave import schema
 from loreweave.operators import sync as S
 from loreweave.operators.chunks import SOURCES, ChunkSource
-from loreweave.operators.embedding import Backend, merge_vectors, pending, with_hash
+from loreweave.operators.embedding import Backend, pending, with_hash
 from loreweave.operators.normalize import normalize
 from loreweave.sources.inputs import check_digests, read_books, read_dump
 from loreweave.sources.staging import stage
@@ -19,6 +19,8 @@ from loreweave.sources.warehouse import Warehouse, check, run_time
 
 log = logging.getLogger(__name__)
 
+_CHUNK = ["id", "chunk_index"]
+
 
 def sync_cards(
     store: Warehouse, rows: DataFrame, source_version: str, source_sha256: str,
@@ -72,20 +74,27 @@ def embed_source(
 ) -> int:
     """Embed the chunks of one source that changed; returns how many.
 
-    Changed chunks are written down before the model sees them, and their
-    vectors go straight into the new snapshot, so the model runs once.
+    Changes are found on ids and hashes alone and written down; only the
+    chunks they name get their text built (again) and go to the model, whose
+    vectors are written straight into the new snapshot, so it runs once. On a
+    first load or a full refresh every chunk is new and nothing is compared.
     """
     stored = store.vectors(name)
     hashed = with_hash(chunks.select("id", "chunk_index", "chunk_text"), model.name)
-    changed = stage(pending(hashed, stored, full_refresh=full_refresh), "changed")
-    n = changed.count()
+    if full_refresh or stored.isEmpty():
+        ids = stage(hashed.select(*_CHUNK), "chunk-ids")
+        changed = hashed
+    else:
+        ids = stage(pending(hashed, stored).select(*_CHUNK), "changed-ids")
+        changed = hashed.join(ids, _CHUNK, "left_semi")
+    n = ids.count()
     if n == 0:
         return 0
     now = run_time()
     fresh = model.embed(changed, "chunk_text").withColumns({
         "source": F.lit(name), "model": F.lit(model.name), "updated_at": F.lit(now),
     }).select(*schema.VECTORS.fieldNames())
-    kept = stored.join(changed.select("id", "chunk_index"), ["id", "chunk_index"], "left_anti")
+    kept = stored.join(ids, _CHUNK, "left_anti")
     store.publish_vectors(
         name, kept.select(*schema.VECTORS.fieldNames()).unionByName(fresh), model.width,
         {"model": model.name, "embedded": n, "finished_at": now}, F.col("updated_at") == F.lit(now),
