@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table, texts
-from loreweave.functions.vectors import id_oracle
+from loreweave.functions.vectors import cosine, id_oracle
 from loreweave.operators import ann
 from loreweave.operators import checks as K
 from loreweave.operators import search as S
@@ -71,6 +71,22 @@ def vector_topk_join(spark: SparkSession, sf: str) -> DataFrame:
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
+@catalog.add("""
+SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[],
+         (SELECT list(x ORDER BY i) FROM (SELECT i, avg(v) AS x FROM (
+            SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+          GROUP BY i))::DOUBLE[]), 6) AS similarity
+FROM embeddings""")
+def similarity_to_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Cosine similarity of every vector to the mean vector, in SQL functions."""
+    rows = table(spark, sf, "embeddings")
+    mean = rows.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x"))
+    vector = mean.agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))  # one entry per dimension
+    center = vector.select(F.transform("v", lambda p: p["x"]).alias("v")).first().v
+    to = F.array(*[F.lit(x) for x in center])
+    return rows.select("vec_id", F.round(cosine(F.col("embedding"), to), 6).alias("similarity"))
+
+
 _BATCH = f"""
 WITH {_QUERIES}, scored AS (
   SELECT query_id, e.vec_id AS id, {_COS.format('q.query_vector')} AS s FROM q, embeddings e

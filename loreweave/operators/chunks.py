@@ -81,39 +81,51 @@ def book_sections(books: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame
     )
 
 
-def rule_segments(sections: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame:
-    """Numbered rules of the body: ``doc, pos, id, raw``.
+_RULE, _TERM = 0, 1
+
+
+def book_pieces(sections: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame:
+    """Rules and glossary terms of each book: ``doc, part, pos, id, raw``.
 
     A rule runs from its number at a line start to the next one. Text before
     the first number is dropped, and so are rules that are too short (they
-    still end the one before).
+    still end the one before). Glossary blocks are parted by blank lines and
+    named by their first line. Both parts come out of one pass over the book.
     """
     head = rf"^({fmt.number})\.?{SPACE}"
-    pieces = F.split("body", rf"(?mdU)(?={head})")
-    rows = sections.select("doc", F.posexplode(pieces).alias("pos", "piece"))
-    rows = rows.withColumn("number", F.regexp_extract("piece", rf"(?U){head}", 1))
+
+    def pieces(part: int, texts: Column) -> Column:
+        return F.transform(texts, lambda t, i: F.struct(
+            F.lit(part).alias("part"), i.alias("pos"), t.alias("piece")
+        ))
+
+    both = F.concat(
+        pieces(_RULE, F.split("body", rf"(?mdU)(?={head})")),
+        pieces(_TERM, F.split(strip(F.col("glossary")), "\n\n+")),
+    )
+    rows = sections.select("doc", F.inline(both))
     rows = rows.withColumn("raw", strip(F.col("piece")))
-    return rows.filter((F.col("number") != "") & (F.length("raw") >= fmt.min_rule)).select(
-        "doc", "pos", F.concat(F.lit("rule:"), "number").alias("id"), "raw"
+    is_rule = F.col("part") == _RULE
+    number = F.regexp_extract("piece", rf"(?U){head}", 1)
+    rows = rows.withColumn("name", F.when(is_rule, number).otherwise(strip(F.substring_index("raw", "\n", 1))))
+    long_enough = F.length("raw") >= F.when(is_rule, fmt.min_rule).otherwise(fmt.min_term)
+    kind = F.when(is_rule, "rule:").otherwise("glossary:")
+    return rows.filter(long_enough & ((F.col("name") != "") | ~is_rule)).select(
+        "doc", "part", "pos", F.concat(kind, F.col("name")).alias("id"), "raw"
     )
 
 
+def rule_segments(sections: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame:
+    return book_pieces(sections, fmt).filter(F.col("part") == _RULE).drop("part")
+
+
 def glossary_terms(sections: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame:
-    """Glossary blocks, parted by blank lines: ``doc, pos, id, raw``."""
-    blocks = F.split(strip(F.col("glossary")), "\n\n+")
-    rows = sections.select("doc", F.posexplode(blocks).alias("pos", "block"))
-    rows = rows.withColumn("raw", strip(F.col("block"))).filter(F.length("raw") >= fmt.min_term)
-    term = strip(F.substring_index("raw", "\n", 1))
-    return rows.select("doc", "pos", F.concat(F.lit("glossary:"), term).alias("id"), "raw")
+    return book_pieces(sections, fmt).filter(F.col("part") == _TERM).drop("part")
 
 
 def rules_chunks(books: DataFrame, fmt: BookFormat = BookFormat()) -> DataFrame:
     """Rules and glossary terms in plain language; of equal ids the last one stays."""
-    sections = book_sections(books, fmt)
-    rows = rule_segments(sections, fmt).withColumn("part", F.lit(0)).unionByName(
-        glossary_terms(sections, fmt).withColumn("part", F.lit(1))
-    )
-    rows = last_chunk(rows, ["id"], "doc", "part", "pos")
+    rows = last_chunk(book_pieces(book_sections(books, fmt), fmt), ["id"], "doc", "part", "pos")
     return expand_notation(rows, "raw").select(
         "id", F.lit(0).alias("chunk_index"), F.col("clean_text").alias("chunk_text")
     )

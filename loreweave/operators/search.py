@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loreweave.functions.vectors import cosine, id_face, id_oracle, vector_literal
+from loreweave.functions.vectors import cosine_to, id_face, id_oracle
 from loreweave.operators.kernel import matcher
 from loreweave.operators.ranking import top_k
 from loreweave.sources.staging import stage
@@ -32,8 +32,18 @@ BROADCAST_FLOATS = 8_000_000
 
 
 def lookup(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
-    """Batch equality lookup: each wanted value with its number of matches (0 if none)."""
-    counts = df.groupBy(F.col(column).alias(value)).agg(F.count("*").alias("n"))
+    """Batch equality lookup: each wanted value with its number of matches (0 if none).
+
+    Rows that no value asks for are dropped first; the others are counted
+    before they meet the values, so a frequent value is one row per task.
+    """
+    wanted = values.select(F.col(value).alias(column)).distinct()
+    counts = (
+        df.select(column)
+        .join(wanted, column, "left_semi")
+        .groupBy(F.col(column).alias(value))
+        .agg(F.count("*").alias("n"))
+    )
     return values.join(counts, value, "left").select(
         value, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.col("n").isNotNull().alias("found")
     )
@@ -107,8 +117,7 @@ def similar_cards(
 
 def _scored(vectors: DataFrame, query: Sequence[float], vector_col: str) -> DataFrame:
     kept = vectors.filter(F.col(vector_col).isNotNull())
-    exact = cosine(F.col(vector_col), vector_literal(query))
-    return kept.withColumn("similarity", F.round(exact, DIGITS))
+    return kept.withColumn("similarity", cosine_to(query, DIGITS)(F.col(vector_col)))
 
 
 CARD_SOURCES = ("card_name", "card_text")

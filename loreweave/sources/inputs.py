@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loreweave.sources.staging import spread
+
 _META = "meta struct<date: string, version: string>"
 
 
@@ -17,7 +19,8 @@ def read_dump(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     ``entries`` has one row per name: ``entry_pos`` (order in the file),
     ``name``, ``faces`` (array of variant). A dump is one JSON document, which
-    one task has to parse; many dumps parse in parallel.
+    one task has to parse; its entries are spread over the cores right after.
+    Many dumps parse in parallel.
     """
     dump = (
         spark.read.schema(f"{_META}, data map<string, array<variant>>")
@@ -25,7 +28,7 @@ def read_dump(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         .json(path)
     )
     entries = dump.select(F.posexplode("data").alias("entry_pos", "name", "faces"))
-    return dump.select("meta.*"), entries
+    return dump.select("meta.*"), spread(entries)
 
 
 def read_entry_lines(spark: SparkSession, path: str) -> DataFrame:
