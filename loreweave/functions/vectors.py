@@ -35,7 +35,7 @@ def cosine_to(query: Sequence[float], digits: int):
 
         if not len(v):
             return pa.array([], pa.float64())
-        q = np.array(fixed)
+        q = np.array(fixed, dtype="float32").astype("float64")  # as stored vectors are
         m = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1).astype("float64")
         with np.errstate(invalid="ignore", divide="ignore"):
             s = (m * q).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((q * q).sum()))
