@@ -13,7 +13,7 @@ from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
 from loreweave.plans.jobs import sync_cards
 from loreweave.sources.staging import shared_dir, stage
-from loreweave.sources.warehouse import Warehouse
+from loreweave.sources.warehouse import Warehouse, violations
 
 catalog = Catalog()
 
@@ -62,13 +62,11 @@ WITH lines AS (
 SELECT doc_id, record_id, CAST(face_index AS INTEGER) AS face_index FROM faces
 """)
 def face_index(spark: SparkSession, sf: str) -> DataFrame:
-    entries = line_entries(spark, sf)
     numbered = N.number_faces(
-        F.col("faces"), lambda f: F.try_variant_get(f, "$.identifiers.scryfallOracleId", "string")
-    )
-    return entries.select(F.col("entry_pos").alias("doc_id"), F.explode(numbered).alias("n")).select(
-        "doc_id", "n.record_id", "n.face_index"
+        line_entries(spark, sf), "faces",
+        lambda f: F.try_variant_get(f, "$.identifiers.scryfallOracleId", "string"),
     )
+    return numbered.select(F.col("entry_pos").alias("doc_id"), "record_id", "face_index")
 
 
 @catalog.add("""
@@ -215,6 +213,21 @@ def sync_merge_keep_stale(spark: SparkSession, sf: str) -> DataFrame:
     return _merged(spark, sf, False)
 
 
+@catalog.add("""
+SELECT 'o_orderdate is null' AS "check", 1 AS n WHERE false
+UNION ALL SELECT 'status is null', count(*) FILTER (o_orderstatus = 'P') FROM orders
+UNION ALL SELECT 'width is not 1', count(*) FILTER (o_orderstatus = 'F') FROM orders
+UNION ALL SELECT 'duplicate key', count(*) FROM (
+  SELECT 1 FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1)""")
+def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderpriority", "o_orderdate",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderstatus") == "F", F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.lit(1.0))).alias("v"),
+    )
+    return violations(rows, ["o_custkey", "o_orderpriority"], ["o_orderdate", "status"], "v", 1)
+
+
 def _as_cards(rows: DataFrame) -> DataFrame:
     from loreweave import schema
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,25 +11,52 @@ from loreweave.functions.hashing import content_hash
 from loreweave.operators.ranking import keep_first, number_rows
 
 
-def number_faces(faces: Column, record_id) -> Column:
-    """Array of ``{face, face_index}`` for one entry's array of faces.
+def face_counter(ids: Column) -> Column:
+    """Number of each id among the equal ids before it, for an array of ids.
+
+    All ids of an Arrow batch are counted together, in linear time for arrays
+    of any length; only the ids leave the JVM. Null and empty ids get no number
+    and are not counted.
+    """
+
+    @F.arrow_udf("array<int>")
+    def count(ids: pa.Array) -> pa.Array:
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        codes = ids.flatten().dictionary_encode()
+        row = pc.list_parent_indices(ids).to_numpy(zero_copy_only=False)
+        code = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        empty = pc.index(codes.dictionary, pa.scalar("", codes.dictionary.type)).as_py()
+        dropped = (code == -1) | ((code == empty) if empty >= 0 else False)
+        n = pd.DataFrame({"row": row, "code": code}).groupby(["row", "code"], sort=False).cumcount()
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(n.to_numpy().astype("int32"), mask=np.asarray(dropped))
+        )
+
+    return count(ids)
+
+
+def number_faces(entries: DataFrame, faces: str, record_id) -> DataFrame:
+    """One row per face of each entry's array: ``record_id, face_index, face`` added.
 
     The index counts the faces with the same record id in array order; faces
     without an id are dropped and not counted. All faces of an entry sit in
-    one row, so this needs no shuffle: they are grouped by id inside the row
-    and the position within the group is the index.
+    one row, so numbering them needs no shuffle.
     """
-    tagged = F.filter(
-        F.transform(faces, lambda f: F.struct(record_id(f).alias("id"), f.alias("face"))),
-        lambda t: F.coalesce(t["id"], F.lit("")) != "",
+    counted = entries.withColumn("_ids", F.transform(faces, record_id)).withColumn(
+        "_n", face_counter(F.col("_ids"))
     )
-    return F.flatten(F.transform(F.array(tagged), lambda rows: F.flatten(F.transform(
-        F.array_distinct(F.transform(rows, lambda r: r["id"])),
-        lambda i: F.transform(
-            F.filter(rows, lambda r: r["id"] == i),
-            lambda r, n: F.struct(r["id"].alias("record_id"), n.alias("face_index"), r["face"].alias("face")),
-        ),
-    ))))
+    rows = F.transform("_n", lambda n, i: F.struct(
+        F.get("_ids", i).alias("record_id"), n.alias("face_index"), F.get(faces, i).alias("face")
+    ))
+    kept = F.filter(rows, lambda r: r["face_index"].isNotNull())
+    others = [c for c in entries.columns if c != faces]
+    return counted.select(*others, F.inline(kept))
 
 
 def number_face_rows(df: DataFrame, entry: str, pos: str, record_id: str) -> DataFrame:
@@ -109,25 +137,19 @@ def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
     which one row per key and map task takes part.
     """
     version = F.lit(source_version) if isinstance(source_version, str) else source_version
-    numbered = entries.select(
-        "entry_pos",
-        F.col("name").alias("entry_name"),
-        F.explode(
-            number_faces(
-                F.col("faces"),
-                lambda f: F.try_variant_get(f, "$.identifiers.scryfallOracleId", "string"),
-            )
-        ).alias("n"),
+    numbered = number_faces(
+        entries.withColumnRenamed("name", "entry_name"), "faces",
+        lambda f: F.try_variant_get(f, "$.identifiers.scryfallOracleId", "string"),
     )
     typed = numbered.select(
         "entry_pos",
         "entry_name",
-        F.col("n.record_id").alias("scryfall_oracle_id"),
-        F.col("n.face_index").alias("face_index"),
-        F.col("n.face").cast(schema.FACE).alias("face"),
-        content_hash(F.col("n.face"), schema.HASHED_KEYS).alias("content_hash"),
+        F.col("record_id").alias("scryfall_oracle_id"),
+        "face_index",
+        F.col("face").cast(schema.FACE).alias("typed"),
+        content_hash(F.col("face"), schema.HASHED_KEYS).alias("content_hash"),
     )
     kept = keep_canonical(typed, schema.CARD_KEY, "entry_name", "entry_pos")
-    columns = face_columns(F.col("face"), F.col("entry_name"), version)
+    columns = face_columns(F.col("typed"), F.col("entry_name"), version)
     columns |= {c: F.col(c) for c in ("scryfall_oracle_id", "face_index", "content_hash")}
     return kept.select(*[columns[c].alias(c) for c in schema.CARD_COLUMNS])

@@ -34,16 +34,10 @@ BROADCAST_FLOATS = 8_000_000
 def lookup(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
     """Batch equality lookup: each wanted value with its number of matches (0 if none).
 
-    Rows that no value asks for are dropped first; the others are counted
-    before they meet the values, so a frequent value is one row per task.
+    Rows are counted per value before they are joined, so a value that holds a
+    large part of the table is one row per task.
     """
-    wanted = values.select(F.col(value).alias(column)).distinct()
-    counts = (
-        df.select(column)
-        .join(wanted, column, "left_semi")
-        .groupBy(F.col(column).alias(value))
-        .agg(F.count("*").alias("n"))
-    )
+    counts = df.groupBy(F.col(column).alias(value)).agg(F.count("*").alias("n"))
     return values.join(counts, value, "left").select(
         value, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.col("n").isNotNull().alias("found")
     )

@@ -28,11 +28,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Later uses survive lost executors without recomputing, and the planner
     knows the written size, so it broadcasts the table only if it is small.
+    The table goes away when the application ends.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
