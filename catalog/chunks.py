@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from catalog import Catalog, table, texts
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
 from loreweave.plans.jobs import embed_source
-from loreweave.sources.staging import shared_dir
+from loreweave.sources.staging import scratch
 from loreweave.sources.warehouse import Warehouse
 
 catalog = Catalog()
@@ -177,7 +175,7 @@ UNION ALL SELECT 2, (SELECT n FROM al) - (SELECT n FROM labelled), (SELECT n FRO
 UNION ALL SELECT 3, 0, (SELECT n FROM al)""")
 def embed_job(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs on a fresh warehouse: labelled documents, all documents, all again."""
-    store = Warehouse(spark, f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+    store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
     model = E.hashing_backend(64)
     everything = doc_chunks(spark, sf)

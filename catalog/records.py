@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
 from loreweave.plans.jobs import sync_cards
-from loreweave.sources.staging import shared_dir, stage
+from loreweave.sources.staging import scratch, stage
 from loreweave.sources.warehouse import Warehouse, violations
 
 catalog = Catalog()
@@ -256,7 +254,7 @@ UNION ALL SELECT 2, 'new', total_cards, inserted, updated, unchanged, deleted, '
 UNION ALL SELECT 3, 'new', total_cards, 0, 0, total_cards, 0, 'success' FROM second""")
 def sync_job_log(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs of the sync job on a fresh warehouse: first load, changes, no changes."""
-    store = Warehouse(spark, f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+    store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
     for name in ("old", "new", "new"):
         sync_cards(store, _as_cards(snapshot(spark, sf, name)), name, "")

@@ -65,9 +65,9 @@ def number_face_rows(df: DataFrame, entry: str, pos: str, record_id: str) -> Dat
     return number_rows(kept, [entry, record_id], pos, "face_index")
 
 
-def keep_canonical(df: DataFrame, key: list[str], name: str, tie: str) -> DataFrame:
+def keep_canonical(df: DataFrame, key: list[str], name: str, *ties: str) -> DataFrame:
     """Of several rows with one key, keep the one from the shortest entry name."""
-    return keep_first(df, key, F.length(name), F.col(tie))
+    return keep_first(df, key, F.length(name), *[F.col(t) for t in ties])
 
 
 def prune_nulls(m: Column) -> Column:
@@ -149,7 +149,9 @@ def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
         F.col("face").cast(schema.FACE).alias("typed"),
         content_hash(F.col("face"), schema.HASHED_KEYS).alias("content_hash"),
     )
-    kept = keep_canonical(typed, schema.CARD_KEY, "entry_name", "entry_pos")
+    kept = keep_canonical(
+        typed, schema.CARD_KEY, "entry_name", "entry_pos", "entry_name", "content_hash"
+    )
     columns = face_columns(F.col("typed"), F.col("entry_name"), version)
     columns |= {c: F.col(c) for c in ("scryfall_oracle_id", "face_index", "content_hash")}
     return kept.select(*[columns[c].alias(c) for c in schema.CARD_COLUMNS])

@@ -59,9 +59,18 @@ def merge(
     old columns, also those outside the hash. Vanished rows go, or stay if
     ``delete_stale`` is off.
     """
+    leaving = leaving_keys(key, changes, delete_stale=delete_stale)
+    kept = old.join(leaving, list(key), "left_anti")
+    return kept.unionByName(fresh_rows(new, key, changes))
+
+
+def leaving_keys(key: Sequence[str], changes: DataFrame, *, delete_stale: bool = True) -> DataFrame:
+    """Keys whose old rows are not valid any more."""
     dropped = [UPDATED, DELETED] if delete_stale else [UPDATED]
-    leaving = changes.filter(F.col("change").isin(*dropped)).select(*key)
+    return changes.filter(F.col("change").isin(*dropped)).select(*key)
+
+
+def fresh_rows(new: DataFrame, key: Sequence[str], changes: DataFrame) -> DataFrame:
+    """The incoming rows that are new or different."""
     coming = changes.filter(F.col("change").isin(INSERTED, UPDATED)).select(*key)
-    kept = old.join(leaving, list(key), "left_anti")
-    fresh = new.join(coming, list(key), "left_semi")
-    return kept.unionByName(fresh)
+    return new.join(coming, list(key), "left_semi")

@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Hints up to this number are matched inside each row; a larger set goes
-# through an index.
+# Hints up to this number and this many characters in all are matched inside
+# each row; a larger set goes through an index.
 INLINE_HINTS = 20_000
+INLINE_CHARS = 20_000_000
 # Below this many, testing hint by hint is cheaper than leaving the JVM.
 _FEW = 16
 # Character runs under which texts and hints meet, longest that fits the hint.
@@ -28,10 +29,12 @@ def tag_texts(
     more hints are matched through character grams.
     """
     wanted = hints.select("key", F.lower("hint").alias("hint")).filter(F.col("hint") != "").distinct()
-    few = wanted.limit(inline + 1).collect()
-    if len(few) > inline:
+    size = wanted.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(F.length("hint")), F.lit(0)).alias("chars")
+    ).first()
+    if size.n > inline or size.chars > INLINE_CHARS:
         return _by_grams(texts, id_col, text_col, wanted)
-    pairs = sorted((r.key, r.hint) for r in few)
+    pairs = sorted((r.key, r.hint) for r in wanted.collect())
     low = F.lower(text_col)
     keys = _keys_in_one_scan(low, pairs) if len(pairs) > _FEW and _has_scanner() else _keys(low, pairs)
     return texts.select(id_col, F.explode(keys).alias("key"))

@@ -15,7 +15,7 @@ from loreweave.operators.embedding import Backend, pending, with_hash
 from loreweave.operators.normalize import normalize
 from loreweave.sources.inputs import check_digests, read_books, read_dump
 from loreweave.sources.staging import stage
-from loreweave.sources.warehouse import Warehouse, check, run_time
+from loreweave.sources.warehouse import Delta, Warehouse, check, run_time
 
 log = logging.getLogger(__name__)
 
@@ -29,7 +29,9 @@ def sync_cards(
     """Bring the card table in step with ``rows``; returns the counts by class.
 
     The incoming rows and the changed keys are written down once, so counts
-    and snapshot see the same rows, and a lost executor repeats little.
+    and table see the same rows, and a lost executor repeats little. What has
+    changed is added as a delta; the table is written whole only from time to
+    time.
     """
     now = run_time()
     old = store.cards()
@@ -37,9 +39,6 @@ def sync_cards(
     check(new, schema.CARD_KEY, [c for c in schema.CARD_REQUIRED if c != "updated_at"])
     classes = S.diff(old, new, schema.CARD_KEY)
     changes = stage(classes.filter(F.col("change") != S.UNCHANGED), "changes")
-    stamped = new.withColumn("updated_at", F.lit(now))
-    merged = S.merge(old, stamped, schema.CARD_KEY, changes, delete_stale=delete_stale)
-
     by_class = {r.change: r.n for r in changes.groupBy("change").agg(F.count("*").alias("n")).collect()}
     total = new.count()
     counts = {
@@ -49,8 +48,18 @@ def sync_cards(
         "total_cards": total,
     }
     counts["unchanged"] = total - counts["inserted"] - counts["updated"]
-    quiet = not (counts["inserted"] or counts["updated"] or counts["deleted"])
-    store.publish_cards(None if quiet else merged, {
+    stamped = new.withColumn("updated_at", F.lit(now))
+    n_changed = counts["inserted"] + counts["updated"] + counts["deleted"]
+    if n_changed == 0:
+        table = None
+    elif store.cards_delta(n_changed, total):
+        table = Delta(
+            S.fresh_rows(stamped, schema.CARD_KEY, changes),
+            S.leaving_keys(schema.CARD_KEY, changes, delete_stale=delete_stale),
+        )
+    else:
+        table = S.merge(old, stamped, schema.CARD_KEY, changes, delete_stale=delete_stale)
+    store.publish_cards(table, {
         "started_at": now, "finished_at": now, "source_version": source_version,
         "source_sha256": source_sha256, "status": "success", **counts,
     })
@@ -76,8 +85,7 @@ def embed_source(
 
     Changes are found on ids and hashes alone and written down; only the
     chunks they name get their text built (again) and go to the model, whose
-    vectors are written straight into the new snapshot, so it runs once. On a
-    first load or a full refresh every chunk is new and nothing is compared.
+    vectors are written straight into the table, so it runs once. On a first load or a full refresh every chunk is new and nothing is compared.
     """
     stored = store.vectors(name)
     hashed = with_hash(chunks.select("id", "chunk_index", "chunk_text"), model.name)
@@ -94,10 +102,14 @@ def embed_source(
     fresh = model.embed(changed, "chunk_text").withColumns({
         "source": F.lit(name), "model": F.lit(model.name), "updated_at": F.lit(now),
     }).select(*schema.VECTORS.fieldNames())
-    kept = stored.join(ids, _CHUNK, "left_anti")
+    if not full_refresh and store.vectors_delta(name, n, stored.count()):
+        table = Delta(fresh, ids)
+    else:
+        kept = stored.join(ids, _CHUNK, "left_anti")
+        table = kept.select(*schema.VECTORS.fieldNames()).unionByName(fresh)
     store.publish_vectors(
-        name, kept.select(*schema.VECTORS.fieldNames()).unionByName(fresh), model.width,
-        {"model": model.name, "embedded": n, "finished_at": now}, F.col("updated_at") == F.lit(now),
+        name, table, model.width, {"model": model.name, "embedded": n, "finished_at": now},
+        F.col("updated_at") == F.lit(now),
     )
     return n
 

@@ -13,14 +13,24 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session (tests) gets a folder of its own when none is set.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="loreweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loreweave-"))
+        folder = sc.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder that goes away when the application ends."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -28,15 +38,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Later uses survive lost executors without recomputing, and the planner
     knows the written size, so it broadcasts the table only if it is small.
-    The table goes away when the application ends.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

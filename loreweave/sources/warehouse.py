@@ -1,14 +1,21 @@
 """Versioned parquet tables with publish-last semantics.
 
-A run writes a complete new snapshot ``…/v=N`` and only then appends one row to
-the log. The log row is both the audit record and the commit: readers take the
-snapshot that the last logged run names, so a failed run leaves nothing visible
-behind, and a run without changes writes no snapshot at all.
+A table is a base, a complete snapshot, and the deltas written after it. A
+delta holds the new rows and the keys that it takes out of what came before,
+so a run writes as much as has changed; reading leaves out the keys that later
+deltas have taken out. The next run after a few deltas, or one with many
+changes, writes a new base.
+
+A run writes its files first and then appends one row to the log. The log row
+is both the audit record and the commit: readers take what the last logged run
+names, so a failed run leaves nothing visible behind, and a run without
+changes writes no files at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -18,12 +25,26 @@ from pyspark.sql import types as T
 from loreweave import schema
 
 
-# The logs as stored: with the number of the snapshot that a run made current.
+# The logs as stored: with the snapshot that is current after a run, and its base.
+_VERSION = [T.StructField("snapshot", T.IntegerType()), T.StructField("base", T.IntegerType())]
 _LOGS = {
-    "sync_log": T.StructType([*schema.SYNC_LOG.fields, T.StructField("snapshot", T.IntegerType())]),
-    "embed_log": T.StructType([*schema.EMBED_LOG.fields, T.StructField("snapshot", T.IntegerType())]),
+    "sync_log": T.StructType([*schema.SYNC_LOG.fields, *_VERSION]),
+    "embed_log": T.StructType([*schema.EMBED_LOG.fields, *_VERSION]),
 }
 
+# A table is written whole again after this many deltas, or when more than this
+# share of its rows has changed.
+MAX_DELTAS = 8
+MAX_SHARE = 0.25
+
+
+@dataclass(frozen=True)
+class Delta:
+    """New rows, and the keys that are no longer as they were."""
+
+    rows: DataFrame
+    gone: DataFrame
+
 
 class ConstraintError(ValueError):
     """Written rows break a key, a NOT NULL column or the vector width."""
@@ -67,23 +88,19 @@ class Warehouse:
             self._empty(layout).write.mode("append").parquet(f"{self.root}/{name}")
 
     def sync_log(self) -> DataFrame:
-        return self._log("sync_log").drop("snapshot")
+        return self._log("sync_log").drop("snapshot", "base")
 
     def embed_log(self) -> DataFrame:
-        return self._log("embed_log").drop("snapshot")
+        return self._log("embed_log").drop("snapshot", "base")
 
     def cards(self) -> DataFrame:
-        snapshot = self._current(self._log("sync_log"))
-        if snapshot is None:
-            return self._empty(schema.CARDS)
-        return self._read(f"{self.root}/cards/v={snapshot}", schema.CARDS)
+        return self._table("cards", self._log("sync_log"), schema.CARDS, schema.CARD_KEY)
 
     def vectors(self, source: str) -> DataFrame:
         """The current vectors of one source; other sources are not touched."""
-        snapshot = self._current(self._log("embed_log").filter(F.col("source") == source))
-        if snapshot is None:
-            return self._empty(schema.VECTORS)
-        return self._read(f"{self.root}/embeddings/{source}/v={snapshot}", schema.VECTORS)
+        return self._table(
+            f"embeddings/{source}", self._source_log(source), schema.VECTORS, ["id", "chunk_index"]
+        )
 
     def all_vectors(self) -> DataFrame:
         out = self._empty(schema.VECTORS)
@@ -93,33 +110,91 @@ class Warehouse:
 
     # -- publishing ----------------------------------------------------------
 
-    def publish_cards(self, cards: DataFrame | None, log: dict) -> int:
-        """Write and commit the next snapshot; without one, the last snapshot stays current."""
-        current = self._log("sync_log")
-        run = self._next_id(current)
-        snapshot = self._current(current)
-        if cards is not None or snapshot is None:
-            snapshot = run
-            rows = self._empty(schema.CARDS) if cards is None else cards
-            self._write(rows, f"{self.root}/cards/v={run}", schema.CARDS)
-        self._append("sync_log", {**log, "id": run, "snapshot": snapshot})
+    def wants_delta(self, log: DataFrame, changed: int, total: int) -> bool:
+        """Whether the next run should write a delta rather than a new base."""
+        versions = self._versions(log)
+        return 0 < len(versions) <= MAX_DELTAS and changed <= MAX_SHARE * total
+
+    def cards_delta(self, changed: int, total: int) -> bool:
+        return self.wants_delta(self._log("sync_log"), changed, total)
+
+    def vectors_delta(self, source: str, changed: int, total: int) -> bool:
+        return self.wants_delta(self._source_log(source), changed, total)
+
+    def publish_cards(self, cards: DataFrame | Delta | None, log: dict) -> int:
+        """Write and commit the next state; ``None`` leaves the table as it is."""
+        runs = self._log("sync_log")
+        run = self._next_id(runs)
+        version = self._version(runs)
+        if cards is None and version is None:
+            cards = self._empty(schema.CARDS)
+        if cards is not None:
+            version = self._write_version("cards", run, cards, version, schema.CARDS)
+        self._append("sync_log", {**log, **version, "id": run})
         return run
 
     def publish_vectors(
-        self, source: str, vectors: DataFrame, width: int, log: dict, fresh: Column | None = None
+        self, source: str, vectors: DataFrame | Delta, width: int, log: dict, fresh: Column | None = None
     ) -> int:
-        """Write, check and commit the vectors of one source.
+        """Write, check and commit vectors of one source.
 
-        ``fresh`` marks the rows that are new; the others have been checked
-        when they were written first.
+        In a complete snapshot ``fresh`` marks the rows that are new; the
+        others have been checked when they were written first.
         """
         run = self._next_id(self._log("embed_log"))
-        written = self._write(vectors, f"{self.root}/embeddings/{source}/v={run}", schema.VECTORS)
-        suspects = written if fresh is None else written.filter(fresh)
-        check(suspects, schema.VECTOR_KEY, schema.VECTOR_REQUIRED, "embedding", width)
-        self._append("embed_log", {**log, "id": run, "source": source, "snapshot": run})
+        current = self._version(self._source_log(source))
+        version = self._write_version(f"embeddings/{source}", run, vectors, current, schema.VECTORS)
+        written = self._read(f"{self.root}/embeddings/{source}/v={run}/rows", schema.VECTORS)
+        if fresh is not None and not isinstance(vectors, Delta):
+            written = written.filter(fresh)
+        check(written, schema.VECTOR_KEY, schema.VECTOR_REQUIRED, "embedding", width)
+        self._append("embed_log", {**log, **version, "id": run, "source": source})
         return run
 
+    # -- versions ------------------------------------------------------------
+
+    def _source_log(self, source: str) -> DataFrame:
+        return self._log("embed_log").filter(F.col("source") == source)
+
+    @staticmethod
+    def _version(log: DataFrame) -> dict | None:
+        row = log.agg(F.max_by(F.struct("snapshot", "base"), "id").alias("v")).first().v
+        return row and row.asDict()
+
+    def _versions(self, log: DataFrame) -> list[int]:
+        """The base that is current and the deltas after it."""
+        version = self._version(log)
+        if version is None:
+            return []
+        same_base = log.filter(F.col("base") == version["base"]).select("snapshot").distinct()
+        return sorted(r.snapshot for r in same_base.collect())
+
+    def _table(self, folder: str, log: DataFrame, layout: T.StructType, key: list[str]) -> DataFrame:
+        versions = self._versions(log)
+        key_layout = T.StructType([layout[k] for k in key])
+        out = None
+        for i, v in enumerate(versions):
+            rows = self._read(f"{self.root}/{folder}/v={v}/rows", layout)
+            if later := versions[i + 1 :]:
+                paths = [f"{self.root}/{folder}/v={w}/gone" for w in later]
+                gone = self.spark.read.schema(key_layout).parquet(*paths)
+                rows = rows.join(gone, key, "left_anti").select(*layout.fieldNames())
+            out = rows if out is None else out.unionByName(rows)
+        return self._empty(layout) if out is None else out
+
+    def _write_version(
+        self, folder: str, run: int, data: DataFrame | Delta, current: dict | None, layout: T.StructType
+    ) -> dict:
+        path = f"{self.root}/{folder}/v={run}"
+        rows = data.rows if isinstance(data, Delta) else data
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.fields]
+        # Overwrites only leftovers of a failed run: the id is not in the log yet.
+        rows.select(*columns).write.mode("overwrite").parquet(f"{path}/rows")
+        if not isinstance(data, Delta):
+            return {"snapshot": run, "base": run}
+        data.gone.write.mode("overwrite").parquet(f"{path}/gone")
+        return {"snapshot": run, "base": current["base"]}
+
     # -- helpers -------------------------------------------------------------
 
     def _empty(self, layout: T.StructType) -> DataFrame:
@@ -128,12 +203,6 @@ class Warehouse:
     def _read(self, path: str, layout: T.StructType) -> DataFrame:
         return self.spark.read.schema(layout).parquet(path)
 
-    def _write(self, df: DataFrame, path: str, layout: T.StructType) -> DataFrame:
-        # Overwrites only leftovers of a failed run: the id is not in the log yet.
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.fields]
-        df.select(*columns).write.mode("overwrite").parquet(path)
-        return self._read(path, layout)
-
     def _log(self, name: str) -> DataFrame:
         return self._read(f"{self.root}/{name}", _LOGS[name])
 
@@ -144,10 +213,6 @@ class Warehouse:
             f"{self.root}/{name}"
         )
 
-    @staticmethod
-    def _current(log: DataFrame) -> int | None:
-        return log.agg(F.max_by("snapshot", "id")).first()[0]
-
     @staticmethod
     def _next_id(log: DataFrame) -> int:
         return (log.agg(F.max("id")).first()[0] or 0) + 1
@@ -155,4 +220,4 @@ class Warehouse:
 
 def run_time() -> datetime:
     """One time stamp per run, as a transaction clock would give."""
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)

@@ -153,3 +153,30 @@ def test_failed_run_leaves_nothing(spark, tmp_path):
     twice = store.cards().drop("updated_at")
     with pytest.raises(ConstraintError, match="duplicate key"):
         jobs.sync_cards(store, twice.union(twice), "v", "")
+
+
+def test_deltas(spark, tmp_path, monkeypatch):
+    """Many small changes give the same table as writing it whole each time."""
+    from loreweave.sources import warehouse
+
+    monkeypatch.setattr(warehouse, "MAX_DELTAS", 3)
+    store = Warehouse(spark, str(tmp_path / "w"))
+    store.init()
+    state = {i: 0 for i in range(40)}
+    for step in range(7):
+        if step:
+            state[step] = step  # one changed, one gone, one new, and one of before changed back and forth
+            state.pop(10 + step, None)
+            state[100 + step] = step
+            state[0] = step % 2
+        rows = spark.createDataFrame([(str(k), str(v)) for k, v in state.items()], "k string, v string")
+        from catalog.records import _as_cards
+
+        counts = jobs.sync_cards(store, _as_cards(rows.select(
+            F.col("k").alias("scryfall_oracle_id"), F.lit(0).alias("face_index"), F.col("v").alias("content_hash"),
+            F.col("v").alias("source_version"))), str(step), "")
+        assert counts["total_cards"] == len(state)
+        got = {int(r.scryfall_oracle_id): int(r.content_hash) for r in store.cards().collect()}
+        assert got == state and store.cards().count() == len(state)
+    bases = {r.base for r in store._log("sync_log").collect()}
+    assert len(bases) == 2
