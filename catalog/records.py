@@ -119,6 +119,24 @@ def normalize_faces(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@catalog.add("""
+SELECT doc_id, '{"lang":"' || lang || '"' || CASE WHEN quality IS NULL THEN '' ELSE ',"quality":"' || quality || '"' END || '}' AS legalities,
+       '[{"date":"' || source || '","text":"' || lang || '"}]' AS rulings,
+       CASE WHEN toxic = 1 THEN '{"toxic":true}' END AS leadership_skills
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def nested_as_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Null entries pruned, empty objects as NULL, the rest written as JSON."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    rows = docs.join(table(spark, sf, "labels"), "doc_id", "left")
+    pairs = F.create_map(F.lit("lang"), F.col("lang"), F.lit("quality"), F.col("quality").cast("string"))
+    skills = F.map_filter(F.create_map(F.lit("toxic"), F.col("toxic") == 1), lambda _, v: v)
+    return N.as_json(rows.select(
+        "doc_id", N.prune_nulls(pairs).alias("legalities"),
+        F.array(F.struct(F.col("source").alias("date"), F.col("lang").alias("text"))).alias("rulings"),
+        N.none_if_empty(skills).alias("leadership_skills"),
+    ))
+
+
 @catalog.add("""
 SELECT event_id, sha256('{"k":' || CAST(props::JSON->>'k' AS INTEGER) || '}') AS content_hash FROM events
 """)

@@ -181,6 +181,12 @@ def exact_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return S.lookup(table(spark, sf, "part"), "p_name", wanted, "name")
 
 
+@catalog.add("""
+SELECT p_partkey, p_name, p_brand FROM part WHERE p_name IN ('small ring', 'red widget', 'Small Ring', 'no such part')""")
+def find_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return S.find(table(spark, sf, "part"), "p_name", NAMES).select("p_partkey", "p_name", "p_brand")
+
+
 PHRASES = ["the th", "QUE", "a_d", "in%on", "100%", "no such phrase"]
 
 

@@ -22,13 +22,12 @@ def train_lists(
     max_iter: int = 20,
 ) -> np.ndarray:
     """Centroids by cosine k-means on a sample whose size depends on ``lists`` only."""
-    usable = vectors.filter(F.col(vector_col).isNotNull()).filter(
-        dot(F.col(vector_col), F.col(vector_col)) > 0
-    )
-    n = usable.count()
+    n = vectors.count()
     wanted = TRAIN_PER_LIST * lists
     if n > wanted:
-        usable = usable.sample(fraction=min(1.0, 1.2 * wanted / n), seed=seed)
+        vectors = vectors.sample(fraction=min(1.0, 1.2 * wanted / n), seed=seed)
+    v = F.col(vector_col)
+    usable = vectors.filter(v.isNotNull()).filter(dot(v, v) > 0)
     points = usable.select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("features"))
     model = KMeans(
         k=lists, distanceMeasure="cosine", seed=seed, maxIter=max_iter, featuresCol="features"

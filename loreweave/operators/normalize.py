@@ -129,6 +129,15 @@ def face_columns(face: Column, entry_name: Column, version: Column) -> dict[str,
     }
 
 
+# Columns that hold maps and structs.
+NESTED = ["legalities", "leadership_skills", "rulings", "purchase_urls", "related_cards"]
+
+
+def as_json(cards: DataFrame) -> DataFrame:
+    """Nested columns as JSON texts, for export; NULL stays NULL."""
+    return cards.withColumns({c: F.to_json(c) for c in NESTED if c in cards.columns})
+
+
 def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
     """``(entry_pos, name, faces array<variant>)`` → the card columns.
 

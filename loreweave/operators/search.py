@@ -43,6 +43,11 @@ def lookup(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFra
     )
 
 
+def find(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Rows with one of a few exact values; the test is pushed into the scan."""
+    return df.filter(F.col(column).isin(list(values)))
+
+
 def phrase_counts(df: DataFrame, text_col: str, phrases: Sequence[str]) -> DataFrame:
     """Rows whose text contains each phrase, in any case: ``phrase, n``.
 
