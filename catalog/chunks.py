@@ -9,7 +9,7 @@ from catalog import Catalog, table, texts
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
 from loreweave.plans.jobs import embed_source
-from loreweave.sources.staging import scratch
+from loreweave.sources.staging import scratch, spread
 from loreweave.sources.warehouse import Warehouse
 
 catalog = Catalog()
@@ -178,7 +178,7 @@ def embed_job(spark: SparkSession, sf: str) -> DataFrame:
     store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
     model = E.hashing_backend(64)
-    everything = doc_chunks(spark, sf)
+    everything = spread(doc_chunks(spark, sf))
     labelled = everything.join(
         table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")), "id", "left_semi"
     )

@@ -36,9 +36,14 @@ def cosine_to(query: Sequence[float], digits: int):
         if not len(v):
             return pa.array([], pa.float64())
         q = np.array(fixed, dtype="float32").astype("float64")  # as stored vectors are
-        m = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1).astype("float64")
+        s = np.empty(len(v))
+        step = max(4_000_000 // max(len(q), 1), 1)  # rows whose copy is held at a time
         with np.errstate(invalid="ignore", divide="ignore"):
-            s = (m * q).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((q * q).sum()))
+            for i in range(0, len(v), step):
+                part = v.slice(i, step)
+                m = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1).astype("float64")
+                norms = np.sqrt((m * m).sum(axis=1)) * np.sqrt((q * q).sum())
+                s[i : i + step] = (m * q).sum(axis=1) / norms
         return pa.array(np.round(s, digits), mask=np.isnan(s))
 
     return similarity

@@ -48,10 +48,13 @@ def assign_lists(
         import numpy as np
         import pyarrow as pa
 
-        if not len(v):
-            return pa.array([], pa.int32())
-        matrix = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
-        return pa.array(np.argmax(matrix.astype("float64") @ shared.value.T, axis=1), pa.int32())
+        out = np.empty(len(v), dtype="int32")
+        step = max(4_000_000 // shared.value.shape[1], 1)  # rows whose copy is held at a time
+        for i in range(0, len(v), step):
+            part = v.slice(i, step)
+            m = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1).astype("float64")
+            out[i : i + step] = np.argmax(m @ shared.value.T, axis=1)
+        return pa.array(out)
 
     return vectors.filter(F.col(vector_col).isNotNull()).withColumn("list_id", nearest(F.col(vector_col)))
 

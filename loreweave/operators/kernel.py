@@ -42,7 +42,15 @@ def matcher(k: int, digits: int):
             rank = np.arange(len(q)) - np.searchsorted(q, q)
             return found.filter(pa.array(rank < k))
 
-        for batch in batches:
+        def slices(batches):
+            """Batches cut so that a float64 copy stays in the tens of megabytes."""
+            for batch in batches:
+                width = max(q_matrix.shape[1], 1)
+                step = max(4_000_000 // width, 1)
+                for i in range(0, batch.num_rows, step):
+                    yield batch.slice(i, step)
+
+        for batch in slices(batches):
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
             flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
             matrix = flat.reshape(batch.num_rows, -1).astype("float64")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -57,12 +58,22 @@ def phrase_counts(df: DataFrame, text_col: str, phrases: Sequence[str]) -> DataF
     # Lower case is made once per text, not once per phrase.
     low = df.select(F.lower(text_col).alias("_low"))
     counts = low.agg(*[
-        F.count_if(F.col("_low").like(f"%{p.lower()}%")).alias(f"p{i}") for i, p in enumerate(phrases)
+        F.count_if(_contains(F.col("_low"), p.lower())).alias(f"p{i}") for i, p in enumerate(phrases)
     ])
     rows = [F.struct(F.lit(p).alias("phrase"), F.col(f"p{i}").alias("n")) for i, p in enumerate(phrases)]
     return counts.select(F.inline(F.array(*rows)))
 
 
+def _contains(text: Column, phrase: str) -> Column:
+    """``LIKE '%phrase%'`` as a search, which need not match the text around the phrase."""
+    parts = re.findall(r"\\.|[%_]|[^%_\\]+", phrase, flags=re.DOTALL)
+    if not any(p in "%_" for p in parts):
+        return F.contains(text, F.lit("".join(p[-1] if p[0] == "\\" else p for p in parts)))
+    wild = {"%": ".*", "_": "."}
+    quoted = [wild.get(p) or re.escape(p[-1] if p[0] == "\\" else p) for p in parts]
+    return F.regexp(text, F.lit("(?s)" + "".join(quoted)))
+
+
 def has_all(array: Column, values: Sequence[str]) -> Column:
     return F.size(F.array_except(F.array(*[F.lit(v) for v in values]), array)) == 0
 

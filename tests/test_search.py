@@ -123,8 +123,10 @@ def test_lists(spark, data, tmp_path):
 
 def test_phrases(spark):
     df = spark.createDataFrame([("Draw a Card",), ("draw two cards",), (None,), ("100%",)], "t string")
-    got = {r.phrase: r.n for r in S.phrase_counts(df, "t", ["DRAW", "a_card", "w%c", "zz"]).collect()}
-    assert got == {"DRAW": 2, "a_card": 1, "w%c": 2, "zz": 0}
+    phrases = ["DRAW", "a_card", "w%c", "zz", "100\\%", "\\_", "d.a", "%", "00%%"]
+    got = {r.phrase: r.n for r in S.phrase_counts(df, "t", phrases).collect()}
+    want = {p: df.filter(F.col("t").ilike(f"%{p}%")).count() for p in phrases}
+    assert got == want and got["DRAW"] == 2 and got["a_card"] == 1 and got["100\\%"] == 1 and got["d.a"] == 0
 
 
 def test_filters(spark):
