@@ -123,8 +123,8 @@ def match_terms(terms: DataFrame, aliases: DataFrame, term: str = "term") -> Dat
 
 
 def expand_terms(terms: DataFrame, taxonomy: DataFrame, term: str = "term") -> DataFrame:
-    """``term, key, hint``: the distinct hints a term fans out to."""
-    matched = match_terms(terms, alias_map(taxonomy), term)
+    """``term, key, hint``: the distinct hints that each distinct term fans out to."""
+    matched = match_terms(terms.select(term).distinct(), alias_map(taxonomy), term)
     below = hints_below(taxonomy).select(F.col("ancestor").alias("key"), "hint")
     return matched.join(below, "key").select(term, "key", "hint").distinct()
 

@@ -9,7 +9,8 @@ from loreweave.functions.notation import expand_notation
 from loreweave.operators.embedding import Backend
 from loreweave.operators.ranking import top_k
 from loreweave.operators.search import known_vectors, similar_batch
-from loreweave.operators.taxonomy import expand_abbreviations, expand_terms
+from loreweave.operators.taxonomy import expand_terms
+from loreweave.sources.staging import stage
 
 
 def embed_queries(queries: DataFrame, text: str, model: Backend) -> DataFrame:
@@ -44,8 +45,8 @@ def fan_out(
     Each distinct hint is embedded and searched once, however many terms ask
     for it.
     """
-    expanded = expand_terms(expand_abbreviations(terms, "term"), taxonomy)
-    asked = expanded.select("term", F.col("hint").alias("query_id")).distinct()
+    expanded = expand_terms(terms, taxonomy)
+    asked = stage(expanded.select("term", F.col("hint").alias("query_id")).distinct(), "searches")
     hints = asked.select("query_id").distinct()
     searches = embed_queries(hints, "query_id", model).select("query_id", "query_vector")
     return merge_best(similar_batch(vectors, searches, k), asked, "term", k)

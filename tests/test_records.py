@@ -180,3 +180,30 @@ def test_deltas(spark, tmp_path, monkeypatch):
         assert got == state and store.cards().count() == len(state)
     bases = {r.base for r in store._log("sync_log").collect()}
     assert len(bases) == 2
+
+
+def test_many_dumps_have_one_order(spark, tmp_path):
+    """Equal names in several files: the result does not depend on how they are read."""
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    for i in range(4):
+        dump(folder / f"{i}.json.gz", {"Same": [face("s", text=f"text {i}")], f"N{i}": [face("n", text=f"n {i}")]})
+    _, entries = inputs.read_dump(spark, str(folder))
+    seen = set()
+    for parts in (1, 3, 8):
+        rows = N.normalize(entries.repartition(parts), "v").collect()
+        assert len(rows) == 2
+        seen.add(tuple(sorted(r.oracle_text for r in rows)))
+    assert len(seen) == 1
+
+
+def test_long_entry(spark):
+    """An entry with very many faces is numbered in linear time."""
+    rows = spark.range(1).select(
+        F.lit(0).alias("entry_pos"),
+        F.transform(F.sequence(F.lit(0), F.lit(199_999)), lambda i: F.concat(
+            F.lit("id"), F.pmod(i, F.lit(66_667)).cast("string"))).alias("faces"),
+    )
+    numbered = N.number_faces(rows, "faces", lambda f: f)
+    got = numbered.groupBy("face_index").count().orderBy("face_index").collect()
+    assert [(r.face_index, r["count"]) for r in got] == [(0, 66_667), (1, 66_667), (2, 66_666)]
