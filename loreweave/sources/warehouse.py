@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,11 +207,9 @@ class Warehouse:
         return self._read(f"{self.root}/{name}", _LOGS[name])
 
     def _append(self, name: str, values: dict) -> None:
-        layout = _LOGS[name]
-        row = Row(*[values.get(f) for f in layout.fieldNames()])
-        self.spark.createDataFrame([row], layout).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/{name}"
-        )
+        columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in _LOGS[name].fields]
+        row = self.spark.range(0, 1, numPartitions=1).select(*columns)
+        row.write.mode("append").parquet(f"{self.root}/{name}")
 
     @staticmethod
     def _next_id(log: DataFrame) -> int:

@@ -159,11 +159,11 @@ def test_deltas(spark, tmp_path, monkeypatch):
     """Many small changes give the same table as writing it whole each time."""
     from loreweave.sources import warehouse
 
-    monkeypatch.setattr(warehouse, "MAX_DELTAS", 3)
+    monkeypatch.setattr(warehouse, "MAX_DELTAS", 2)
     store = Warehouse(spark, str(tmp_path / "w"))
     store.init()
     state = {i: 0 for i in range(40)}
-    for step in range(7):
+    for step in range(6):
         if step:
             state[step] = step  # one changed, one gone, one new, and one of before changed back and forth
             state.pop(10 + step, None)
