@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from loreweave.operators import taxonomy as X
 from loreweave.operators.chunks import taxonomy_chunks

@@ -1,7 +1,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
