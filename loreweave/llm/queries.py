@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import rules
+from loreweave.llm import mixing, rules, secrets, urls
 
 catalog = Catalog()
 
@@ -50,3 +51,104 @@ FROM b
 def op2_quality_rules(spark, sf_dir):
     cleaned = rules.clean(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
     return cleaned.drop("n_lines", "n_kept_lines", "clean_text")
+
+
+_SIZED = rf"""
+z AS (SELECT doc_id, source, len({_WORDS.format('text')}) AS size,
+             md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS source_size FROM z GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM t),
+l AS (SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
+             ORDER BY source_size / weight, source NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+             / sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level FROM w),
+g AS (SELECT source, source_size, least(max(level) OVER () * weight, 3.0::DOUBLE * source_size) AS target FROM l)"""
+
+
+@catalog.add(rf"""
+WITH {_SIZED},
+q AS (SELECT z.*, source_size, target, sum(size) OVER (
+             PARTITION BY z.source ORDER BY key, doc_id NULLS FIRST, size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before
+      FROM z JOIN g ON z.source IS NOT DISTINCT FROM g.source),
+e AS (SELECT *, CASE WHEN target > 0 THEN (round * source_size + before)::DOUBLE / target ELSE 0 END AS finish
+      FROM q, range(3) AS r(round)),
+c AS (SELECT finish, sum(sum(size)) OVER (ORDER BY finish) AS upto FROM e WHERE size > 0 GROUP BY finish),
+m AS (SELECT coalesce(max(finish), 0) AS finish FROM c WHERE upto <= (SELECT sum(size) FROM z))
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * count(*) FILTER (finish <= (SELECT finish FROM m)))::BIGINT AS taken
+FROM e GROUP BY doc_id, size, source, source_size, target, key, before
+""")
+def op4_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "source", "text")
+    return mixing.mix(docs, "doc_id", "source", "text").drop("source", "copies")
+
+
+def _found(kind: str, pattern: str, rank: int, group: int, least: int) -> str:
+    """SQL for ``r, kind, rank, start, end`` of a rule, from the pieces between its matches."""
+    p = pattern.replace("'", "''")
+    return rf"""
+SELECT r, '{kind}' AS kind, {rank} AS rank, stop - length(m) AS start, stop FROM (
+  SELECT r, ms[i] AS m, list_sum(list_transform(gaps[:i], lambda x: length(x)))
+         + list_sum(list_transform(ms[:i], lambda x: length(x))) AS stop
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+    SELECT r, regexp_extract_all(text, '{p}') AS ms, regexp_split_to_array(text, '{p}') AS gaps FROM d)))
+WHERE length(regexp_extract(m, '{p}', {group})) >= {least}"""
+
+
+_FOUND = " UNION ALL ".join(
+    _found(x.kind, x.pattern, k, x.group, x.least) for k, x in enumerate(secrets.RULES)
+)
+
+
+@catalog.add(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({_FOUND}),
+a AS (SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+             count(*) FILTER (rank = 2) AS n_hex,
+             string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, rank) AS spans,
+             string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, rank)
+               FILTER (rank <= 2) AS base
+      FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (r)
+""")
+def op5_secret_scans(spark, sf_dir):
+    _, paths = secrets.scan(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = [r.kind for r in secrets.BASE]
+    return paths.select(
+        F.col("path").alias("doc_id"),
+        *[number(k).alias(f"n_{k}") for k in base],
+        F.sha2(secrets.joined(F.col("spans"), base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+_FITS = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'"
+    for r in sorted(urls.HOST_RULES, key=lambda r: -len(r.name))
+)
+_BLOCKED = " OR ".join(f"regexp_matches(url, '{r.pattern}')" for r in urls.PATTERN_RULES)
+
+
+@catalog.add(rf"""
+WITH p AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3)
+                  ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, url,
+             translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+v AS (SELECT *, CASE {_FITS} END AS rule FROM h)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN coalesce({_BLOCKED}, false) THEN 'block' ELSE 'allow' END AS verdict
+FROM v
+""")
+def op10_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, "page_id", "url").drop("url", "patterns")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loreweave.llm.text import SPACE, split_words, trimmed
+from loreweave.llm.text import SPACE, split_words, squeezed, trimmed
 
 #: Phrases of page furniture, lower case.
 BOILERPLATE = (
@@ -64,7 +64,8 @@ def clean(docs: DataFrame, id_col: str, text_col: str, rules: LineRules = LineRu
     """One row per row: id, counts, ``base_failed``, the cleaned text, shares and ``kept``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    df = df.withColumn("words", split_words(F.col("text"))).withColumn("lines", F.split("text", "\n", -1))
+    df = df.withColumn("plain", squeezed(F.col("text")))
+    df = df.withColumn("words", split_words(F.col("plain"))).withColumn("lines", F.split("text", "\n", -1))
     df = df.withColumn("n_words", F.size("words").cast("bigint")).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     df = df.withColumn("grams", _grams("hashes"))
     df = df.withColumn("kept_lines", F.filter("lines", lambda line: _passes(line, rules)))
