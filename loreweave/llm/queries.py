@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import mixing, rules, secrets, urls
+from loreweave.llm import linedup, mixing, packing, rules, secrets, urls
 
 catalog = Catalog()
 
@@ -152,3 +152,34 @@ FROM v
 def op10_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, "page_id", "url").drop("url", "patterns")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@catalog.add()
+def op9_packing(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    packed = packing.pack(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@catalog.add(r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT r, doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line
+            FROM (SELECT r, doc_id, string_split(text, chr(10)) AS ls FROM d))),
+k AS (SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT l.*, k.key IS NOT NULL AND l.doc_id IS DISTINCT FROM k.last AS gone FROM l LEFT JOIN k USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+""")
+def op6_line_dedup(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    lines = linedup.dedup_lines(docs, "doc_id", "text")
+    return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
