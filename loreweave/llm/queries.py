@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import linedup, mixing, packing, rules, secrets, urls
+from loreweave.llm import linedup, mixing, packing, rules, secrets, simhash, urls
 
 catalog = Catalog()
 
@@ -183,3 +183,9 @@ def op6_line_dedup(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text")
     lines = linedup.dedup_lines(docs, "doc_id", "text")
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@catalog.add()
+def op7_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
