@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import linedup, mixing, packing, rules, secrets, simhash, urls
+from loreweave.llm import language, linedup, mixing, packing, rules, secrets, simhash, urls
 
 catalog = Catalog()
 
@@ -189,3 +189,10 @@ def op6_line_dedup(spark, sf_dir):
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@catalog.add()
+def op8_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    found = language.identify(docs, "doc_id", "text", "lang", tokenizer_path("piece_bpe_32k.model"))
+    return found.select("row.doc_id", "held_out", "lang_pred", "score")
