@@ -85,6 +85,8 @@ def scan(
     used = F.array(*[F.when(F.array_contains("rules", n), F.lit(k)) for n, k in kinds.items()])
     found = known.withColumn("used", used).select("blob", valid.alias("spans")).filter(F.size("spans") > 0)
     found = found.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    # Written, so that the join below is free to split a blob that many paths hold.
+    found = stage(found, "found")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
     paths = named.select("path", "blob").join(found, "blob", "left")
     return new, paths.select("path", "blob", F.coalesce("spans", none).alias("spans"))
