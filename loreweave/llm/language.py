@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from loreweave.llm.text import held_out
 from loreweave.operators.ranking import top_k
 
 FIT_DOCS = 1_000
@@ -262,11 +263,6 @@ def predict(docs: DataFrame, text_col: str, models: Models) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
-def held_out(id_column: Column, parts: int, part: int) -> Column:
-    """Whether the remainder of the id's CRC is ``part``; a null id is never held out."""
-    return F.coalesce(F.crc32(id_column.cast("string")) % parts == part, F.lit(False))
-
-
 def identify(docs: DataFrame, id_col: str, text_col: str, lang_col: str, vocabulary: str) -> DataFrame:
     """``row, held_out, lang_pred, score``; rows with a remainder of 2 teach nothing. ``row`` has id and text."""
     out = held_out(F.col(id_col), 4, 2)

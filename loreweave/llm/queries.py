@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import language, linedup, mixing, packing, rules, secrets, simhash, urls
+from loreweave.llm import language, linedup, lm, mixing, packing, rules, secrets, simhash, urls
 
 catalog = Catalog()
 
@@ -196,3 +196,8 @@ def op8_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     found = language.identify(docs, "doc_id", "text", "lang", tokenizer_path("piece_bpe_32k.model"))
     return found.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
+@catalog.add()
+def op1_lm_scoring(spark, sf_dir):
+    return lm.score(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")

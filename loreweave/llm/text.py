@@ -36,3 +36,8 @@ def count_words(squeezed_text: Column) -> Column:
     """The number of words of a squeezed text, from its length with and without blanks."""
     blanks = F.octet_length(squeezed_text) - F.octet_length(F.replace(squeezed_text, F.lit(" "), F.lit("")))
     return F.when(squeezed_text == "", 0).otherwise(blanks + 1).cast("bigint")
+
+
+def held_out(id_column: Column, parts: int, part: int) -> Column:
+    """Whether the remainder of the CRC of the id as text is ``part``; a null id is never held out."""
+    return F.coalesce(F.crc32(id_column.cast("string")) % parts == part, F.lit(False))
