@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import language, linedup, lm, mixing, packing, rules, secrets, simhash, urls
+from loreweave.llm import hashing_index, language, linedup, lm, mixing, packing, rules, secrets, simhash, urls
 
 catalog = Catalog()
 
@@ -201,3 +201,9 @@ def op8_language_id(spark, sf_dir):
 @catalog.add()
 def op1_lm_scoring(spark, sf_dir):
     return lm.score(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+
+@catalog.add()
+def op3_hashing_index(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hashing_index.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, 5)
