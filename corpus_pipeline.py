@@ -49,8 +49,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the least id; rows with the same id count as one."""
-    groups = simhash.near_duplicates(docs, "doc_id", "text")
+    """One document of each group of similarity 0.8 or more over five-word shingles, the one with the least id.
+
+    Rows with the same id count as one.
+    """
+    groups = simhash.near_copies(docs, "doc_id", "text")
     least = groups.groupBy("component_id").agg(F.min("doc_id").alias("stays")).select("stays")
     least = stage(least, "stays").withColumnRenamed("stays", "stays_id")
     kept = docs.join(least, F.col("doc_id").eqNullSafe(F.col("stays_id")), "left_semi")
