@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from loreweave.llm.batches import slices
 from loreweave.llm.text import held_out
 from loreweave.operators.ranking import top_k
 
@@ -42,7 +43,7 @@ PSEUDO = 0.05
 MOST_WORDS = 400_000
 #: Longer words are scored one by one, with rescaling.
 LONG_WORD = 48
-LONGEST_PIECE = 16
+LONGEST_PIECE = 10
 NONE = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -75,18 +76,38 @@ class Lattice:
         self.absent, self.unknown = len(pieces), len(pieces) + 1
         self.longest = max(map(len, pieces), default=1)
 
+        by_length: dict[int, list[str]] = defaultdict(list)
+        for piece in self.ids:
+            by_length[len(piece)].append(piece)
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k, same in by_length.items():
+            keys = list(self.hashes(same, k))[-1][:, -1]
+            order = np.argsort(keys)
+            self.keys[k] = keys[order], np.array([self.ids[x] for x in same], np.int32)[order]
+
+    @staticmethod
+    def hashes(words: list[str], longest: int) -> Iterator[np.ndarray]:
+        """For each length up to ``longest``: 64-bit hashes of the substrings of words of equal length, by end."""
+        n = len(words[0])
+        codes = np.array(words, f"<U{n}").view("<u4").reshape(len(words), n).astype(np.uint64) + np.uint64(1)
+        now = codes
+        yield now
+        for _ in range(1, min(n, longest)):
+            now = now[:, :-1] * np.uint64(0x9E3779B97F4A7C15) + codes[:, -(now.shape[1] - 1) :]
+            yield now
+
     def index(self, words: list[str]) -> np.ndarray:
         """``[word, end, length - 1]``: the piece of that length that ends there."""
         n, size = len(words[0]), min(len(words[0]), self.longest)
-        get, absent, unknown = self.ids.get, self.absent, self.unknown
-        flat = []
-        for w in words:
-            for end in range(1, n + 1):
-                flat.append(get(w[end - 1], unknown))
-                top = min(end, size)
-                flat.extend([get(w[end - k : end], absent) for k in range(2, top + 1)])
-                flat.extend([absent] * (size - top))
-        return np.array(flat, np.int32).reshape(len(words), n, size)
+        out = np.full((len(words), n, size), self.absent, np.int32)
+        out[:, :, 0] = self.unknown
+        for k, found in enumerate(self.hashes(words, size), 1):
+            if k in self.keys:
+                keys, ids = self.keys[k]
+                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                here = out[:, k - 1 :, k - 1]
+                np.copyto(here, ids[at], where=keys[at] == found)
+        return out
 
 
 def forward(index: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -191,14 +212,15 @@ class Scorer:
 
     def __call__(self, texts: list[str | None]) -> tuple[list[int], list[float]]:
         """The best language of each text, -1 for none, and its posterior probability."""
+        none = not self.table.shape[1]
+        texts = [None if none or not has_letter(t) else words_of(t) for t in texts]
+        self.learn({w for words in texts if words for w in words})
         best, score = [], []
-        for text in texts:
-            if not self.table.shape[1] or not has_letter(text):
+        for words in texts:
+            if words is None:
                 best.append(-1)
                 score.append(0.0)
                 continue
-            words = words_of(text)
-            self.learn(set(words))
             total = self.table[list(map(self.known.__getitem__, words))].sum(axis=0) + self.prior
             i = int(total.argmax())
             best.append(i)
@@ -254,11 +276,15 @@ def predict(docs: DataFrame, text_col: str, models: Models) -> DataFrame:
         scorer = Scorer(models)
         names = [*models.langs, NONE]
         for batch in batches:
-            best, score = scorer(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([names[i] for i in best], pa.string()), pa.array(score, pa.float64())],
-                ["row", "lang_pred", "score"],
-            )
+            at = 0
+            for texts in slices(batch.column(1)):
+                best, score = scorer(texts)
+                rows = batch.column(0).slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [rows, pa.array([names[i] for i in best], pa.string()), pa.array(score, pa.float64())],
+                    ["row", "lang_pred", "score"],
+                )
 
     return rows.mapInArrow(run, out)
 

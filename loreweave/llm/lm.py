@@ -34,15 +34,15 @@ from pyspark.sql.types import (
 )
 
 from loreweave.llm import gru
+from loreweave.llm.batches import slices
 from loreweave.llm.text import held_out
 from loreweave.sources.staging import stage
 
-#: Tokens of the first model, words whose counts travel with the model, distinct
-#: words counted before they leave a task, and characters handled at a time.
+#: Tokens of the first model, words whose counts travel with the model, and
+#: distinct words counted before they leave a task.
 WARM_TOKENS = 400_000
 DICTIONARY = 200_000
 COUNTED = 500_000
-CHARS = 4_000_000
 #: Pieces that weights are averaged in.
 SLOTS = 64
 END = b"\n"
@@ -58,20 +58,6 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % gru.TAILS
 
 
-def slices(texts: pa.Array) -> Iterator[list[str | None]]:
-    """Texts in lists of about ``CHARS`` characters."""
-    part, size = [], 0
-    for text in texts:
-        value = text.as_py()
-        part.append(value)
-        size += len(value) if value else 1
-        if size >= CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """``word, tail, n`` over all documents."""
 
