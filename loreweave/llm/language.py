@@ -232,8 +232,16 @@ def fit_models(labelled: DataFrame, text_col: str, lang_col: str, order: Column,
     """Models of all languages in ``lang_col``; rows without text or language are left out."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), order.alias("place"))
     rows = rows.filter("text is not null and lang is not null")
-    shares = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    sample = top_k(rows, ["lang"], FIT_DOCS, F.col("place"), F.col("text")).select("lang", "text")
+    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).collect()
+    shares = {r["lang"]: r["n"] for r in known}
+    # A share of each language that holds about twice the documents needed, and its
+    # first one in any case, goes into the exact choice.
+    some = F.lit(False)
+    for r in known:
+        share = int(min(1.0, 2 * FIT_DOCS / r["n"]) * 1_000_000)
+        near = (F.pmod("place", F.lit(1_000_000)) <= share) | (F.col("place") == r["least"])
+        some = some | ((F.col("lang") == r["lang"]) & near)
+    sample = top_k(rows.filter(some), ["lang"], FIT_DOCS, F.col("place"), F.col("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
