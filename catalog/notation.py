@@ -97,8 +97,11 @@ def _cost() -> Column:
                     first, F.lit("/P} or {"), brand, F.lit("/"), first, F.lit("}"))
 
 
-_NUMBER_LIST = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
-                "fifteen sixteen seventeen eighteen nineteen twenty").split()
+# Fixed values.
+_NUMBER_LIST = [
+    "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve",
+    "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty",
+]
 _WORD = "CASE {0} " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_NUMBER_LIST)) + " END"
 
 

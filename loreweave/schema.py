@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql.types import (
+    ArrayType, BooleanType, FloatType, IntegerType, LongType, MapType, StringType, StructField, StructType,
+    TimestampType,
+)
+
+STRING, INT, LONG, FLOAT = StringType(), IntegerType(), LongType(), FloatType()
+BOOLEAN, TIMESTAMP = BooleanType(), TimestampType()
+STRINGS, TEXTS = ArrayType(STRING), MapType(STRING, STRING)
+RULINGS = ArrayType(StructType([StructField("date", STRING), StructField("text", STRING)]))
 
 # Source keys that take part in the content hash.
 HASHED_KEYS = [
@@ -14,65 +22,94 @@ HASHED_KEYS = [
     "supertypes", "text", "toughness", "type", "types",
 ]
 
-_STR, _INT, _LONG, _FLOAT = T.StringType(), T.IntegerType(), T.LongType(), T.FloatType()
-_BOOL, _TIME = T.BooleanType(), T.TimestampType()
-_STRS, _PAIRS = T.ArrayType(_STR), T.MapType(_STR, _STR)
-
-
-def _layout(**groups: T.DataType) -> T.StructType:
-    """Struct from ``name=type``; names that share a type are joined by ``__``."""
-    return T.StructType([T.StructField(n, t) for names, t in groups.items() for n in names.split("__")])
-
-
-_RULINGS = T.ArrayType(_layout(date__text=_STR))
-_SKILLS = T.MapType(_STR, _BOOL)
-_RELATED = T.MapType(_STR, _STRS)
 
 # The typed view of one source face. Fields left out here
 # (translations, deprecated duplicates) are never materialised.
-FACE = _layout(
-    name__faceName__side__layout__manaCost=_STR,
-    manaValue__faceManaValue=_FLOAT,
-    colors__colorIdentity__colorIndicator=_STRS,
-    type=_STR,
-    supertypes__types__subtypes=_STRS,
-    power__toughness__loyalty__defense__hand__life__text=_STR,
-    keywords=_STRS,
-    legalities=_PAIRS,
-    leadershipSkills=_SKILLS,
-    rulings=_RULINGS,
-    purchaseUrls=_PAIRS,
-    relatedCards=_RELATED,
-    printings__producedMana__subsets=_STRS,
-    isFunny__isGameChanger__isReserved__hasAlternativeDeckLimit=_BOOL,
-    edhrecRank=_INT,
-    edhrecSaltiness=_FLOAT,
-    firstPrinting=_STR,
-)
+FACE = StructType([
+    StructField("name", STRING),
+    StructField("faceName", STRING),
+    StructField("side", STRING),
+    StructField("layout", STRING),
+    StructField("manaCost", STRING),
+    StructField("manaValue", FLOAT),
+    StructField("faceManaValue", FLOAT),
+    StructField("colors", STRINGS),
+    StructField("colorIdentity", STRINGS),
+    StructField("colorIndicator", STRINGS),
+    StructField("type", STRING),
+    StructField("supertypes", STRINGS),
+    StructField("types", STRINGS),
+    StructField("subtypes", STRINGS),
+    StructField("power", STRING),
+    StructField("toughness", STRING),
+    StructField("loyalty", STRING),
+    StructField("defense", STRING),
+    StructField("hand", STRING),
+    StructField("life", STRING),
+    StructField("text", STRING),
+    StructField("keywords", STRINGS),
+    StructField("legalities", TEXTS),
+    StructField("leadershipSkills", MapType(STRING, BOOLEAN)),
+    StructField("rulings", RULINGS),
+    StructField("purchaseUrls", TEXTS),
+    StructField("relatedCards", MapType(STRING, STRINGS)),
+    StructField("printings", STRINGS),
+    StructField("producedMana", STRINGS),
+    StructField("subsets", STRINGS),
+    StructField("isFunny", BOOLEAN),
+    StructField("isGameChanger", BOOLEAN),
+    StructField("isReserved", BOOLEAN),
+    StructField("hasAlternativeDeckLimit", BOOLEAN),
+    StructField("edhrecRank", INT),
+    StructField("edhrecSaltiness", FLOAT),
+    StructField("firstPrinting", STRING),
+])
 
 # Columns of the card table, in load order.
-CARDS = _layout(
-    scryfall_oracle_id=_STR,
-    face_index=_INT,
-    name__face_name__side__layout__mana_cost=_STR,
-    mana_value__face_mana_value=_FLOAT,
-    colors__color_identity__color_indicator=_STRS,
-    type_line=_STR,
-    supertypes__types__subtypes=_STRS,
-    power__toughness__loyalty__defense__hand__life__oracle_text=_STR,
-    keywords=_STRS,
-    legalities=_PAIRS,
-    leadership_skills=_SKILLS,
-    rulings=_RULINGS,
-    purchase_urls=_PAIRS,
-    related_cards=_RELATED,
-    printings__produced_mana__subsets=_STRS,
-    is_funny__is_game_changer__is_reserved__has_alt_deck_limit=_BOOL,
-    edhrec_rank=_INT,
-    edhrec_saltiness=_FLOAT,
-    content_hash__first_printing__source_version=_STR,
-    updated_at=_TIME,
-)
+CARDS = StructType([
+    StructField("scryfall_oracle_id", STRING),
+    StructField("face_index", INT),
+    StructField("name", STRING),
+    StructField("face_name", STRING),
+    StructField("side", STRING),
+    StructField("layout", STRING),
+    StructField("mana_cost", STRING),
+    StructField("mana_value", FLOAT),
+    StructField("face_mana_value", FLOAT),
+    StructField("colors", STRINGS),
+    StructField("color_identity", STRINGS),
+    StructField("color_indicator", STRINGS),
+    StructField("type_line", STRING),
+    StructField("supertypes", STRINGS),
+    StructField("types", STRINGS),
+    StructField("subtypes", STRINGS),
+    StructField("power", STRING),
+    StructField("toughness", STRING),
+    StructField("loyalty", STRING),
+    StructField("defense", STRING),
+    StructField("hand", STRING),
+    StructField("life", STRING),
+    StructField("oracle_text", STRING),
+    StructField("keywords", STRINGS),
+    StructField("legalities", TEXTS),
+    StructField("leadership_skills", MapType(STRING, BOOLEAN)),
+    StructField("rulings", RULINGS),
+    StructField("purchase_urls", TEXTS),
+    StructField("related_cards", MapType(STRING, STRINGS)),
+    StructField("printings", STRINGS),
+    StructField("produced_mana", STRINGS),
+    StructField("subsets", STRINGS),
+    StructField("is_funny", BOOLEAN),
+    StructField("is_game_changer", BOOLEAN),
+    StructField("is_reserved", BOOLEAN),
+    StructField("has_alt_deck_limit", BOOLEAN),
+    StructField("edhrec_rank", INT),
+    StructField("edhrec_saltiness", FLOAT),
+    StructField("content_hash", STRING),
+    StructField("first_printing", STRING),
+    StructField("source_version", STRING),
+    StructField("updated_at", TIMESTAMP),
+])
 CARD_COLUMNS = [c for c in CARDS.fieldNames() if c != "updated_at"]
 CARD_KEY = ["scryfall_oracle_id", "face_index"]
 CARD_REQUIRED = [
@@ -81,21 +118,49 @@ CARD_REQUIRED = [
     "is_reserved", "has_alt_deck_limit", "content_hash", "updated_at",
 ]
 
-VECTORS = _layout(
-    id__source=_STR, chunk_index=_INT, chunk_text__chunk_hash=_STR,
-    embedding=T.ArrayType(_FLOAT), model=_STR, updated_at=_TIME,
-)
+# The vector table, the logs and the concept tree.
+VECTORS = StructType([
+    StructField("id", STRING),
+    StructField("source", STRING),
+    StructField("chunk_index", INT),
+    StructField("chunk_text", STRING),
+    StructField("chunk_hash", STRING),
+    StructField("embedding", ArrayType(FLOAT)),
+    StructField("model", STRING),
+    StructField("updated_at", TIMESTAMP),
+])
 VECTOR_KEY = ["id", "source", "chunk_index"]
 VECTOR_REQUIRED = [c for c in VECTORS.fieldNames() if c != "embedding"]
 
-SYNC_LOG = _layout(
-    id=_INT, started_at__finished_at=_TIME, source_version__source_sha256=_STR,
-    total_cards__inserted__updated__unchanged__deleted=_LONG, status=_STR,
-)
+SYNC_LOG = StructType([
+    StructField("id", INT),
+    StructField("started_at", TIMESTAMP),
+    StructField("finished_at", TIMESTAMP),
+    StructField("source_version", STRING),
+    StructField("source_sha256", STRING),
+    StructField("total_cards", LONG),
+    StructField("inserted", LONG),
+    StructField("updated", LONG),
+    StructField("unchanged", LONG),
+    StructField("deleted", LONG),
+    StructField("status", STRING),
+])
 
-EMBED_LOG = _layout(id=_INT, source__model=_STR, embedded=_LONG, finished_at=_TIME)
+EMBED_LOG = StructType([
+    StructField("id", INT),
+    StructField("source", STRING),
+    StructField("model", STRING),
+    StructField("embedded", LONG),
+    StructField("finished_at", TIMESTAMP),
+])
 
-TAXONOMY = _layout(
-    key__parent_key__name=_STR, depth=_INT, dfs_ord=T.ArrayType(_INT),
-    aliases=_STRS, description=_STR, oracle_hints=_STRS,
-)
+TAXONOMY = StructType([
+    StructField("key", STRING),
+    StructField("parent_key", STRING),
+    StructField("name", STRING),
+    StructField("depth", INT),
+    StructField("dfs_ord", ArrayType(INT)),
+    StructField("aliases", STRINGS),
+    StructField("description", STRING),
+    StructField("oracle_hints", STRINGS),
+])
