@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loreweave.sources.staging import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,8 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents for work that is heavy per text."""
-    return spread(table(spark, sf_dir, "documents").select(*columns))
+    """The documents, dealt out for work that is heavy per text."""
+    cores = spark.sparkContext.defaultParallelism
+    return table(spark, sf_dir, "documents").select(*columns).repartition(cores)
 
 
 class Catalog:

@@ -9,7 +9,7 @@ from catalog import Catalog, table, texts
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
 from loreweave.plans.jobs import embed_source
-from loreweave.sources.staging import scratch, spread
+from loreweave.sources.staging import scratch
 from loreweave.sources.warehouse import Warehouse
 
 catalog = Catalog()
@@ -79,19 +79,20 @@ def rules_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf: str) -> DataFrame:
-    return texts(spark, sf, "doc_id", "source", "lang", "n_chars", "text").select(
+    """Documents as cards; those without a label come without a text."""
+    labelled = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("known"))
+    return texts(spark, sf, "doc_id", "source", "lang", "text").join(labelled, "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("scryfall_oracle_id"), F.lit(0).alias("face_index"),
-        F.concat_ws(" ", "source", "lang").alias("name"),
-        F.when(F.col("n_chars") > 100, F.col("text")).alias("oracle_text"),
+        F.concat_ws(" ", "source", "lang").alias("name"), F.when(F.col("known"), F.col("text")).alias("oracle_text"),
     )
 
 
 @catalog.add("""
 SELECT 'card_name' AS source, doc_id || ':0' AS id, 0 AS chunk_index, source || ' ' || lang AS chunk_text FROM documents
 UNION ALL
-SELECT 'card_text', doc_id || ':0', 0, CASE WHEN n_chars > 100 THEN
+SELECT 'card_text', d.doc_id || ':0', 0, CASE WHEN l.doc_id IS NOT NULL THEN
     trim(regexp_replace(replace(text, source || ' ' || lang, 'this card'), '[ \\t]+', ' ', 'g'), ' ' || chr(10)) ELSE '' END
-FROM documents""")
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def chunk_sources(spark: SparkSession, sf: str) -> DataFrame:
     inputs = {"cards": cards(spark, sf)}
     parts = [C.SOURCES[s](inputs).withColumn("source", F.lit(s)) for s in ("card_name", "card_text")]
@@ -178,7 +179,7 @@ def embed_job(spark: SparkSession, sf: str) -> DataFrame:
     store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
     model = E.hashing_backend(64)
-    everything = spread(doc_chunks(spark, sf))
+    everything = doc_chunks(spark, sf)
     labelled = everything.join(
         table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")), "id", "left_semi"
     )

@@ -207,8 +207,8 @@ def tags(spark: SparkSession, sf: str) -> DataFrame:
 
 @catalog.add(_TAGS + " SELECT doc_id, key FROM tags")
 def tags_by_grams(spark: SparkSession, sf: str) -> DataFrame:
-    """The same when the hints are too many to test inside each row."""
-    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf), inline=0)
+    """The same through a bitmap that is nearly full, so the join and the test decide."""
+    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf), buckets=64)
 
 
 @catalog.add(_TAGS + " SELECT doc_id, string_agg(key, '|' ORDER BY key) AS tags FROM tags GROUP BY doc_id")
@@ -222,8 +222,7 @@ def tag_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @catalog.add(f"""
 WITH hint AS (
-  SELECT label, n, embedding FROM (
-    SELECT label, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n FROM embeddings) WHERE n <= 3
+  SELECT label, embedding FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
 ), best AS (
   SELECT h.label AS term, e.vec_id AS id, max({_COS.format('h.embedding')}) AS s FROM hint h, embeddings e GROUP BY ALL
 ), ranked AS (
@@ -231,14 +230,13 @@ WITH hint AS (
 )
 SELECT term, id, round(s, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5""")
 def fan_out_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Three example vectors for each label are its searches."""
-    from loreweave.operators.ranking import top_k
-
+    """A label's searches are its vectors whose document is marked toxic."""
     rows = table(spark, sf, "embeddings")
-    searches = top_k(rows, ["label"], 3, F.col("vec_id")).select(
-        F.struct(F.col("label").alias("term"), F.col("rank").alias("n")).alias("q"), "embedding"
-    ).select(F.col("q.term").alias("term"), F.concat_ws("|", "q.term", "q.n").alias("query_id"),
-             F.col("embedding").alias("query_vector"))
+    marked = table(spark, sf, "labels").filter("toxic = 1").select(F.col("doc_id").alias("vec_id"))
+    searches = rows.join(marked, "vec_id", "left_semi").select(
+        F.col("label").alias("term"), F.concat_ws("|", "label", "vec_id").alias("query_id"),
+        F.col("embedding").alias("query_vector"),
+    )
     hits = similar_batch(rows, searches, 5, id_col="vec_id")
     return merge_best(hits, searches.select("query_id", "term"), "term", 5).withColumn(
         "similarity", F.round("similarity", 6)

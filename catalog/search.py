@@ -111,7 +111,7 @@ def vector_batch(spark: SparkSession, sf: str) -> DataFrame:
 def vector_batch_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same when the queries are too many for one broadcast."""
     return _rounded(S.similar_batch(
-        table(spark, sf, "embeddings"), label_queries(spark, sf), 5, id_col="vec_id", broadcast_floats=64 * 6
+        table(spark, sf, "embeddings"), label_queries(spark, sf), 5, id_col="vec_id", block_floats=64 * 6
     ))
 
 
@@ -194,7 +194,8 @@ PHRASES = ["the th", "QUE", "a_d", "in%on", "100%", "no such phrase"]
 WITH phrases AS (SELECT unnest(['the th', 'QUE', 'a_d', 'in%on', '100%', 'no such phrase']) AS phrase)
 SELECT phrase, count(doc_id) AS n FROM phrases LEFT JOIN documents ON text ILIKE '%' || phrase || '%' GROUP BY phrase""")
 def phrase_count(spark: SparkSession, sf: str) -> DataFrame:
-    return S.phrase_counts(texts(spark, sf, "text"), "text", PHRASES)
+    phrases = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
+    return S.phrase_counts(texts(spark, sf, "text"), "text", phrases)
 
 
 @catalog.add("""

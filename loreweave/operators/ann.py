@@ -13,19 +13,14 @@ from loreweave.functions.vectors import dot
 from loreweave.operators.ranking import top_k
 from loreweave.operators.search import similar_batch
 
-# Training rows per list; the lists themselves always hold all vectors.
-TRAIN_PER_LIST = 256
-
 
 def train_lists(
     vectors: DataFrame, lists: int = 100, *, vector_col: str = "embedding", seed: int = 42,
-    max_iter: int = 20,
+    max_iter: int = 20, fraction: float = 1.0,
 ) -> np.ndarray:
-    """Centroids by cosine k-means on a sample whose size depends on ``lists`` only."""
-    n = vectors.count()
-    wanted = TRAIN_PER_LIST * lists
-    if n > wanted:
-        vectors = vectors.sample(fraction=min(1.0, 1.2 * wanted / n), seed=seed)
+    """Centroids by cosine k-means on all vectors, or on a ``fraction`` of them if asked for."""
+    if fraction < 1.0:
+        vectors = vectors.sample(fraction=fraction, seed=seed)
     v = F.col(vector_col)
     usable = vectors.filter(v.isNotNull()).filter(dot(v, v) > 0)
     points = usable.select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("features"))

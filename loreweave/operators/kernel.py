@@ -42,6 +42,18 @@ def matcher(k: int, digits: int):
             rank = np.arange(len(q)) - np.searchsorted(q, q)
             return found.filter(pa.array(rank < k))
 
+        def few_equal(v, ids):
+            """Rows without those that k equal vectors with smaller ids stand before."""
+            same = np.ascontiguousarray(v).view(np.dtype((np.void, v.shape[1] * v.itemsize))).ravel()
+            group = np.unique(same, return_inverse=True)[1]
+            if len(group) <= k or np.bincount(group).max() <= k:
+                return np.arange(len(v))
+            order = pc.sort_indices(
+                pa.table({"g": pa.array(group), "id": ids}), sort_keys=[("g", "ascending"), ("id", "ascending")]
+            ).to_numpy()
+            place = np.arange(len(order)) - np.searchsorted(group[order], group[order])
+            return np.sort(order[place < k])
+
         def slices(batches):
             """Batches cut so that a float64 copy stays in the tens of megabytes."""
             for batch in batches:
@@ -52,6 +64,9 @@ def matcher(k: int, digits: int):
 
         for batch in slices(batches):
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
+            widths = pc.unique(pc.list_value_length(batch.column("vector"))).to_pylist()
+            if widths != [q_matrix.shape[1]]:
+                raise ValueError(f"queries have width {q_matrix.shape[1]}, vectors have {widths}")
             flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
             matrix = flat.reshape(batch.num_rows, -1).astype("float64")
             found = [] if best is None else [best]
@@ -60,6 +75,18 @@ def matcher(k: int, digits: int):
                 if wanted is None:
                     continue
                 rows = np.flatnonzero(cells == cell)
+                rows = rows[few_equal(matrix[rows], batch.column("id").take(pa.array(rows)))]
+                blank = wanted[q_norm[wanted] == 0]
+                if len(blank):
+                    # A query of length zero is as near to one vector as to any other.
+                    ids = batch.column("id").take(pa.array(rows))
+                    first = ids.take(pc.sort_indices(ids).slice(0, k))
+                    found.append(pa.table({
+                        "q": pa.array(np.repeat(blank, len(first)), pa.int64()),
+                        "s": pa.nulls(len(first) * len(blank), pa.float64()),
+                        "id": pa.concat_arrays([first] * len(blank)),
+                    }))
+                    wanted = wanted[q_norm[wanted] > 0]
                 v = matrix[rows]
                 v_norm = np.sqrt((v * v).sum(axis=1))
                 unit = v / np.where(v_norm > 0, v_norm, 1.0)[:, None]
@@ -74,11 +101,11 @@ def matcher(k: int, digits: int):
                         low = np.maximum(low, np.partition(rough, len(v) - k, axis=0)[len(v) - k])
                     r, q = np.nonzero(rough >= low - 1e-9)
                     sims = exact(v, v_norm, r, block[q])
-                    found.append(pa.table({
+                    found.append(top(pa.table({
                         "q": pa.array(block[q], pa.int64()),
                         "s": pa.array(sims, pa.float64(), mask=np.isnan(sims)),
                         "id": batch.column("id").take(pa.array(rows[r])),
-                    }))
+                    })))
             if not found:
                 continue
             best = top(pa.concat_tables(found))

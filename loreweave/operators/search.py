@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.vectors import cosine_to, id_face, id_oracle
 from loreweave.operators.kernel import matcher
+from loreweave.operators.matching import candidates
 from loreweave.operators.ranking import top_k
 from loreweave.sources.staging import stage
 
@@ -20,13 +20,8 @@ from loreweave.sources.staging import stage
 # in which a sum was taken) is a tie, and ties go to the smaller id.
 DIGITS = 12
 
-# Vectors in one block when blocks of vectors and queries meet.
-BLOCK_ROWS = 20_000
-
-# Query vectors that one broadcast may hold, in rows and in floats (64 MB in
-# doubles). More queries than that are matched block by block instead.
-BROADCAST_ROWS = 20_000
-BROADCAST_FLOATS = 8_000_000
+# Numbers in one block of query vectors (64 MB in doubles).
+BLOCK_FLOATS = 8_000_000
 
 
 # ---- Lookup and text -------------------------------------------------------
@@ -49,29 +44,34 @@ def find(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     return df.filter(F.col(column).isin(list(values)))
 
 
-def phrase_counts(df: DataFrame, text_col: str, phrases: Sequence[str]) -> DataFrame:
-    """Rows whose text contains each phrase, in any case: ``phrase, n``.
+def phrase_counts(df: DataFrame, text_col: str, phrases: DataFrame) -> DataFrame:
+    """Rows whose text contains each phrase, in any case: ``phrase, n``; ``phrases`` has ``phrase``.
 
-    ``%`` and ``_`` in a phrase are wildcards. All phrases are counted in one
-    pass over the table, each task sending on one partial count per phrase.
+    ``%`` and ``_`` in a phrase are wildcards. A phrase meets the texts that
+    may hold its longest plain part, and only these run its pattern. Phrases of
+    wildcards alone ask for a number of characters.
     """
-    # Lower case is made once per text, not once per phrase.
-    low = df.select(F.lower(text_col).alias("_low"))
-    counts = low.agg(*[
-        F.count_if(_contains(F.col("_low"), p.lower())).alias(f"p{i}") for i, p in enumerate(phrases)
-    ])
-    rows = [F.struct(F.lit(p).alias("phrase"), F.col(f"p{i}").alias("n")) for i, p in enumerate(phrases)]
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def _contains(text: Column, phrase: str) -> Column:
-    """``LIKE '%phrase%'`` as a search, which need not match the text around the phrase."""
-    parts = re.findall(r"\\.|[%_]|[^%_\\]+", phrase, flags=re.DOTALL)
-    if not any(p in "%_" for p in parts):
-        return F.contains(text, F.lit("".join(p[-1] if p[0] == "\\" else p for p in parts)))
-    wild = {"%": ".*", "_": "."}
-    quoted = [wild.get(p) or re.escape(p[-1] if p[0] == "\\" else p) for p in parts]
-    return F.regexp(text, F.lit("(?s)" + "".join(quoted)))
+    plain = F.transform(
+        F.regexp_extract_all("_low_phrase", F.lit(r"(?s)(?:\\.|[^%_\\])+"), F.lit(0)),
+        lambda part: F.regexp_replace(part, r"(?s)\\(.)", "$1"),
+    )
+    longest = F.reduce(plain, F.lit(""), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a))
+    asked = phrases.select("phrase").distinct().withColumn("_low_phrase", F.lower("phrase"))
+    asked = asked.withColumn("_anchor", longest).withColumn("_like", F.concat(F.lit("%"), "_low_phrase", F.lit("%")))
+    texts = df.select(F.lower(text_col).alias("_low"))
+    rows = texts.withColumn("_row", F.monotonically_increasing_id())
+    found = candidates(rows, "_low", asked, "_anchor").filter(F.expr("_low like _like"))
+    counts = found.select("_row", "phrase").distinct().groupBy("phrase").agg(F.count("*").alias("n"))
+
+    wild = asked.filter("_anchor = ''").select("phrase", F.length(F.replace("_low_phrase", F.lit("%"), F.lit(""))).alias("least"))
+    lengths = sorted(r[0] for r in wild.select("least").distinct().collect())
+    if lengths:
+        tests = [F.count_if(F.length("_low") >= k).alias(str(k)) for k in lengths]
+        by_length = texts.agg(*tests).select(
+            F.inline(F.array(*[F.struct(F.lit(k).alias("least"), F.col(str(k)).alias("n")) for k in lengths]))
+        )
+        counts = counts.unionByName(wild.join(by_length, "least").select("phrase", "n"))
+    return phrases.select("phrase").join(counts, "phrase", "left").select("phrase", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def has_all(array: Column, values: Sequence[str]) -> Column:
@@ -167,18 +167,18 @@ def similar_batch(
     vectors: DataFrame, queries: DataFrame, k: int = 5,
     *, id_col: str = "id", vector_col: str = "embedding",
     query_id: str = "query_id", query_vector: str = "query_vector",
-    cell: str | None = None, broadcast_floats: int = BROADCAST_FLOATS,
+    cell: str | None = None, block_floats: int = BLOCK_FLOATS,
 ) -> DataFrame:
     """Exact top-k of every query: ``query_id, id, similarity, rank``.
 
-    Each task multiplies its own vectors with the query matrix and keeps k
-    candidates per query, so pairs are never materialised and only
-    ``k × queries`` rows per task reach the final ranking. The query matrix is
-    broadcast when its measured size allows, and split into blocks otherwise;
-    both ways give the same rows.
+    Queries go in blocks of at most about ``block_floats`` numbers to all
+    vectors, which stay where they are. Each task multiplies its own vectors
+    with the block and keeps k candidates per query, so pairs are never
+    materialised and only ``k × queries`` rows per task reach the ranking.
 
     With ``cell`` (a column of both sides) a query meets only the vectors of
-    its own cells; a query takes part once per cell row.
+    its own cells; a query takes part once per cell row. Vectors whose width
+    differs from the queries' raise an error that names the widths.
     """
     base = vectors.filter(F.col(vector_col).isNotNull()).select(
         F.col(id_col).alias("id"),
@@ -193,71 +193,36 @@ def similar_batch(
     out = T.StructType([
         wanted.schema["query_id"], base.schema["id"], T.StructField("similarity", T.DoubleType()),
     ])
-    head = wanted.limit(min(BROADCAST_ROWS, broadcast_floats) + 1).toArrow()
-    width = len(head.column("query_vector")[0]) if head.num_rows else 0
-    if head.num_rows <= BROADCAST_ROWS and head.num_rows * width <= broadcast_floats:
-        partial = _broadcast_match(base, head, k, out)
-    else:
-        partial = _blocked_match(base, wanted, k, out, max(broadcast_floats // width, 1))
+    wanted = stage(wanted, "queries")
+    size = wanted.agg(F.sum(F.size("query_vector")), F.max(F.size("query_vector"))).first()
+    blocks = max(1, -(-(size[0] or 0) // block_floats))
+    number = F.pmod(F.xxhash64("query_id", "query_vector"), F.lit(blocks))
+    partial = base.sparkSession.createDataFrame([], out)
+    for b in range(blocks):
+        rows = wanted.filter(number == b).toArrow()
+        if rows.num_rows:
+            partial = partial.union(_match_block(base, rows, size[1], k, out))
     order = (F.desc_nulls_last("similarity"), F.col("id"))
     return top_k(partial, ["query_id"], k, *order)
 
 
-def _query_arrays(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _match_block(base: DataFrame, rows: pa.Table, width: int, k: int, out: T.StructType) -> DataFrame:
+    """One block of queries, broadcast to the vectors where they lie."""
     vectors = rows.column("query_vector").combine_chunks()
-    matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
-    return (
-        rows.column("query_id").combine_chunks(), matrix.astype("float64"), rows.column("cell").to_numpy()
-    )
-
-
-def _broadcast_match(base: DataFrame, rows: pa.Table, k: int, out: T.StructType) -> DataFrame:
-    if not rows.num_rows:
-        return base.sparkSession.createDataFrame([], out)
-    shared = base.sparkSession.sparkContext.broadcast(_query_arrays(rows))
+    if (pc.list_value_length(vectors).to_numpy() != width).any():
+        raise ValueError(f"query vectors differ in width; the widest has {width}")
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1).astype("float64")
+    cells = rows.column("cell").to_numpy()
+    shared = base.sparkSession.sparkContext.broadcast((rows.column("query_id").combine_chunks(), matrix, cells))
     match = matcher(k, DIGITS)
 
     def run(batches):
         for found in match(batches, *shared.value):
             yield from found.to_batches()
 
-    return base.mapInArrow(run, out)
-
-
-def _blocked_match(
-    base: DataFrame, wanted: DataFrame, k: int, out: T.StructType, per_block: int
-) -> DataFrame:
-    """Vectors and queries in hash blocks; every pair of blocks meets in one task."""
-    q_blocks = -(-wanted.count() // per_block)
-    v_blocks = max(-(-base.count() // BLOCK_ROWS), 1)
-    left = base.withColumn("vb", F.pmod(F.xxhash64("id", "vector"), F.lit(v_blocks))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-    )
-    right = wanted.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn(
-        "vb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(v_blocks - 1).cast("bigint")))
-    )
-    match = matcher(k, DIGITS)
-
-    def run(v, q):
-        import numpy as np
-        import pyarrow as pa
-
-        if v.num_rows and q.num_rows:
-            vectors = q.column("query_vector").combine_chunks()
-            matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(q.num_rows, -1)
-            found = list(match(
-                v.combine_chunks().to_batches(), q.column("query_id").combine_chunks(),
-                np.asarray(matrix, dtype="float64"), q.column("cell").to_numpy(),
-            ))
-            if found:
-                return found[0]
-        return pa.table({
-            "query_id": q.column("query_id").slice(0, 0), "id": v.column("id").slice(0, 0),
-            "similarity": pa.array([], pa.float64()),
-        })
-
-    key = ["cell", "qb", "vb"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, out)
+    # Vectors of cells that no query of the block asks for are not sent to Python.
+    asked = sorted(set(cells.tolist()))
+    return base.filter(F.col("cell").isin(asked)).mapInArrow(run, out)
 
 
 def top1_check(hits: DataFrame, expected: DataFrame) -> DataFrame:

@@ -2,120 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Hints up to this number and this many characters in all are matched inside
-# each row; a larger set goes through an index.
-INLINE_HINTS = 20_000
-INLINE_CHARS = 20_000_000
-# Below this many, testing hint by hint is cheaper than leaving the JVM.
-_FEW = 16
-# Character runs under which texts and hints meet, longest that fits the hint.
-_GRAMS = (8, 4, 2, 1)
-_SALTS = 16
+from loreweave.operators.matching import BUCKETS, candidates
 
 
 def tag_texts(
-    texts: DataFrame, id_col: str, text_col: str, hints: DataFrame, *, inline: int = INLINE_HINTS
+    texts: DataFrame, id_col: str, text_col: str, hints: DataFrame, *, buckets: int = BUCKETS
 ) -> DataFrame:
-    """``id, key``: each concept once for each text containing one of its hints.
+    """``id, key``: each concept once for each row whose text contains one of its hints.
 
     ``hints`` has ``key, hint``. Containment ignores case and may start inside
-    a word. Up to ``inline`` hints every text is read once and no text moves;
-    more hints are matched through character grams.
+    a word. Rows are kept apart by a number of their own, so null and repeated
+    ids keep their tags. ``buckets`` sizes the bitmap and changes no row.
     """
-    wanted = hints.select("key", F.lower("hint").alias("hint")).filter(F.col("hint") != "").distinct()
-    size = wanted.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.length("hint")), F.lit(0)).alias("chars")
-    ).first()
-    if size.n > inline or size.chars > INLINE_CHARS:
-        return _by_grams(texts, id_col, text_col, wanted)
-    pairs = sorted((r.key, r.hint) for r in wanted.collect())
-    low = F.lower(text_col)
-    keys = _keys_in_one_scan(low, pairs) if len(pairs) > _FEW and _has_scanner() else _keys(low, pairs)
-    return texts.select(id_col, F.explode(keys).alias("key"))
+    wanted = hints.select("key", F.lower("hint").alias("_hint")).filter("_hint <> ''").distinct()
+    rows = texts.select(F.col(id_col).alias("_id"), F.lower(text_col).alias("_low")).withColumn(
+        "_row", F.monotonically_increasing_id()
+    )
+    found = candidates(rows, "_low", wanted, "_hint", buckets=buckets).filter(F.contains("_low", "_hint"))
+    tags = found.select("_row", "_id", "key").distinct()
+    return tags.select(F.col("_id").alias(id_col), "key")
 
 
 def tag_arrays(tags: DataFrame, id_col: str) -> DataFrame:
     """Tags as one sorted array per id."""
     return tags.groupBy(id_col).agg(F.sort_array(F.collect_set("key")).alias("taxonomy_tags"))
-
-
-def _keys(low: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Array of the keys whose hints a text contains, one test per hint."""
-    table = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("hint")) for k, h in pairs])
-    table = table.cast("array<struct<key:string,hint:string>>")
-
-    def found(text: Column) -> Column:
-        hit = F.filter(table, lambda p: F.contains(text, p["hint"]))
-        return F.array_distinct(F.transform(hit, lambda p: p["key"]))
-
-    # The lower-case text is bound once per row, not once per hint.
-    return F.flatten(F.transform(F.array(low), found))
-
-
-def _has_scanner() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
-def _keys_in_one_scan(low: Column, pairs: list[tuple[str, str]]) -> Column:
-    """The same with one scan of each text for all hints together."""
-    by_hint: dict[str, list[str]] = {}
-    for key, hint in pairs:
-        by_hint.setdefault(hint, []).append(key)
-
-    @F.pandas_udf("array<string>")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        words = ahocorasick.Automaton()
-        for hint, keys in by_hint.items():
-            words.add_word(hint, keys)
-        words.make_automaton()
-        for texts in batches:
-            yield pd.Series([
-                sorted({k for _, keys in words.iter(t) for k in keys}) if t else [] for t in texts
-            ], dtype=object)
-
-    return scan(low)
-
-
-def _by_grams(texts: DataFrame, id_col: str, text_col: str, hints: DataFrame) -> DataFrame:
-    """Equi join on character grams, then a containment test per candidate.
-
-    A hint is indexed under its first characters, as many as it has of the
-    gram sizes; a text under all its distinct grams of the sizes in use. Grams
-    are spread over salts, so no task holds all texts or all hints of a
-    frequent gram.
-    """
-    size = F.coalesce(*[F.when(F.length("hint") >= n, F.lit(n)) for n in _GRAMS])
-    sized = hints.withColumn("size", size)
-    used = sorted(r["size"] for r in sized.select("size").distinct().collect())
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))
-    by_hint = sized.select(
-        "key", "hint", F.xxhash64(F.substring("hint", F.lit(1), F.col("size"))).alias("gram"),
-        F.explode(salts).alias("salt"),
-    )
-    low = texts.select(id_col, F.lower(text_col).alias("_low"))
-    grams = F.flatten(F.array(*[
-        F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in used
-    ]))
-    hashes = F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
-    by_text = low.select(
-        id_col, F.explode(hashes).alias("gram"), F.pmod(F.xxhash64(id_col), F.lit(_SALTS)).alias("salt")
-    )
-    candidates = by_text.join(by_hint, ["gram", "salt"]).select(id_col, "key", "hint")
-    return (
-        candidates.join(low, id_col)
-        .filter(F.contains("_low", "hint"))
-        .select(id_col, "key")
-        .distinct()
-    )

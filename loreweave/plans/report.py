@@ -52,7 +52,7 @@ def run_checks(store: Warehouse, model: Backend, want: Expectations = Expectatio
     names = spark.createDataFrame([(n,) for n in want.names], "name string")
     phrases = spark.createDataFrame(list(want.phrases.items()), "phrase string, min_count int")
     expected = spark.createDataFrame(list(want.coverage.items()), "source string, min_count int")
-    found = S.phrase_counts(cards, "oracle_text", list(want.phrases))
+    found = S.phrase_counts(cards, "oracle_text", phrases)
     checks = {
         "foundation": all_ok(K.foundation(
             cards, "scryfall_oracle_id", "face_index", "content_hash", min_rows=want.min_rows)),

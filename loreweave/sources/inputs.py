@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loreweave.sources.staging import spread
-
 _META = "meta struct<date: string, version: string>"
 
 
@@ -14,30 +12,31 @@ class ChecksumError(RuntimeError):
     """A file's digest differs from the one in its sidecar."""
 
 
-def read_dump(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_dump(spark: SparkSession, path: str, *, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(meta, entries)`` of nested JSON dumps ``{meta, data: {name: [face]}}``.
 
     ``entries`` has one row per name: ``entry_pos`` (order in the file),
-    ``name``, ``faces`` (array of variant). A dump is one JSON document, which
-    one task has to parse; its entries are spread over the cores right after.
-    Many dumps parse in parallel.
+    ``name``, ``faces`` (array of variant) and ``version``, that of its own
+    dump. A dump is one JSON document, which one task has to parse;
+    ``partitions`` deals its entries out for the work that follows. Many dumps
+    parse in parallel; an input that Spark can split is ``read_entry_lines``.
     """
     dump = (
         spark.read.schema(f"{_META}, data map<string, array<variant>>")
         .option("multiLine", True)
         .json(path)
     )
-    entries = dump.select(F.posexplode("data").alias("entry_pos", "name", "faces"))
-    return dump.select("meta.*"), spread(entries)
+    entries = dump.select("meta.version", F.posexplode("data").alias("entry_pos", "name", "faces"))
+    return dump.select("meta.*"), entries.repartition(partitions) if partitions else entries
 
 
 def read_entry_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Entries from JSON lines ``{"name": …, "faces": […]}``, split by Spark.
+    """Entries from JSON lines ``{"name": …, "faces": […], "version": …}``, split by Spark.
 
     There is no order across files, so the name itself stands in for it.
     """
-    lines = spark.read.schema("name string, faces array<variant>").json(path)
-    return lines.select(F.col("name").alias("entry_pos"), "name", "faces")
+    lines = spark.read.schema("name string, faces array<variant>, version string").json(path)
+    return lines.select("version", F.col("name").alias("entry_pos"), "name", "faces")
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

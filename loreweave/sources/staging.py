@@ -42,13 +42,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input at least one partition per core, for work that is heavy per row.
-
-    An input that already has as many partitions is left as it is, so nothing
-    is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

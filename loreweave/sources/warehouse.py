@@ -83,9 +83,9 @@ class Warehouse:
     # -- tables ------------------------------------------------------------
 
     def init(self) -> None:
-        """Create the logs if they are missing; safe to repeat."""
+        """Create the logs if they are missing; repeating it writes nothing."""
         for name, layout in _LOGS.items():
-            self._empty(layout).write.mode("append").parquet(f"{self.root}/{name}")
+            self._empty(layout).write.mode("ignore").parquet(f"{self.root}/{name}")
 
     def sync_log(self) -> DataFrame:
         return self._log("sync_log").drop("snapshot", "base")

@@ -50,7 +50,7 @@ def data():
 def test_batch_against_brute_force(spark, data, floats):
     vectors, queries = data
     df, q = spark.createDataFrame(vectors, VEC).repartition(3), spark.createDataFrame(queries, QRY)
-    hits = S.similar_batch(df, q, 7, broadcast_floats=floats)
+    hits = S.similar_batch(df, q, 7, block_floats=floats)
     assert collect(hits) == exact(vectors, queries, 7)
 
 
@@ -72,7 +72,7 @@ def test_cells(spark, data):
     inside = {r.id for r in df.filter("cell <> 1").collect()}
     want = exact([v for v in vectors if v[0] in inside], queries, 4)
     for floats in (10_000, 16):
-        hits = S.similar_batch(df, q, 4, cell="cell", broadcast_floats=floats).drop("rank")
+        hits = S.similar_batch(df, q, 4, cell="cell", block_floats=floats).drop("rank")
         merged = S.top_k(hits, ["query_id"], 4, F.desc_nulls_last("similarity"), F.col("id"))
         got = {k: [h for h in v] for k, v in collect(merged).items()}
         assert got == want
@@ -124,7 +124,7 @@ def test_lists(spark, data, tmp_path):
 def test_phrases(spark):
     df = spark.createDataFrame([("Draw a Card",), ("draw two cards",), (None,), ("100%",)], "t string")
     phrases = ["DRAW", "a_card", "w%c", "zz", "100\\%", "\\_", "d.a", "%", "00%%"]
-    got = {r.phrase: r.n for r in S.phrase_counts(df, "t", phrases).collect()}
+    got = {r.phrase: r.n for r in S.phrase_counts(df, "t", spark.createDataFrame([(p,) for p in phrases], "phrase string")).collect()}
     want = {p: df.filter(F.col("t").ilike(f"%{p}%")).count() for p in phrases}
     assert got == want and got["DRAW"] == 2 and got["a_card"] == 1 and got["100\\%"] == 1 and got["d.a"] == 0
 
@@ -166,3 +166,22 @@ def test_search_texts_and_fan_out(spark):
         found.setdefault(r.term, []).append((r.id, round(r.similarity, 6)))
     assert [i for i, _ in found["removal"]] == ["a:0", "c:0"] and found["WIPE"][0] == ("c:0", 1.0)
     assert all(s == 1.0 for _, s in found["removal"]) and "other" not in found
+
+
+def test_ties_cost_little(spark):
+    """Equal and zero vectors are cut to k per block before they meet the queries."""
+    rng = np.random.default_rng(2)
+    equal, zero = [1.0] * 16, [0.0] * 16
+    rows = [(f"e{i:05d}", equal) for i in range(4000)] + [(f"z{i:05d}", zero) for i in range(4000)]
+    queries = [(i, [float(x) for x in rng.normal(size=16).round(3)]) for i in range(800)] + [(900, zero)]
+    hits = S.similar_batch(spark.createDataFrame(rows, VEC), spark.createDataFrame(queries, QRY), 3)
+    got = collect(hits)
+    assert len(got) == 801
+    assert all([i for i, _ in got[q]] == ["e00000", "e00001", "e00002"] for q in got)
+
+
+def test_widths_are_checked(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0, 1.0])], VEC)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], QRY)
+    with pytest.raises(Exception, match="width"):
+        S.similar_batch(vectors, queries, 1).collect()
