@@ -85,7 +85,10 @@ def flag(c: Column) -> Column:
 
 
 def face_columns(face: Column, entry_name: Column, version: Column) -> dict[str, Column]:
-    """The card columns that come straight from one typed face."""
+    """The card columns that come straight from one typed face.
+
+    Fixed values: the column for each source key.
+    """
     f = face.getField
     return {
         "name": F.coalesce(f("name"), entry_name),
@@ -141,13 +144,15 @@ def as_json(cards: DataFrame) -> DataFrame:
 def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
     """``(entry_pos, name, faces array<variant>)`` → the card columns.
 
+    ``source_version`` is one text, or a column of the entries.
+
     Numbering happens inside each row. The raw face is reduced to its typed
     columns and its hash before the only shuffle, the one on the final key, in
     which one row per key and map task takes part.
     """
     version = F.lit(source_version) if isinstance(source_version, str) else source_version
     numbered = number_faces(
-        entries.withColumnRenamed("name", "entry_name"), "faces",
+        entries.select("entry_pos", F.col("name").alias("entry_name"), "faces", version.alias("_version")), "faces",
         lambda f: F.try_variant_get(f, "$.identifiers.scryfallOracleId", "string"),
     )
     typed = numbered.select(
@@ -155,12 +160,13 @@ def normalize(entries: DataFrame, source_version: str | Column) -> DataFrame:
         "entry_name",
         F.col("record_id").alias("scryfall_oracle_id"),
         "face_index",
+        "_version",
         F.col("face").cast(schema.FACE).alias("typed"),
         content_hash(F.col("face"), schema.HASHED_KEYS).alias("content_hash"),
     )
     kept = keep_canonical(
         typed, schema.CARD_KEY, "entry_name", "entry_pos", "entry_name", "content_hash"
     )
-    columns = face_columns(F.col("typed"), F.col("entry_name"), version)
+    columns = face_columns(F.col("typed"), F.col("entry_name"), F.col("_version"))
     columns |= {c: F.col(c) for c in ("scryfall_oracle_id", "face_index", "content_hash")}
     return kept.select(*[columns[c].alias(c) for c in schema.CARD_COLUMNS])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 
 from loreweave import schema
 from loreweave.operators import sync as S
-from loreweave.operators.chunks import SOURCES, ChunkSource
+from loreweave.operators.chunks import SOURCES, ChunkSource, last_chunk
 from loreweave.operators.embedding import Backend, pending, with_hash
 from loreweave.operators.normalize import normalize
-from loreweave.sources.inputs import check_digests, read_books, read_dump
+from loreweave.sources.inputs import check_digests, read_books, read_dump, read_entry_lines
 from loreweave.sources.staging import stage
 from loreweave.sources.warehouse import Delta, Warehouse, check, run_time
 
@@ -67,15 +68,27 @@ def sync_cards(
 
 
 def run_sync(
-    store: Warehouse, dump: str, sidecar: str | None = None, *, delete_stale: bool = True
+    store: Warehouse, dump: str | None = None, sidecar: str | None = None, *, lines: str | None = None,
+    delete_stale: bool = True, partitions: int | None = None,
 ) -> dict[str, int]:
-    """Verify, read, normalise and sync one dump; the digest logged is the verified one."""
+    """Verify, read, normalise and sync dumps, or entries as JSON lines, which Spark can split.
+
+    Every row carries the version of its own input; the log names all versions
+    and one digest over the verified files, which for one file is its own.
+    """
+    if (dump is None) == (lines is None):
+        raise ValueError("give either a dump or lines")
     sha = ""
     if sidecar is not None:
-        sha = check_digests(store.spark, dump, sidecar).first().sha256
-    meta, entries = read_dump(store.spark, dump)
-    version = meta.first().version
-    return sync_cards(store, normalize(entries, version), version, sha, delete_stale=delete_stale)
+        digests = sorted(r.sha256 for r in check_digests(store.spark, dump or lines, sidecar).select("sha256").collect())
+        sha = digests[0] if len(digests) == 1 else hashlib.sha256("".join(digests).encode()).hexdigest()
+    if lines is None:
+        _, entries = read_dump(store.spark, dump, partitions=partitions)
+    else:
+        entries = read_entry_lines(store.spark, lines)
+    rows = normalize(entries, F.col("version"))
+    versions = sorted(r.version for r in entries.select("version").distinct().collect() if r.version is not None)
+    return sync_cards(store, rows, ",".join(versions), sha, delete_stale=delete_stale)
 
 
 def embed_source(
@@ -83,12 +96,17 @@ def embed_source(
 ) -> int:
     """Embed the chunks of one source that changed; returns how many.
 
-    Changes are found on ids and hashes alone and written down; only the
+    Of chunks with the same id and index the last one counts: the one with the
+    greatest ``ordinal`` if the source gives this column, else the one that comes
+    last. Changes are found on ids and hashes alone and written down; only the
     chunks they name get their text built (again) and go to the model, whose
-    vectors are written straight into the table, so it runs once. On a first load or a full refresh every chunk is new and nothing is compared.
+    vectors are written straight into the table, so it runs once. On a first
+    load or a full refresh every chunk is new and nothing is compared.
     """
     stored = store.vectors(name)
-    hashed = with_hash(chunks.select("id", "chunk_index", "chunk_text"), model.name)
+    place = F.col("ordinal") if "ordinal" in chunks.columns else F.monotonically_increasing_id()
+    single = last_chunk(chunks.select("id", "chunk_index", "chunk_text", place.alias("ordinal")), _CHUNK, "ordinal")
+    hashed = with_hash(single.drop("ordinal"), model.name)
     if full_refresh or stored.isEmpty():
         ids = stage(hashed.select(*_CHUNK), "chunk-ids")
         changed = hashed
@@ -121,7 +139,7 @@ def run_embed(
 ) -> dict[str, int]:
     """Embed all sources or a selection; each one is published on its own."""
     done = {}
-    for name in only or list(sources):
+    for name in list(sources) if only is None else only:
         if name not in sources:
             log.warning("unknown source %s, skipped", name)
             continue
@@ -132,22 +150,28 @@ def run_embed(
 
 def run(
     spark: SparkSession, root: str, *, dump: str | None = None, sidecar: str | None = None,
-    books: str | None = None, model: Backend | None = None,
+    lines: str | None = None, books: str | None = None, model: Backend | None = None,
     init_only: bool = False, etl_only: bool = False, embed_only: bool = False,
     full_refresh: bool = False, only: Sequence[str] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """The stages by flag; the tables are always made sure of first."""
+    """The stages by flag; the tables are always made sure of first.
+
+    Without a selection the rules are left out if there are no books; asking
+    for them without books is an error.
+    """
+    if only is not None and "rules" in only and books is None:
+        raise ValueError("the source rules needs books")
     store = Warehouse(spark, root)
     store.init()
     done: dict[str, dict[str, int]] = {}
     if init_only:
         return done
     if not embed_only:
-        done["sync"] = run_sync(store, dump, sidecar)
+        done["sync"] = run_sync(store, dump, sidecar, lines=lines)
     if not etl_only:
         inputs = {"cards": store.cards()}
         if books is not None:
             inputs["books"] = read_books(spark, books)
-        usable = [s for s in (only or SOURCES) if s != "rules" or books is not None]
-        done["embed"] = run_embed(store, inputs, model, only=usable, full_refresh=full_refresh)
+        wanted = [s for s in SOURCES if s != "rules" or books is not None] if only is None else only
+        done["embed"] = run_embed(store, inputs, model, only=wanted, full_refresh=full_refresh)
     return done

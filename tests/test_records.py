@@ -207,3 +207,51 @@ def test_long_entry(spark):
     numbered = N.number_faces(rows, "faces", lambda f: f)
     got = numbered.groupBy("face_index").count().orderBy("face_index").collect()
     assert [(r.face_index, r["count"]) for r in got] == [(0, 66_667), (1, 66_667), (2, 66_666)]
+
+
+def test_several_dumps_keep_their_versions(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, version in enumerate(("v1", "v2")):
+        path = folder / f"{i}.json.gz"
+        dump(path, {f"N{i}": [face(f"n{i}", text="t")]}, version)
+        (folder / f"{i}.json.gz.sha256").write_text(hashlib.sha256(path.read_bytes()).hexdigest())
+    store = Warehouse(spark, str(tmp_path / "w"))
+    store.init()
+    jobs.run_sync(store, str(folder / "*.gz"), str(folder / "*.sha256"))
+    assert {r.name: r.source_version for r in store.cards().collect()} == {"N0": "v1", "N1": "v2"}
+    row = store.sync_log().first()
+    digests = sorted(hashlib.sha256((folder / f"{i}.json.gz").read_bytes()).hexdigest() for i in (0, 1))
+    assert row.source_version == "v1,v2" and row.source_sha256 == hashlib.sha256("".join(digests).encode()).hexdigest()
+
+
+def test_lines_give_the_same_table(spark, tmp_path):
+    import json
+
+    data = {"A": [face("a", text="1")], "B": [face("b", text="2")]}
+    one, two = (Warehouse(spark, str(tmp_path / n)) for n in ("one", "two"))
+    for store in (one, two):
+        store.init()
+    jobs.run_sync(one, dump(tmp_path / "1.gz", data, "v1"))
+    lines = [json.dumps({"name": n, "faces": f, "version": "v1"}) for n, f in data.items()]
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    jobs.run_sync(two, lines=str(tmp_path / "lines.json"))
+    rows = [sorted(map(str, s.cards().drop("updated_at").collect())) for s in (one, two)]
+    assert rows[0] == rows[1] and len(rows[0]) == 2
+
+
+def test_selection_and_last_chunk(spark, tmp_path):
+    from loreweave.operators.embedding import hashing_backend
+
+    model = hashing_backend(8)
+    with pytest.raises(ValueError, match="books"):
+        jobs.run(spark, str(tmp_path / "w"), embed_only=True, only=["rules"], model=model)
+    store = Warehouse(spark, str(tmp_path / "w"))
+    store.init()
+    files = list((tmp_path / "w" / "sync_log").glob("*.parquet"))
+    store.init()
+    assert list((tmp_path / "w" / "sync_log").glob("*.parquet")) == files
+    assert jobs.run_embed(store, {"cards": store.cards()}, model, only=[]) == {}
+    chunks = spark.createDataFrame([("a", 0, "first"), ("a", 0, "second"), ("b", 0, "x")], "id string, chunk_index int, chunk_text string").coalesce(1)
+    assert jobs.embed_source(store, "own", chunks, model) == 2
+    assert {r.id: r.chunk_text for r in store.vectors("own").collect()} == {"a": "second", "b": "x"}
