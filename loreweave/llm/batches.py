@@ -10,14 +10,14 @@ import pyarrow as pa
 CHARS = 4_000_000
 
 
-def slices(texts: pa.Array) -> Iterator[list[str | None]]:
-    """Texts in lists of about ``CHARS`` characters."""
+def slices(texts: pa.Array, chars: int = CHARS) -> Iterator[list[str | None]]:
+    """Texts in lists of about ``chars`` characters."""
     part, size = [], 0
     for text in texts:
         value = text.as_py()
         part.append(value)
         size += len(value) if value else 1
-        if size >= CHARS:
+        if size >= chars:
             yield part
             part, size = [], 0
     if part:

@@ -43,6 +43,9 @@ from loreweave.sources.staging import stage
 WARM_TOKENS = 400_000
 DICTIONARY = 200_000
 COUNTED = 500_000
+#: Characters scored together: the longest document sets the number of steps, so
+#: more documents beside it cost little.
+SCORED = 16_000_000
 #: Pieces that weights are averaged in.
 SLOTS = 64
 END = b"\n"
@@ -243,7 +246,6 @@ def _score(docs: DataFrame, vocab, model) -> DataFrame:
         StructField("n_tokens", LongType()), StructField("known", LongType()), StructField("counts", DoubleType()),
         StructField("model", DoubleType()), StructField("rare", ArrayType(word)),
     ])
-    pairs = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, p = vocab.value, model.value
@@ -254,8 +256,9 @@ def _score(docs: DataFrame, vocab, model) -> DataFrame:
         seen = v.log_count > 0
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1)):
-                docs_ids, size, known, sums, inside, rare = [], [], [], [], [], []
+            for texts in slices(batch.column(1), SCORED):
+                docs_ids, size, known, sums, inside = [], [], [], [], []
+                rare, often, ends = [], [], [0]
                 for text in texts:
                     words = tokens_of(text)
                     place = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
@@ -264,21 +267,24 @@ def _score(docs: DataFrame, vocab, model) -> DataFrame:
                     if len(away):
                         missing = [words[i] for i in away]
                         ids[away] = [v.shape.head + tail_class(w) for w in missing]
-                        rare.append([{"word": w, "n": n} for w, n in Counter(missing).items()])
-                    else:
-                        rare.append([])
+                        found = Counter(missing)
+                        rare.extend(found)
+                        often.extend(found.values())
+                    ends.append(len(rare))
                     logs = v.log_count[place]
                     docs_ids.append(ids)
                     size.append(len(words))
                     known.append(int(seen[place].sum()))
                     sums.append(float(logs.sum()))
                     inside.append(float(one[ids].sum() + logs[ids >= v.shape.head].sum()))
+                words = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(often, pa.int64())], ["word", "n"])
                 found = gru.score_documents(p, v.shape, docs_ids) / np.log(10) + np.array(inside)
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(sums, pa.float64()), pa.array(found, pa.float64()), pa.array(rare, pairs)],
+                     pa.array(sums, pa.float64()), pa.array(found, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)],
                     ["doc_id", "held_out", "n_tokens", "known", "counts", "model", "rare"],
                 )
 
