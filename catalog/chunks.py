@@ -159,32 +159,73 @@ def pending_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return E.pending(hashed, stored_hashes(spark, sf), full_refresh=True).select("id", "chunk_hash")
 
 
-@catalog.add(r"""
-SELECT doc_id, 64 AS width,
-       round(CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, 3) AS norm FROM documents""")
+def slots_sql(texts: str, key: str, text: str, width: int = 64) -> str:
+    """SQL for ``key, slot, value``: the vector of each text, without its zeros."""
+    return rf"""
+SELECT {key}, slot, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS FLOAT)::DOUBLE AS value FROM (
+  SELECT {key}, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {width} AS slot, count(*)::DOUBLE AS n
+  FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')) AS token FROM {texts})
+  GROUP BY ALL)"""
+
+
+def _slots(vectors: DataFrame, *keys: str) -> DataFrame:
+    rows = vectors.select(*keys, F.posexplode("embedding").alias("slot", "value")).filter("value <> 0")
+    return rows.select(*keys, F.col("slot").cast("bigint").alias("slot"), F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
+@catalog.add(f"SELECT doc_id, slot, round(value, 6) AS value FROM ({slots_sql('documents', 'doc_id', 'text')})")
 def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.hashing_backend(64).embed(texts(spark, sf, "doc_id", "text"), "text")
-    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return out.select("doc_id", F.size("embedding").alias("width"), F.round(F.sqrt(norm), 3).alias("norm"))
+    """Every vector, without its zeros."""
+    return _slots(E.hashing_backend(64).embed(texts(spark, sf, "doc_id", "text"), "text"), "doc_id")
 
 
-@catalog.add("""
-WITH labelled AS (SELECT count(*) AS n FROM documents JOIN labels USING (doc_id)),
-     al AS (SELECT count(*) AS n FROM documents)
-SELECT 1 AS run, (SELECT n FROM labelled) AS embedded, (SELECT n FROM labelled) AS vectors
-UNION ALL SELECT 2, (SELECT n FROM al) - (SELECT n FROM labelled), (SELECT n FROM al)
-UNION ALL SELECT 3, 0, (SELECT n FROM al)""")
+def _letter_model():
+    """A plain model: how often a text has each of four letters."""
+    return lambda texts: [[float(t.lower().count(c)) for c in "etan"] for t in texts]
+
+
+@catalog.add(r"""
+SELECT doc_id, len(regexp_extract_all(text, '[eE]')) AS e, len(regexp_extract_all(text, '[tT]')) AS t,
+       len(regexp_extract_all(text, '[aA]')) AS a, len(regexp_extract_all(text, '[nN]')) AS n FROM documents""")
+def batch_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model that takes lists of texts."""
+    model = E.batch_backend("letters", 4, _letter_model, batch_size=64)
+    out = model.embed(texts(spark, sf, "doc_id", "text"), "text")
+    return out.select("doc_id", *[F.get("embedding", i).cast("bigint").alias(c) for i, c in enumerate("etan")])
+
+
+@catalog.add(f"""
+WITH v AS ({slots_sql('documents', 'doc_id', 'text')})
+SELECT CAST(d.doc_id AS VARCHAR) AS id, text AS chunk_text,
+       md5(text || '|' || CASE WHEN toxic = 1 THEN 'again-64' ELSE '{MODEL}' END) AS chunk_hash,
+       CASE WHEN toxic = 1 THEN 'again-64' ELSE '{MODEL}' END AS model,
+       CASE WHEN l.doc_id IS NULL THEN 1 WHEN toxic = 1 THEN 2 ELSE 0 END AS runs,
+       (SELECT round(sum(value * (slot + 1)), 4) FROM v WHERE v.doc_id = d.doc_id) AS digest
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def embed_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Three runs on a fresh warehouse: labelled documents, all documents, all again."""
+    """Four runs on a fresh warehouse, compared by the final table.
+
+    Labelled documents; then only documents without a label, so the others
+    vanish from the input and stay in the table; nothing new; and the toxic
+    ones under another model name, which alone are embedded again.
+    """
     store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
     model = E.hashing_backend(64)
-    everything = doc_chunks(spark, sf)
-    labelled = everything.join(
-        table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")), "id", "left_semi"
+    other = E.Backend("again-64", 64, model.apply)
+    labels = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), "toxic")
+    chunks = doc_chunks(spark, sf)
+    known, rest = chunks.join(labels, "id", "left_semi"), chunks.join(labels, "id", "left_anti")
+    toxic = chunks.join(labels.filter("toxic = 1"), "id", "left_semi")
+    for part, by in ((known, model), (rest, model), (rest, model), (toxic, other)):
+        embed_source(store, "documents", part, by)
+    vectors = store.vectors("documents")
+    times = [r[0] for r in vectors.select("updated_at").distinct().orderBy("updated_at").collect()]
+    runs = F.array_position(F.array(*[F.lit(t) for t in times]), F.col("updated_at")) - 1
+    terms = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    digest = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    no_token = F.forall("embedding", lambda x: x == 0)
+    return vectors.select(
+        "id", "chunk_text", "chunk_hash", "model", runs.cast("int").alias("runs"),
+        F.when(~no_token, F.round(digest, 4)).alias("digest"),
     )
-    runs = []
-    for run, chunks in enumerate((labelled, everything, everything), start=1):
-        embedded = embed_source(store, "documents", chunks, model)
-        runs.append((run, embedded, store.vectors("documents").count()))
-    return spark.createDataFrame(runs, "run int, embedded bigint, vectors bigint")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table, texts
+from catalog.chunks import slots_sql
 from catalog.search import _COS
 from loreweave.operators import taxonomy as X
 from loreweave.operators.tagging import tag_arrays, tag_texts
@@ -243,7 +244,19 @@ def fan_out_merge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@catalog.add()
+@catalog.add(_TREE + _TERMS + f""", asked AS (
+  SELECT DISTINCT term, hint FROM terms JOIN alias_map m ON alias = lower(term) JOIN hints h ON h.ancestor = m.key
+), searches AS (SELECT DISTINCT hint FROM asked),
+v AS ({slots_sql('documents', 'doc_id', 'text')}),
+q AS ({slots_sql('searches', 'hint', 'hint')}),
+vn AS (SELECT doc_id, sqrt(sum(value * value)) AS n FROM v GROUP BY 1),
+qn AS (SELECT hint, sqrt(sum(value * value)) AS n FROM q GROUP BY 1),
+met AS (SELECT hint, doc_id, sum(q.value * v.value) AS dot FROM q JOIN v USING (slot) GROUP BY ALL),
+sims AS (SELECT qn.hint, vn.doc_id AS id, round(coalesce(dot, 0) / (qn.n * vn.n), 12) AS s
+         FROM qn CROSS JOIN vn LEFT JOIN met ON met.hint = qn.hint AND met.doc_id = vn.doc_id),
+best AS (SELECT term, id, max(s) AS s FROM asked JOIN sims USING (hint) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY s DESC, id) AS rank FROM best)
+SELECT term, id, round(s, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5""")
 def fan_out_texts(spark: SparkSession, sf: str) -> DataFrame:
     """The whole way from terms to documents, with hashed token vectors."""
     from loreweave.operators.embedding import hashing_backend
@@ -252,4 +265,4 @@ def fan_out_texts(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf, "doc_id", "text").withColumnRenamed("doc_id", "id")
     vectors = model.embed(docs, "text").select("id", "embedding")
     tax = tree(spark, sf)
-    return fan_out(terms(spark, sf), tax, vectors, model, 5)
+    return fan_out(terms(spark, sf), tax, vectors, model, 5).withColumn("similarity", F.round("similarity", 6))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from loreweave.functions.vectors import cosine, id_oracle
 from loreweave.operators import ann
 from loreweave.operators import checks as K
 from loreweave.operators import search as S
+from loreweave.sources.staging import scratch
 
 catalog = Catalog()
 
@@ -167,6 +169,41 @@ def ann_topk_all_lists(spark: SparkSession, sf: str) -> DataFrame:
     return _lists(spark, sf, 16)
 
 
+_PROBED = f"""
+WITH {_QUERIES}, c AS (
+  SELECT label, list(x ORDER BY i) AS centroid FROM (
+    SELECT label, i, CAST(avg(v) AS FLOAT) AS x FROM (
+      SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    GROUP BY label, i) GROUP BY label
+), lists AS (
+  SELECT vec_id, embedding, arg_max(c.label, (round(list_cosine_similarity(embedding::DOUBLE[], centroid::DOUBLE[]), 9), -c.label)) AS list_id
+  FROM embeddings, c GROUP BY ALL
+), probes AS (
+  SELECT query_id, query_vector, label AS list_id FROM (
+    SELECT query_id, query_vector, c.label, row_number() OVER (PARTITION BY query_id ORDER BY
+      round(list_cosine_similarity(query_vector::DOUBLE[], centroid::DOUBLE[]), 12) DESC, c.label) AS n FROM q, c) WHERE n <= 4
+), ranked AS (
+  SELECT query_id, vec_id AS id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (
+    SELECT query_id, e.vec_id, {_COS.format('query_vector')} AS s FROM probes JOIN lists e USING (list_id))
+)
+SELECT query_id, id, round(s, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5"""
+
+
+@catalog.add(_PROBED)
+def ann_stored_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists around the mean vector of each label, written, read back and searched, 4 for each query."""
+    rows = table(spark, sf, "embeddings")
+    each = rows.select("label", F.posexplode("embedding").alias("i", "x"))
+    mean = each.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).cast("float").alias("x"))
+    lists = mean.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("label")
+    centroids = np.array([[p["x"] for p in r["v"]] for r in lists.collect()], dtype="float64")  # one per label
+    path = scratch(spark, "lists")
+    ann.write_lists(ann.assign_lists(rows, centroids), path)
+    return _rounded(ann.search_lists(
+        spark.read.parquet(path), centroids, label_queries(spark, sf), 5, 4, id_col="vec_id"
+    ))
+
+
 # ---- Text and filters ------------------------------------------------------------
 
 NAMES = ["small ring", "red widget", "Small Ring", "no such part"]
@@ -227,7 +264,8 @@ SELECT count(*) AS total_rows, count(DISTINCT o_custkey) AS distinct_records,
        count(*) FILTER (CAST(substr(o_orderpriority, 1, 1) AS INTEGER) > 1) AS extra_faces,
        count(*) FILTER (o_orderstatus = 'P') AS missing_hash,
        (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1)) AS duplicate_keys,
-       count(*) > 1000 AND count(*) FILTER (o_orderstatus = 'P') = 0 AND false AS ok
+       count(*) > 1000 AND count(*) FILTER (o_orderstatus = 'P') = 0
+         AND (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1)) = 0 AS ok
 FROM orders""")
 def foundation(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "orders").select(

@@ -6,9 +6,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loreweave.functions.hashing import chunk_hash
@@ -26,6 +25,36 @@ class Backend:
         return self.apply(df, text_col, out_col)
 
 
+def token_slots(text: Column, width: int) -> Column:
+    """The slot of each token of a text: eight hex digits of its MD5, modulo ``width``."""
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    number = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint")
+    return F.transform(tokens, lambda t: (number(t) % width).cast("int"))
+
+
+def slot_counts(width: int):
+    """A column function: how often each slot occurs, scaled to length one; zeros for no slot."""
+
+    @F.arrow_udf("array<float>")
+    def counts(slots: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+
+        parts = []
+        step = max(4_000_000 // width, 1)  # rows whose counts are held at a time
+        for i in range(0, len(slots), step):
+            part = slots.slice(i, step).fill_null([])
+            sizes = np.diff(part.offsets.to_numpy())
+            place = np.repeat(np.arange(len(part)), sizes) * width + part.flatten().to_numpy()
+            found = np.bincount(place, minlength=len(part) * width).reshape(len(part), width)
+            length = np.sqrt((found * found).sum(axis=1, keepdims=True))
+            parts.append((found / np.where(length > 0, length, 1)).astype("float32"))
+        flat = np.concatenate(parts).ravel() if parts else np.zeros(0, "float32")
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(slots) + 1) * width, pa.int32()), pa.array(flat))
+
+    return counts
+
+
 def hashing_backend(width: int = 384) -> Backend:
     """Token counts hashed into ``width`` slots, scaled to length one.
 
@@ -34,14 +63,7 @@ def hashing_backend(width: int = 384) -> Backend:
     """
 
     def apply(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-        tokens, counts, unit = (f"_{out_col}_{s}" for s in ("tokens", "counts", "unit"))
-        tokenizer = RegexTokenizer(
-            inputCol=text_col, outputCol=tokens, pattern=r"[\p{L}\p{N}]+", gaps=False
-        )
-        hasher = HashingTF(inputCol=tokens, outputCol=counts, numFeatures=width)
-        scaler = Normalizer(inputCol=counts, outputCol=unit, p=2.0)
-        out = scaler.transform(hasher.transform(tokenizer.transform(df)))
-        return out.withColumn(out_col, vector_to_array(unit, "float32")).drop(tokens, counts, unit)
+        return df.withColumn(out_col, slot_counts(width)(token_slots(F.col(text_col), width)))
 
     return Backend(f"hashing-{width}", width, apply)
 

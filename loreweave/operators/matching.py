@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +27,18 @@ def candidates(
     sized = sized.withColumn("_gram", F.xxhash64(F.substring(F.col(anchor), F.lit(1), F.col("_size"))))
     place = F.pmod("_gram", F.lit(buckets))
     used = sized.select("_size", place.alias("place")).distinct().collect()  # at most four per bucket
-    bitmap = np.zeros(buckets, dtype=bool)
-    bitmap[[r["place"] for r in used]] = True
+    bitmap = bytearray(buckets)
+    for r in used:
+        bitmap[r["place"]] = 1
     if not used:
         return texts.limit(0).join(sized.drop("_size", "_gram"), F.lit(False))
-    met = F.lit(bitmap)
+    # One byte per place in a single literal; reading a byte of it takes constant time.
+    met, one = F.lit(bytes(bitmap)), F.lit(b"\x01")
     runs = F.flatten(F.array(*[
-        F.filter(_hashes(text, n), lambda h: F.get(met, F.pmod(h, F.lit(buckets)).cast("int")))
+        F.filter(
+            _hashes(text, n),
+            lambda h: F.substring(met, F.pmod(h, F.lit(buckets)).cast("int") + 1, F.lit(1)) == one,
+        )
         for n in sorted({r["_size"] for r in used})
     ]))
     each = texts.withColumn("_gram", F.explode(F.array_distinct(runs)))
