@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table, texts
 from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
-from loreweave.plans.jobs import sync_cards
+from loreweave.plans.jobs import run_sync, sync_cards
+from loreweave.sources.inputs import file_digests as digests_of
 from loreweave.sources.staging import scratch, stage
 from loreweave.sources.warehouse import Warehouse, violations
 
@@ -277,3 +278,80 @@ def sync_job_log(spark: SparkSession, sf: str) -> DataFrame:
     for name in ("old", "new", "new"):
         sync_cards(store, _as_cards(snapshot(spark, sf, name)), name, "")
     return store.sync_log().drop("started_at", "finished_at", "source_sha256")
+
+
+# ---- Files: dumps, lines and digests written below the scratch folder and read back ----------
+
+
+def _face(oracle_id: Column, text: Column, layout: Column) -> Column:
+    return F.struct(
+        F.struct(oracle_id.alias("scryfallOracleId")).alias("identifiers"), text.alias("text"),
+        layout.alias("layout"), F.lit(1.5).cast("float").alias("manaValue"), F.lit("Kind").alias("type"),
+    )
+
+
+@catalog.add("""
+SELECT CAST(doc_id AS VARCHAR) AS scryfall_oracle_id, 0 AS face_index, source || ' ' || doc_id AS name,
+       text AS oracle_text, lang AS layout, 'v' || (doc_id % 3) AS source_version FROM documents""")
+def sync_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as JSON lines, split by Spark, through the whole sync job: the final table."""
+    docs = table(spark, sf, "documents")
+    lines = docs.select(
+        F.concat_ws(" ", "source", F.col("doc_id").cast("string")).alias("name"),
+        F.array(_face(F.col("doc_id").cast("string"), F.col("text"), F.col("lang"))).alias("faces"),
+        F.concat(F.lit("v"), F.pmod("doc_id", F.lit(3)).cast("string")).alias("version"),
+    )
+    path = scratch(spark, "lines")
+    lines.write.mode("overwrite").json(path)
+    store = Warehouse(spark, scratch(spark, "warehouse"))
+    store.init()
+    run_sync(store, lines=path)
+    return store.cards().select("scryfall_oracle_id", "face_index", "name", "oracle_text", "layout", "source_version")
+
+
+def _brand_dumps(spark: SparkSession, sf: str) -> str:
+    """One dump per brand of parts, each a JSON document in a file of its own."""
+    entry = F.struct(
+        F.col("p_partkey").cast("string").alias("key"),
+        F.array(_face(F.col("p_partkey").cast("string"), F.col("p_name"), F.lower("p_type"))).alias("value"),
+    )
+    dumps = table(spark, sf, "part").groupBy("p_brand").agg(F.map_from_entries(F.collect_list(entry)).alias("data"))
+    meta = F.struct(F.lit("2024-01-01").alias("date"), F.col("p_brand").alias("version"))
+    path = scratch(spark, "dumps")
+    dumps.select("p_brand", F.to_json(F.struct(meta.alias("meta"), "data"))).write.mode("overwrite").partitionBy("p_brand").text(path)
+    return path
+
+
+@catalog.add("""
+SELECT CAST(p_partkey AS VARCHAR) AS scryfall_oracle_id, 0 AS face_index, CAST(p_partkey AS VARCHAR) AS name,
+       p_name AS oracle_text, lower(p_type) AS layout, p_brand AS source_version FROM part""")
+def sync_dumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Several dumps of different versions through the whole sync job: every row keeps the version of its own."""
+    store = Warehouse(spark, scratch(spark, "warehouse"))
+    store.init()
+    run_sync(store, f"{_brand_dumps(spark, sf)}/*/*.txt")
+    return store.cards().select("scryfall_oracle_id", "face_index", "name", "oracle_text", "layout", "source_version")
+
+
+@catalog.add("""
+SELECT p_brand AS brand, sha256(string_agg(p_name, chr(10) ORDER BY p_partkey) || chr(10)) AS sha256
+FROM part GROUP BY p_brand""")
+def file_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of part names per brand, hashed as files."""
+    names = F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "p_name"))), lambda r: r["p_name"])
+    texts = table(spark, sf, "part").groupBy("p_brand").agg(F.array_join(names, "\n").alias("value"))
+    path = scratch(spark, "files")
+    texts.write.mode("overwrite").partitionBy("p_brand").text(path)
+    found = digests_of(spark, f"{path}/*/*.txt")
+    brand = F.url_decode(F.regexp_extract("file", "p_brand=([^/]+)/", 1))
+    return found.select(brand.alias("brand"), "sha256")
+
+
+@catalog.add(_SNAPSHOTS + f" SELECT * EXCLUDE (edhrec_saltiness) FROM ({_MERGE.format(stale='')})")
+def sync_job_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the sync job leaves after a first load and a run with changes."""
+    store = Warehouse(spark, scratch(spark, "warehouse"))
+    store.init()
+    for name in ("old", "new"):
+        sync_cards(store, _as_cards(snapshot(spark, sf, name)), name, "")
+    return store.cards().select(*snapshot(spark, sf, "new").drop("edhrec_saltiness").columns)
