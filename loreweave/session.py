@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
+    shared = tempfile.mkdtemp(prefix="loreweave-")  # one machine: every executor reaches it
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("loreweave")
@@ -13,6 +16,7 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

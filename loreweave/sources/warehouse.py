@@ -32,11 +32,6 @@ _LOGS = {
     "embed_log": T.StructType([*schema.EMBED_LOG.fields, *_VERSION]),
 }
 
-# A table is written whole again after this many deltas, or when more than this
-# share of its rows has changed.
-MAX_DELTAS = 8
-MAX_SHARE = 0.25
-
 
 @dataclass(frozen=True)
 class Delta:
@@ -74,11 +69,17 @@ def check(df: DataFrame, key: Sequence[str], required: Sequence[str],
 
 
 class Warehouse:
-    """The tables of one knowledge base below ``root``."""
+    """The tables of one knowledge base below ``root``.
+
+    A table is written whole again after ``max_deltas`` deltas, or when more than
+    ``max_share`` of its rows has changed; ``max_deltas=0`` writes it whole each
+    time, so that reading it never joins. Contents are the same in any case.
+    """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, *, max_deltas: int = 8, max_share: float = 0.25) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.max_deltas, self.max_share = max_deltas, max_share
 
     # -- tables ------------------------------------------------------------
 
@@ -113,7 +114,7 @@ class Warehouse:
     def wants_delta(self, log: DataFrame, changed: int, total: int) -> bool:
         """Whether the next run should write a delta rather than a new base."""
         versions = self._versions(log)
-        return 0 < len(versions) <= MAX_DELTAS and changed <= MAX_SHARE * total
+        return 0 < len(versions) <= self.max_deltas and changed <= self.max_share * total
 
     def cards_delta(self, changed: int, total: int) -> bool:
         return self.wants_delta(self._log("sync_log"), changed, total)

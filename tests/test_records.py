@@ -155,12 +155,10 @@ def test_failed_run_leaves_nothing(spark, tmp_path):
         jobs.sync_cards(store, twice.union(twice), "v", "")
 
 
-def test_deltas(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("max_deltas", [2, 0])
+def test_deltas(spark, tmp_path, max_deltas):
     """Many small changes give the same table as writing it whole each time."""
-    from loreweave.sources import warehouse
-
-    monkeypatch.setattr(warehouse, "MAX_DELTAS", 2)
-    store = Warehouse(spark, str(tmp_path / "w"))
+    store = Warehouse(spark, str(tmp_path / "w"), max_deltas=max_deltas)
     store.init()
     state = {i: 0 for i in range(40)}
     for step in range(6):
@@ -179,7 +177,7 @@ def test_deltas(spark, tmp_path, monkeypatch):
         got = {int(r.scryfall_oracle_id): int(r.content_hash) for r in store.cards().collect()}
         assert got == state and store.cards().count() == len(state)
     bases = {r.base for r in store._log("sync_log").collect()}
-    assert len(bases) == 2
+    assert len(bases) == (2 if max_deltas else 6)
 
 
 def test_many_dumps_have_one_order(spark, tmp_path):
