@@ -51,13 +51,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more over five-word shingles, the one with the least id.
 
-    Rows with the same id count as one.
+    Rows with the same id are one document; of equal rows one stays. Rows with a
+    null id cannot name a group, so of these only equal rows are dropped.
     """
     groups = simhash.near_copies(docs, "doc_id", "text")
     least = groups.groupBy("component_id").agg(F.min("doc_id").alias("stays")).select("stays")
     least = stage(least, "stays").withColumnRenamed("stays", "stays_id")
     kept = docs.join(least, F.col("doc_id").eqNullSafe(F.col("stays_id")), "left_semi")
-    return keep_first(kept, ["doc_id"], F.col("text"))
+    same = F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).alias("same")
+    rows = kept.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), same)
+    return keep_first(rows, ["id", "same"], F.col("row.text")).select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
