@@ -57,10 +57,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = simhash.near_copies(docs, "doc_id", "text")
     least = groups.groupBy("component_id").agg(F.min("doc_id").alias("stays")).select("stays")
     least = stage(least, "stays").withColumnRenamed("stays", "stays_id")
-    kept = docs.join(least, F.col("doc_id").eqNullSafe(F.col("stays_id")), "left_semi")
-    same = F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).alias("same")
-    rows = kept.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), same)
-    return keep_first(rows, ["id", "same"], F.col("row.text")).select("row.*")
+    # One row per id first: what this deals out by id serves the join as well.
+    named = keep_first(docs.filter("doc_id is not null"), ["doc_id"], F.col("text"))
+    kept = named.join(least, F.col("doc_id") == F.col("stays_id"), "left_semi")
+    nameless = docs.filter("doc_id is null").withColumn("_same_text", F.sha2("text", 256))
+    return kept.unionByName(keep_first(nameless, ["_same_text"], F.col("text")).drop("_same_text"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,7 +257,7 @@ def score_documents(p: Params, shape: Shape, docs: list[np.ndarray]) -> np.ndarr
     steps = max(used for used, _ in heap)
     inputs = np.full((lanes, steps), shape.start, np.int32)
     targets = np.zeros((lanes, steps), np.int32)
-    owner = np.full((lanes, steps), len(docs), np.int64)
+    owner = np.full((lanes, steps), len(docs), np.int32)
     for k, mine in enumerate(dealt):
         at = 0
         for i in mine:

@@ -45,7 +45,7 @@ DICTIONARY = 200_000
 COUNTED = 500_000
 #: Characters scored together: the longest document sets the number of steps, so
 #: more documents beside it cost little.
-SCORED = 16_000_000
+SCORED = 8_000_000
 #: Pieces that weights are averaged in.
 SLOTS = 64
 END = b"\n"

@@ -154,6 +154,9 @@ WIDE, WIDE_RADIUS = 256, 52
 #: Sizes in one step differ by less than this factor, so similarities of 0.8 stay in
 #: neighbouring steps.
 STEP = 1.25
+#: Wide fingerprints per tile. What tiles send to each other shrinks with their size;
+#: they are compared ``TILE`` rows at a time.
+WIDE_TILE = 8192
 
 
 def majority(words: np.ndarray) -> np.ndarray:
@@ -199,7 +202,8 @@ def wide_fingerprint(text: str | None, size: int = 5, block: int = 1 << 15) -> t
 
 def _wide_links(classes: DataFrame, radius: int) -> DataFrame:
     """``u, v`` as in ``links``, for ``fp, step`` once each."""
-    chunks = classes.groupBy("step").agg(F.ceil(F.count("*") / TILE).alias("chunks")).withColumnRenamed("step", "s")
+    chunks = classes.groupBy("step").agg(F.ceil(F.count("*") / WIDE_TILE).alias("chunks"))
+    chunks = chunks.withColumnRenamed("step", "s")
     dealt = classes.join(chunks, classes["step"] == chunks["s"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), "chunks"))
     tiles = stage(dealt.groupBy("step", "chunk").agg(F.collect_list("fp").alias("fps")), "tiles")
     one = tiles.select("step", "chunk", F.explode(F.array("step", F.col("step") + 1)).alias("step2"))
@@ -213,12 +217,16 @@ def _wide_links(classes: DataFrame, radius: int) -> DataFrame:
             for i in range(batch.num_rows):
                 a, b = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 x, y = (np.frombuffer(b"".join(z), np.uint64).reshape(len(z), -1) for z in (a, b))
-                far = np.zeros((len(x), len(y)), np.uint16)
-                for k in range(x.shape[1]):
-                    far += np.bitwise_count(x[:, k][:, None] ^ y[:, k])
-                at = np.nonzero(far <= radius)
+                near = [np.zeros((2, 0), np.int64)]
+                for at in range(0, len(x), TILE):
+                    far = np.zeros((len(x[at : at + TILE]), len(y)), np.uint16)
+                    for k in range(x.shape[1]):
+                        far += np.bitwise_count(x[at : at + TILE, k][:, None] ^ y[:, k])
+                    i, j = _spanning(*_pairs(far <= radius, at, len(a)), len(a) + len(b))
+                    near.append(np.array([i, j]))
+                near = np.concatenate(near, axis=1)
                 names = np.array([*a, *b], object)
-                u, v = _spanning(at[0], at[1] + len(a), len(names))
+                u, v = _spanning(near[0], near[1], len(names))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[u], pa.binary()), pa.array(names[v], pa.binary())], ["u", "v"]
                 )
@@ -226,6 +234,12 @@ def _wide_links(classes: DataFrame, radius: int) -> DataFrame:
     return pairs.mapInArrow(compare, "u binary, v binary").filter("u <> v")
 
 
+def _pairs(near: np.ndarray, first: int, other: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members on both sides: rows from ``first`` on, and columns behind ``other`` rows."""
+    i, j = np.nonzero(near)
+    return i + first, j + other
+
+
 def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Links from each group's first member to its others, for links between n members."""
     label = np.arange(n)
