@@ -1,8 +1,9 @@
 """URL filters: host and path rules, and patterns indexed by their rarest token.
 
-A pattern rule names the tokens that any URL it matches holds. The rarest of
-them, by the number of URLs, becomes its key: a URL's tokens fetch the rules
-keyed by them, and only these run their regular expression. Each different URL
+A pattern rule names the tokens that any URL it matches holds, each as a whole
+token or as the whole tokens of which it holds one. The rarest of them, by the
+number of URLs, becomes its key: a URL's tokens fetch the rules keyed by them,
+and only these run their regular expression. Each different URL
 is judged once, and its verdict is joined to all pages with it.
 
 Defined cases: a null or plain text without ``://`` has an empty host and path,
@@ -39,10 +40,13 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """Blocks URLs that hold ``pattern``; each such URL has all ``tokens``, in lower case."""
+    """Blocks URLs that hold ``pattern``; each such URL has all ``tokens``, in lower case.
+
+    A tuple among them names alternatives, of which each such URL has one.
+    """
 
     pattern: str
-    tokens: tuple[str, ...]
+    tokens: tuple[str | tuple[str, ...], ...]
 
 
 HOST_RULES = (
@@ -58,7 +62,7 @@ PATTERN_RULES = (
     PatternRule(r"(?i)://[^/?#]*\badult-[a-z0-9]+\b", ("adult",)),
     PatternRule(r"(?i)://[^/?#]*\bcheap-pills\b", ("cheap", "pills")),
     PatternRule(r"(?i)://[^/?#]*\bspam-farm\b", ("spam", "farm")),
-    PatternRule(r"(?i)://[^/?#]*\bads?-track(er|ing)?\b", ("track",)),
+    PatternRule(r"(?i)://[^/?#]*\bads?-track(er|ing)?\b", (("ad", "ads"), ("track", "tracker", "tracking"))),
     PatternRule(r"(?i)://[^/?#]*\blink-farm\b", ("link", "farm")),
     PatternRule(r"(?i)/(wp-login|xmlrpc)\.php\b", ("php",)),
 )
@@ -88,12 +92,20 @@ def pattern_hits(urls: DataFrame, rules: Sequence[PatternRule]) -> DataFrame:
     """``url, pattern`` for each different URL and pattern that matches it; ``urls`` has ``url``."""
     spark = urls.sparkSession
     listed = spark.createDataFrame(
-        [(k, r.pattern, t) for k, r in enumerate(rules) for t in r.tokens], "rule int, pattern string, token string"
+        [
+            (k, g, r.pattern, t)
+            for k, r in enumerate(rules)
+            for g, group in enumerate(r.tokens)
+            for t in ((group,) if isinstance(group, str) else group)
+        ],
+        "rule int, place int, pattern string, token string",
     )
     pairs = urls.distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
     counts = pairs.join(listed.select("token").distinct(), "token").groupBy("token").agg(F.count("*").alias("n"))
-    rarest = keep_first(listed.join(counts, "token"), ["rule"], F.col("n"), F.col("token"))
-    index = rarest.select("rule", "pattern", "token")
+    groups = listed.join(counts, "token").groupBy("rule", "place", "pattern")
+    groups = groups.agg(F.sum("n").alias("n"), F.sort_array(F.collect_set("token")).alias("tokens"))
+    rarest = keep_first(groups, ["rule"], F.col("n"), F.col("tokens"))
+    index = rarest.select("rule", "pattern", F.explode("tokens").alias("token"))
     found = pairs.join(index, "token").filter(F.expr("url rlike pattern"))
     return found.select("url", "pattern").distinct()
 

@@ -159,3 +159,18 @@ def test_native_plans_hold_no_python(spark):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_alternative_of_a_pattern_is_fetched(spark):
+    texts = {
+        "casino-win": 0, "free-bets": 1, "adult-x9": 2, "cheap-pills": 3, "spam-farm": 4, "link-farm": 6,
+        **{f"{a}-{t}": 5 for a in ("ad", "ads", "ADS") for t in ("track", "tracker", "tracking", "Tracker")},
+        "x.org/wp-login.php": 7, "x.org/xmlrpc.php": 7, "ads-trackers": None, "my_ads-tracker": None,
+    }
+    df = spark.createDataFrame([(f"http://{t}",) for t in texts] + [(f"http://{t}.example.org/x",) for t in texts], "url string")
+    got = {tuple(r) for r in urls.pattern_hits(df, urls.PATTERN_RULES).collect()}
+    plain = [df.filter(F.col("url").rlike(r.pattern)).select("url", F.lit(r.pattern)) for r in urls.PATTERN_RULES]
+    assert got == {tuple(r) for p in plain for r in p.collect()}
+    assert {(f"http://{t}", urls.PATTERN_RULES[k].pattern) for t, k in texts.items() if k is not None} <= got
+    pages = df.select(F.xxhash64("url").alias("page_id"), "url").filter("url like '%ads-tracker.%' or url like '%ad-tracking.%'")
+    assert {r.verdict for r in urls.judge(pages.filter("url not like '%my_%'"), "page_id", "url").collect()} == {"block"}
