@@ -237,6 +237,20 @@ def test_near_copies(spark):
     assert {1, 2, 4} in got.values() and got[3] == {3}
 
 
+def test_near_copies_of_unlike_centre_are_found_in_a_group(spark):
+    words = [f"w{k}" for k in range(104)]
+    near = [" ".join([*words[: 104 - k], *[f"v{k}x{x}" for x in range(k)]]) for k in range(0, 48, 4)]
+    sets = [simhash.shingle_hashes(t) for t in near]
+    like = []
+    for i in range(len(sets)):
+        for j in range(i):
+            c = len(np.intersect1d(sets[i], sets[j]))
+            if 5 * c >= 4 * (len(sets[i]) + len(sets[j]) - c):
+                like.append((i, j))
+    got = simhash.near_copies(docs(spark, list(enumerate(near))), "doc_id", "text").collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(list(range(len(near))), like)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(200)]
     star = [(1000, i) for i in range(1001, 1500)]
