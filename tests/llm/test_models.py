@@ -237,6 +237,29 @@ def test_near_copies(spark):
     assert {1, 2, 4} in got.values() and got[3] == {3}
 
 
+def test_near_copies_links_exactly_from_the_similarity_on(spark):
+    pairs, rows = {}, []
+
+    def put(name, words, other):
+        words, other = ([f"p{len(pairs)}{w}" for w in x] for x in (words, other))
+        sets = [simhash.shingle_hashes(" ".join(w)) for w in (words, other)]
+        common = len(np.intersect1d(*sets))
+        j = common / (len(sets[0]) + len(sets[1]) - common)
+        pairs[2 * len(pairs)] = (name, j, 5 * common >= 4 * (len(sets[0]) + len(sets[1]) - common))
+        rows.extend([(2 * len(pairs) - 2, " ".join(words)), (2 * len(pairs) - 1, " ".join(other))])
+
+    for n in (4, 4, 4, 4, 5, 8, 12, 16, 20, 24, 40, 80, 160, 320, 400):
+        for _ in range(8 if n < 30 else 2):
+            words = [f"w{k}" for k in range(n + 4)]
+            put("at", words, [*words, *[f"x{k}" for k in range(n // 4)]])
+            put("below", words, [*words, *[f"x{k}" for k in range(n // 4 + 1)]])
+            put("half", words, [*words[: n + 4 - n // 6], *[f"y{k}" for k in range(n // 6)]])
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(spark, rows), "doc_id", "text").collect()}
+    linked = {i: got[i] == got[i + 1] for i in pairs}
+    assert linked == {i: near for i, (_, _, near) in pairs.items()}
+    assert any(j == 0.8 for _, j, _ in pairs.values()) and any(0.6 < j < 0.8 for _, j, _ in pairs.values())
+
+
 def test_near_copies_of_unlike_centre_are_found_in_a_group(spark):
     words = [f"w{k}" for k in range(104)]
     near = [" ".join([*words[: 104 - k], *[f"v{k}x{x}" for x in range(k)]]) for k in range(0, 48, 4)]
