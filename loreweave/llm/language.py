@@ -7,7 +7,8 @@ a text's is the product over its words. A character outside the vocabulary is a
 piece of its own kind.
 
 The models are fitted on a bounded sample: at most ``FIT_DOCS`` documents of each
-language, in hash order, and of these the ``FIT_WORDS`` most frequent words.
+language, in hash order, and of these the ``FIT_WORDS`` most frequent words, of
+any length: a word is all text without white space, a whole line in some languages.
 Scoring reads whole texts and shuffles nothing; words are scored once per task
 and looked up afterwards.
 
@@ -41,8 +42,10 @@ EM_ROUNDS = 3
 PSEUDO = 0.05
 #: Words kept per task; the store starts anew beyond it.
 MOST_WORDS = 400_000
-#: Longer words are scored one by one, with rescaling.
+#: Longer words are fitted by logarithms, and scored one by one, with rescaling.
 LONG_WORD = 48
+#: Characters of long words that are fitted at once.
+LONG_CELLS = 1 << 17
 LONGEST_PIECE = 10
 NONE = "und"
 
@@ -125,9 +128,9 @@ def fit(words: list[str], counts: np.ndarray, pieces: list[str]) -> np.ndarray:
     """Log probabilities of the pieces and of the unknown character (last) for one language."""
     lattice = Lattice(pieces)
     groups: dict[int, list[int]] = defaultdict(list)
+    long: list[int] = []
     for i, w in enumerate(words):
-        if len(w) <= LONG_WORD:
-            groups[len(w)].append(i)
+        (groups[len(w)] if len(w) <= LONG_WORD else long).append(i)
     built = [(lattice.index([words[i] for i in at]), counts[at].astype(float)) for at in groups.values()]
     total = len(pieces) + 2
     p = np.full(total, 1.0 / total)
@@ -143,6 +146,8 @@ def fit(words: list[str], counts: np.ndarray, pieces: list[str]) -> np.ndarray:
                     at = index[:, end - 1, k - 1]
                     share = front[:, end - k] * p[at] * back[:, end] * weight
                     expected += np.bincount(at, share, total)
+        for at in _long_batches(words, long):
+            expected += _expected_long(lattice, [words[i] for i in at], counts[at].astype(float), p)
         expected[lattice.absent] = 0
         p = expected / expected.sum()
     return np.log(np.delete(p, lattice.absent))
@@ -158,6 +163,41 @@ def _backward(index: np.ndarray, p: np.ndarray) -> np.ndarray:
     return beta
 
 
+def _long_batches(words: list[str], at: list[int]) -> Iterator[list[int]]:
+    """Words of like length, the longest first, of about ``LONG_CELLS`` characters together."""
+    at = sorted(at, key=lambda i: -len(words[i]))
+    while at:
+        n = max(1, LONG_CELLS // len(words[at[0]]))
+        yield at[:n]
+        at = at[n:]
+
+
+def _expected_long(lattice: Lattice, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Expected counts of the pieces over long words, the longest first, by logarithms of the sums."""
+    index = lattice.index(words)
+    length, size = index.shape[1:]
+    ends, rows = np.array([len(w) for w in words]), np.arange(len(words))
+    front, back = np.zeros((len(words), length + 1)), np.full((len(words), length + 1), -np.inf)
+    for end in range(1, length + 1):
+        k = np.arange(1, min(end, size) + 1)
+        near = front[:, end - 1]
+        sums = (np.exp(front[:, end - k] - near[:, None]) * p[index[:, end - 1, k - 1]]).sum(axis=1)
+        front[:, end] = near + np.log(sums)
+    back[rows, ends] = 0
+    for start in range(length - 1, -1, -1):
+        n = int(np.searchsorted(-ends, -start))  # words that go on behind start
+        k = np.arange(1, min(length - start, size) + 1)
+        near = back[:n, start + 1]
+        sums = (np.exp(back[:n, start + k] - near[:, None]) * p[index[:n, start + k - 1, k - 1]]).sum(axis=1)
+        back[:n, start] = near + np.log(sums)
+    expected, whole = np.zeros(len(p)), front[rows, ends]
+    for k in range(1, size + 1):
+        at = index[:, k - 1 :, k - 1]
+        share = np.exp(front[:, : length + 1 - k] + back[:, k:] - whole[:, None]) * p[at] * counts[:, None]
+        expected += np.bincount(at.ravel(), share.ravel(), len(p))
+    return expected
+
+
 @dataclass
 class Models:
     """What a task needs: about 32,000 numbers per language."""

@@ -110,6 +110,39 @@ def test_forward_sums_all_segmentations():
     assert scorer.long_word("▁abx")[0] == pytest.approx(np.log(brute("▁abx")))
 
 
+def test_long_words_are_fitted_like_short_ones():
+    rng = np.random.default_rng(8)
+    pieces = ["▁", "▁a", "a", "b", "ab", "aba", "bb"]
+    lattice = language.Lattice(pieces)
+    p = np.array([0.1, 0.2, 0.15, 0.05, 0.3, 0.1, 0.1, 0.0, 0.1])
+    words = ["▁" + "".join(rng.choice(list("abx"), n)) for n in (30, 17, 17, 4, 1)]
+    counts = np.array([1.0, 2, 3, 4, 5])
+    want = np.zeros(len(p))
+    for w, n in zip(words, counts, strict=True):
+        index = lattice.index([w])
+        front, back = language.forward(index, p)[0], language._backward(index, p)[0]
+        for end in range(1, len(w) + 1):
+            for k in range(1, min(end, lattice.longest) + 1):
+                i = index[0, end - 1, k - 1]
+                want[i] += n * front[end - k] * p[i] * back[end] / front[-1]
+    assert language._expected_long(lattice, words, counts, p) == pytest.approx(want)
+    far = language._expected_long(lattice, ["▁" + "abx" * 5_000], np.ones(1), p)
+    assert np.isfinite(far).all() and far[lattice.unknown] == pytest.approx(5_000)
+
+
+def test_languages_without_spaces_are_told_apart():
+    rng = np.random.default_rng(9)
+    pieces = ["▁", *"abcd", "ab", "ba", "cd", "dc"]
+
+    def line(letters):
+        return "".join(rng.choice(list(letters), 80))
+
+    fitted = [language.fit(["▁" + line(x) for _ in range(40)], np.ones(40, np.int64), pieces) for x in ("aaab", "cccd")]
+    scorer = language.Scorer(language.Models(["x", "y"], pieces, np.array(fitted).T, np.log([0.5, 0.5])))
+    best, score = scorer([line("aaab"), line("cccd")])
+    assert best == [0, 1] and min(score) > 0.99
+
+
 def test_language_held_out_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(table, "doc_id", "text", "lang", public_tokenizers.path("piece_bpe_32k.model"))
