@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
@@ -49,19 +49,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 or more over five-word shingles, the one with the least id.
+    """One document of each group of fingerprints that differ by no more than two bits, the one with the least id.
 
-    Rows with the same id are one document; of equal rows one stays. Rows with a
-    null id cannot name a group, so of these only equal rows are dropped.
+    A document is an id with its text: equal rows are one, rows that share only
+    the id are told apart by their text. A row with a null id stays only if its
+    group has no other.
     """
-    groups = simhash.near_copies(docs, "doc_id", "text")
-    least = groups.groupBy("component_id").agg(F.min("doc_id").alias("stays")).select("stays")
-    least = stage(least, "stays").withColumnRenamed("stays", "stays_id")
-    # One row per id first: what this deals out by id serves the join as well.
-    named = keep_first(docs.filter("doc_id is not null"), ["doc_id"], F.col("text"))
-    kept = named.join(least, F.col("doc_id") == F.col("stays_id"), "left_semi")
-    nameless = docs.filter("doc_id is null").withColumn("_same_text", F.sha2("text", 256))
-    return kept.unionByName(keep_first(nameless, ["_same_text"], F.col("text")).drop("_same_text"))
+
+    def place(doc_id: Column, text: Column) -> Column:
+        return F.struct(doc_id.isNull().alias("nameless"), doc_id.alias("doc_id"), F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"))
+
+    named = docs.select(place(F.col("doc_id"), F.col("text")).alias("place"), "text")
+    groups = simhash.near_duplicates(named, "place", "text")
+    stays = stage(groups.select(F.to_json("component_id").alias("stays")).distinct(), "stays")
+    # One row per document first: what this deals out serves the join as well.
+    keyed = docs.withColumn("_place", F.to_json(place(F.col("doc_id"), F.col("text"))))
+    one = keep_first(keyed, ["_place"], F.col("text"))
+    return one.join(stays, F.col("_place") == F.col("stays"), "left_semi").drop("_place")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
