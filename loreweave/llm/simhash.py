@@ -8,16 +8,6 @@ tiles that remain are compared whole with exclusive-or and bit counts. A pair of
 tiles gives the links of a spanning forest and not every pair, so a large group
 costs no more links than members. Components join the forests.
 
-``near_copies`` finds texts of like wording instead of nearly equal fingerprints: sets
-of five-word shingles with a Jaccard similarity of 0.8 or more. 256-bit fingerprints at
-a radius that such sets pass give candidates only; a pair is linked if the similarity
-of its sets of shingle hashes is high enough. At such a radius bit counts tell little,
-and the number of shingles takes their place: similar sets are of similar size, so tiles
-of other sizes are skipped. First a spanning forest of each pair of tiles is checked, so
-a large group costs no more checks than members; where a check fails, all near pairs
-that are not connected yet are checked. Sets of few shingles are compared exactly,
-without fingerprints.
-
 With four parts about one pair of tiles in sixty remains; raise ``parts`` to 8 for
 over a billion fingerprints.
 
@@ -37,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loreweave.llm.components import components
 from loreweave.sources.staging import stage
@@ -115,11 +105,14 @@ def links(classes: DataFrame, radius: int = 2, parts: int = 4) -> DataFrame:
     chunks = keyed.groupBy("key").agg(F.ceil(F.count("*") / TILE).alias("chunks")).withColumnRenamed("key", "k")
     dealt = keyed.join(chunks, keyed["key"] == chunks["k"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), "chunks"))
     tiles = stage(dealt.groupBy("key", "chunk").agg(F.collect_list("fp").alias("fps")), "tiles")
+    # Pairs of tiles are found by their names; arrays travel by name and chunk, so the
+    # commonest bit counts are dealt over as many tasks as they have chunks.
     steps = F.array(*[F.lit(s) for s in _steps(parts, radius, width)])
-    left = tiles.withColumn("other", F.explode(F.transform(steps, lambda s: F.col("key") + s)))
-    right = tiles.select(F.col("key").alias("key2"), F.col("chunk").alias("chunk2"), F.col("fps").alias("fps2"))
-    pairs = left.join(right, left["other"] == right["key2"]).filter("key < key2 or chunk <= chunk2")
-    pairs = pairs.select("fps", "fps2")
+    one = tiles.select("key", "chunk", F.explode(F.transform(steps, lambda s: F.col("key") + s)).alias("key2"))
+    two = tiles.select(F.col("key").alias("k2"), F.col("chunk").alias("chunk2"))
+    pairs = one.join(two, F.col("key2") == F.col("k2")).filter("key < key2 or chunk <= chunk2").drop("k2")
+    right = tiles.select(*[F.col(c).alias(c + "2") for c in ("key", "chunk", "fps")])
+    pairs = pairs.join(tiles, ["key", "chunk"]).join(right, ["key2", "chunk2"]).select("fps", "fps2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,212 +146,6 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-#: Bits of a wide fingerprint. Sets with a Jaccard similarity of 0.8 differ in 27 to 42
-#: of them on average, with a deviation of 6, from ``FEW`` shingles on: a distance above
-#: the radius has a chance below 1e-9. Unrelated sets differ in 128, with one of 8.
-WIDE, WIDE_RADIUS = 256, 80
-#: Sets are linked from a similarity of 4 / 5 on.
-LIKE = (4, 5)
-#: Below ``LEAST`` shingles only equal sets are that similar. Below ``FEW``, a set that
-#: similar and not smaller is the same with at most one shingle more.
-LEAST, FEW = 4, 8
-#: Checks of one set that go to a task.
-HUB = 1024
-#: Sizes in one step differ by less than this factor, so similarities of 0.8 stay in
-#: neighbouring steps.
-STEP = 1.25
-#: Wide fingerprints per tile. What tiles send to each other shrinks with their size;
-#: they are compared ``TILE`` rows at a time.
-WIDE_TILE = 8192
-
-
-def majority(words: np.ndarray) -> np.ndarray:
-    """The bits set in over half the rows of 64-bit words, one bit per place.
-
-    Rows are added up bit by bit: three rows of one weight become one of it and
-    one of twice the weight, until two at most are left of each.
-    """
-    n, counts, weight = len(words), np.zeros(words.shape[1] * 64, np.int64), 1
-    while len(words):
-        carried = []
-        while len(words) > 2:
-            k = len(words) // 3
-            a, b, c = words[:k], words[k : 2 * k], words[2 * k : 3 * k]
-            half = a ^ b
-            carried.append((a & b) | (half & c))
-            words = np.concatenate([half ^ c, words[3 * k :]])
-        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")
-        counts += weight * bits.sum(axis=0, dtype=np.int64)
-        words = np.concatenate(carried) if carried else words[:0]
-        weight *= 2
-    return np.packbits(2 * counts > n, bitorder="little")
-
-
-def shingle_hashes(text: str | None, size: int = 5) -> np.ndarray:
-    """The different 64-bit hashes of a text's shingles, in order."""
-    import xxhash
-
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    size = min(size, len(words))
-    grams = map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False))
-    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64))
-
-
-def wide_fingerprint(hashes: np.ndarray) -> bytes:
-    """A fingerprint of ``WIDE`` bits; where as many hashes have a bit as not, the least hash decides."""
-    if not len(hashes):
-        return bytes(WIDE // 8)
-    mixed = np.empty((len(hashes), WIDE // 64), np.uint64)
-    for k in range(WIDE // 64):
-        x = hashes + np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        mixed[:, k] = x ^ (x >> np.uint64(31))
-    return majority(mixed if len(mixed) % 2 else np.concatenate([mixed, mixed[:1]])).tobytes()
-
-
-def set_name(hashes: np.ndarray) -> bytes:
-    import xxhash
-
-    return xxhash.xxh3_128_digest(hashes.tobytes())
-
-
-def _tiles(classes: DataFrame) -> DataFrame:
-    """``step, chunk, fps, labels`` of ``fp, step, label``."""
-    chunks = classes.groupBy("step").agg(F.ceil(F.count("*") / WIDE_TILE).alias("chunks"))
-    chunks = chunks.withColumnRenamed("step", "s")
-    dealt = classes.join(chunks, classes["step"] == chunks["s"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), "chunks"))
-    member = F.collect_list(F.struct("fp", "label"))
-    tiles = dealt.groupBy("step", "chunk").agg(member.alias("all"))
-    return stage(tiles.select("step", "chunk", F.col("all.fp").alias("fps"), F.col("all.label").alias("labels")), "tiles")
-
-
-def _tile_pairs(tiles: DataFrame) -> DataFrame:
-    one = tiles.select("step", "chunk", F.explode(F.array("step", F.col("step") + 1)).alias("step2"))
-    two = tiles.select(F.col("step").alias("s2"), F.col("chunk").alias("chunk2"))
-    return one.join(two, F.col("step2") == F.col("s2")).filter("step < step2 or chunk <= chunk2").drop("s2")
-
-
-TILE_PAIR = ["step", "chunk", "step2", "chunk2"]
-
-
-def _candidates(tiles: DataFrame, pairs: DataFrame, radius: int, *, every: bool) -> DataFrame:
-    """``u, v`` and their tiles: near pairs of different labels, ``every`` one or a spanning forest per pair of tiles."""
-    right = tiles.select(*[F.col(c).alias(c + "2") for c in ("step", "chunk", "fps", "labels")])
-    joined = pairs.join(tiles, ["step", "chunk"]).join(right, ["step2", "chunk2"])
-    joined = joined.select("fps", "labels", "fps2", "labels2", *TILE_PAIR)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                a, b = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
-                own, others = (batch.column(k)[i].values.to_numpy() for k in (1, 3))
-                x, y = (np.frombuffer(b"".join(n[: WIDE // 8] for n in z), np.uint64).reshape(len(z), -1) for z in (a, b))
-                names = np.array([*a, *b], object)
-                tile = [batch.column(k)[i].as_py() for k in range(4, 8)]
-
-                def found(u: np.ndarray, v: np.ndarray, names: np.ndarray = names, tile: list = tile) -> pa.RecordBatch:
-                    ids = [pa.array(names[u], pa.binary()), pa.array(names[v], pa.binary())]
-                    return pa.RecordBatch.from_arrays(
-                        [*ids, *[pa.array(np.full(len(u), t, np.int64)) for t in tile]], ["u", "v", *TILE_PAIR]
-                    )
-
-                near = [np.zeros((2, 0), np.int64)]
-                for at in range(0, len(x), TILE):
-                    far = np.zeros((len(x[at : at + TILE]), len(y)), np.uint16)
-                    for k in range(x.shape[1]):
-                        far += np.bitwise_count(x[at : at + TILE, k][:, None] ^ y[:, k])
-                    hits = (far <= radius) & (own[at : at + TILE, None] != others)
-                    u, v = _pairs(hits, at, len(a))
-                    if not every:
-                        near.append(np.array(_spanning(u, v, len(names))))
-                        continue
-                    for k in range(0, len(u), 1 << 16):
-                        yield found(u[k : k + (1 << 16)], v[k : k + (1 << 16)])
-                if not every:
-                    # A text is in both tiles if a tile meets itself.
-                    _, first = np.unique(names, return_index=True)
-                    place = dict(zip(names[first], first, strict=True))
-                    same = np.array([place[n] for n in names])
-                    near = same[np.concatenate(near, axis=1)]
-                    yield found(*_spanning(near[0], near[1], len(names)))
-
-    tiled = ", ".join(f"{c} bigint" for c in TILE_PAIR)
-    return joined.mapInArrow(compare, f"u binary, v binary, {tiled}")
-
-
-def _few_links(classes: DataFrame) -> DataFrame:
-    """``u, v``: sets of few shingles and those with one more."""
-    key = F.substring("fp", WIDE // 8 + 1, 16)
-    whole = classes.filter((F.col("shingles") >= LEAST) & (F.col("shingles") < FEW)).select(F.col("fp").alias("u"), key.alias("key"))
-    more = classes.select(F.col("fp").alias("v"), F.explode("less").alias("key"))
-    return whole.join(more, "key").select("u", "v")
-
-
-def _with_set(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
-    """Adds the set of ``side``; one that meets many others is sent in copies to several tasks."""
-    many = pairs.groupBy(side).agg(F.floor(F.count("*") / HUB).alias("copies")).filter("copies > 0")
-    many = stage(many.withColumnRenamed(side, "hub"), "hubs")
-    salt = F.pmod(F.xxhash64("u", "v"), F.coalesce("copies", F.lit(0)) + 1)
-    dealt = pairs.join(F.broadcast(many), F.col(side) == F.col("hub"), "left").withColumn("salt", salt).drop("copies", "hub")
-    held = sets.join(F.broadcast(many), F.col("node") == F.col("hub"), "left")
-    held = held.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("copies", F.lit(0).cast("bigint")))))
-    held = held.select(F.col("node").alias(side), "salt", F.col("hashes").alias(side + "_set"))
-    return dealt.join(held, [side, "salt"]).drop("salt")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose sets have a similarity of ``LIKE`` or more; ``texts`` has ``text, text_key``."""
-    nodes = pairs.select(F.col("u").alias("n")).union(pairs.select(F.col("v").alias("n"))).distinct()
-    keys = classes.join(nodes, classes["fp"] == nodes["n"], "left_semi").select(F.col("text_key").alias("k"))
-    needed = texts.join(keys, texts["text_key"] == keys["k"], "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                h = shingle_hashes(t.as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([wide_fingerprint(h) + set_name(h)], pa.binary()), pa.array([h.view(np.int64)], pa.list_(pa.int64()))],
-                    ["node", "hashes"],
-                )
-
-    sets = stage(needed.select("text").mapInArrow(hashed, "node binary, hashes array<bigint>"), "sets")
-    both = _with_set(_with_set(pairs, "u", sets), "v", sets)
-    common = F.size(F.array_intersect("u_set", "v_set")).cast("bigint")
-    union = F.size("u_set") + F.size("v_set") - common
-    return both.filter(common * LIKE[1] >= union * LIKE[0]).select("u", "v")
-
-
-def _wide_links(classes: DataFrame, texts: DataFrame, radius: int) -> DataFrame:
-    """``u, v``: links that connect all sets of a similarity of ``LIKE`` or more, and no others.
-
-    ``classes`` has each set once.
-    """
-    few = stage(_few_links(classes), "few")
-    large = classes.filter(F.col("shingles") >= LEAST)
-    tiles = _tiles(large.select("fp", "step", F.xxhash64("fp").alias("label")))
-    first = stage(_candidates(tiles, _tile_pairs(tiles), radius, every=False), "candidates")
-    sure = stage(_confirmed(first.select("u", "v").distinct(), texts, classes).union(few), "links")
-    failed = first.join(sure, ["u", "v"], "left_anti")
-    failed = stage(failed.select(*TILE_PAIR).distinct(), "failed")
-    if failed.isEmpty():
-        return sure
-    roots = components(sure)
-    label = F.xxhash64(F.coalesce("root", "fp"))
-    tiles = _tiles(large.join(roots, large["fp"] == roots["node"], "left").select("fp", "step", label.alias("label")))
-    rest = _candidates(tiles, failed, radius, every=True).select("u", "v")
-    rest = stage(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
-    return stage(sure.union(_confirmed(rest, texts, classes)), "links")
-
-
-def _pairs(near: np.ndarray, first: int, other: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members on both sides: rows from ``first`` on, and columns behind ``other`` rows."""
-    i, j = np.nonzero(near)
-    return i + first, j + other
-
-
 def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Links from each group's first member to its others, for links between n members."""
     label = np.arange(n)
@@ -374,41 +161,6 @@ def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
         label = new
 
 
-def near_copies(docs: DataFrame, id_col: str, text_col: str, radius: int = WIDE_RADIUS) -> DataFrame:
-    """``doc_id, component_id``: groups of texts of like wording, named by their least id."""
-    kind = docs.schema[id_col].dataType
-    out = StructType([
-        StructField("doc_id", kind), StructField("text_key", StringType()), StructField("fp", BinaryType()),
-        StructField("shingles", LongType()), StructField("less", ArrayType(BinaryType())),
-    ])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps, sizes, less = [], [], []
-            for t in batch.column(1):
-                h = shingle_hashes(t.as_py())
-                fps.append(wide_fingerprint(h) + set_name(h))
-                sizes.append(len(h))
-                less.append([set_name(np.delete(h, k)) for k in range(len(h))] if LEAST < len(h) <= FEW else [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2), pa.array(fps, pa.binary()), pa.array(sizes, pa.int64()),
-                    pa.array(less, pa.list_(pa.binary())),
-                ],
-                ["doc_id", "text_key", "fp", "shingles", "less"],
-            )
-
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = keyed.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
-    step = F.floor(F.log(F.greatest("shingles", F.lit(1))) / np.log(STEP))
-    rows = stage(keyed.mapInArrow(run, out).withColumn("step", step), "fingerprints")
-    same = F.min(F.struct("text_key", "step", "shingles", "less")).alias("same")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), same)
-    classes = stage(classes.select("fp", "first", "same.*"), "classes")
-    roots = components(_wide_links(classes, keyed.select("text", "text_key"), radius))
-    return _named(rows.select("doc_id", "fp"), classes.select("fp", "first"), roots)
-
-
 def _named(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows with the least id of their fingerprint's component."""
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(

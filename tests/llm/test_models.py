@@ -258,53 +258,17 @@ def test_simhash_odd_rows(spark):
     assert one[0].component_id is None
 
 
-def test_near_copies(spark):
-    rng = np.random.default_rng(6)
-    words = [f"w{x}" for x in rng.integers(0, 5000, 400)]
-    changed = [*words[:200], "new", *words[201:]]
-    other = [f"v{x}" for x in rng.integers(0, 5000, 400)]
-    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(other)), (4, " ".join(words).upper()), *ODD[4:]]
-    got = defaultdict(set)
-    for r in simhash.near_copies(docs(spark, rows), "doc_id", "text").collect():
-        got[r.component_id].add(r.doc_id)
-    assert {1, 2, 4} in got.values() and got[3] == {3}
-
-
-def test_near_copies_links_exactly_from_the_similarity_on(spark):
-    pairs, rows = {}, []
-
-    def put(name, words, other):
-        words, other = ([f"p{len(pairs)}{w}" for w in x] for x in (words, other))
-        sets = [simhash.shingle_hashes(" ".join(w)) for w in (words, other)]
-        common = len(np.intersect1d(*sets))
-        j = common / (len(sets[0]) + len(sets[1]) - common)
-        pairs[2 * len(pairs)] = (name, j, 5 * common >= 4 * (len(sets[0]) + len(sets[1]) - common))
-        rows.extend([(2 * len(pairs) - 2, " ".join(words)), (2 * len(pairs) - 1, " ".join(other))])
-
-    for n in (4, 4, 4, 4, 5, 8, 12, 16, 20, 24, 40, 80, 160, 320, 400):
-        for _ in range(8 if n < 30 else 2):
-            words = [f"w{k}" for k in range(n + 4)]
-            put("at", words, [*words, *[f"x{k}" for k in range(n // 4)]])
-            put("below", words, [*words, *[f"x{k}" for k in range(n // 4 + 1)]])
-            put("half", words, [*words[: n + 4 - n // 6], *[f"y{k}" for k in range(n // 6)]])
-    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(spark, rows), "doc_id", "text").collect()}
-    linked = {i: got[i] == got[i + 1] for i in pairs}
-    assert linked == {i: near for i, (_, _, near) in pairs.items()}
-    assert any(j == 0.8 for _, j, _ in pairs.values()) and any(0.6 < j < 0.8 for _, j, _ in pairs.values())
-
-
-def test_near_copies_of_unlike_centre_are_found_in_a_group(spark):
-    words = [f"w{k}" for k in range(104)]
-    near = [" ".join([*words[: 104 - k], *[f"v{k}x{x}" for x in range(k)]]) for k in range(0, 48, 4)]
-    sets = [simhash.shingle_hashes(t) for t in near]
-    like = []
-    for i in range(len(sets)):
-        for j in range(i):
-            c = len(np.intersect1d(sets[i], sets[j]))
-            if 5 * c >= 4 * (len(sets[i]) + len(sets[j]) - c):
-                like.append((i, j))
-    got = simhash.near_copies(docs(spark, list(enumerate(near))), "doc_id", "text").collect()
-    assert {r.doc_id: r.component_id for r in got} == brute_components(list(range(len(near))), like)
+def test_simhash_links_across_chunks_of_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 4)
+    rng = np.random.default_rng(11)
+    base = rng.integers(-(2**63), 2**63, 12)
+    fps = np.unique(np.concatenate([base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 63, (15, 2))]))
+    table = spark.createDataFrame([(int(x),) for x in fps], "fp bigint")
+    roots = dict(map(tuple, components.components(simhash.links(table, 2, 2)).collect()))
+    codes = fps.view(np.uint64)
+    near = np.argwhere(np.bitwise_count(codes[:, None] ^ codes) <= 2)
+    want = brute_components(fps.tolist(), near.tolist())
+    assert {x: roots.get(x, x) for x in fps.tolist()} == want
 
 
 def test_components_of_a_path_and_a_star(spark):

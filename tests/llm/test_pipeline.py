@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
+from loreweave.llm import simhash
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string"
 SHARED = "This very sentence stands in a good many of the documents here."
@@ -27,6 +28,23 @@ def corpus(spark):
     return spark.createDataFrame([(*r, len(r[1] or ""), "x") for r in rows], COLUMNS)
 
 
+def reachable(near, i):
+    seen, new = set(), {i}
+    while new:
+        seen |= new
+        new = {k for j in new for k in near[j]} - seen
+    return seen
+
+
+def test_near_duplicates_by_id_and_text(spark):
+    rows = [(None, "a b c d"), (None, "a b c d"), (None, "q r s t u"), (7, "a b c d"), (7, "a b c d"), (7, "k l m n o"), (3, "a b c d")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in rows], COLUMNS)
+    kept = cp.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text) for r in kept.collect()))
+    assert got == [(0, "q r s t u"), (3, "a b c d"), (7, "k l m n o")]
+
+
 def test_stages(spark, corpus):
     docs, sizes = corpus, {}
     for name, fn in cp.STAGES[:-1]:
@@ -36,12 +54,16 @@ def test_stages(spark, corpus):
         if name == "language":
             assert {100, 101, 102}.isdisjoint(r.doc_id for r in docs.collect()) and sizes[name] == 47
         if name == "lines":
+            texts = {r.doc_id: r.text for r in docs.collect()}
             left = [r.doc_id for r in docs.collect() if SHARED in r.text]
             assert left == [205] and sizes[name] == 47
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         if name == "near_duplicates":
-            ids = sorted(r.doc_id for r in docs.collect())
-            assert ids == [i for i in range(40) if i not in (5, 8)] + list(range(200, 206))
+            kept = {r.doc_id: r.text for r in docs.collect()}
+            assert len(kept) == sizes[name] and 4 in kept and 5 not in kept
+            fps = {i: simhash.fingerprint(t) for i, t in texts.items()}
+            near = {i: {j for j in fps if (fps[i] ^ fps[j]).bit_count() <= 2} for i in fps}
+            assert sorted(kept) == [i for i in sorted(fps) if min(reachable(near, i)) == i]
         if name == "mixing":
             times = docs.groupBy("doc_id").count().agg({"count": "max"}).first()[0]
             assert times <= 3
