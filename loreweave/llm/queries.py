@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import hashing_index, language, linedup, lm, mixing, packing, rules, secrets, simhash, urls
+from loreweave.llm import hashing_index, language, linedup, lm, mixing, packing, rules, secrets, simhash, urls, whitening
 
 catalog = Catalog()
 
@@ -207,3 +207,9 @@ def op1_lm_scoring(spark, sf_dir):
 def op3_hashing_index(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return hashing_index.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, 5)
+
+
+@catalog.add()
+def op11_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, "vec_id", "embedding")
