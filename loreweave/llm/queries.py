@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import hashing_index, language, linedup, lm, mixing, packing, rules, secrets, simhash, urls, whitening
+from loreweave.llm import hashing_index, language, lexical, linedup, lm, mixing, packing, rules, secrets, simhash, urls, whitening
 
 catalog = Catalog()
 
@@ -213,3 +213,28 @@ def op3_hashing_index(spark, sf_dir):
 def op11_whitening(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(vectors, "vec_id", "embedding")
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@catalog.add(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS terms FROM benchmark),
+q AS (SELECT i, item_id, unnest(terms) AS term FROM i),
+n AS (SELECT r, len(terms) AS n FROM d WHERE len(terms) > 0),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), g),
+m AS (SELECT r, 50 + (50 * n * docs) // words AS m FROM n, g),
+s AS (SELECT i, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM t JOIN w USING (term) JOIN m USING (r) JOIN q USING (term) GROUP BY i, item_id, r)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM s JOIN d USING (r) WHERE score > 0) WHERE rank <= 50
+""")
+def op12_ranked_search(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark")
+    return lexical.search(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", items, "item_id", "text")
