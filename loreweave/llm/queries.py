@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table
-from loreweave.llm import hashing_index, language, lexical, linedup, lm, mixing, packing, rules, secrets, simhash, urls, whitening
+from loreweave.llm import hashing_index, jaccard, language, lexical, linedup, lm, mixing, packing, rules, secrets, simhash, urls, whitening
 
 catalog = Catalog()
 
@@ -238,3 +238,8 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 def op12_ranked_search(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark")
     return lexical.search(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", items, "item_id", "text")
+
+
+@catalog.add()
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard.join(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
