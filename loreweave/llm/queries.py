@@ -54,8 +54,8 @@ def op2_quality_rules(spark, sf_dir):
 
 
 _SIZED = rf"""
-z AS (SELECT doc_id, source, len({_WORDS.format('text')}) AS size,
-             md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+z AS (SELECT row_number() OVER () AS r, doc_id, source, len({_WORDS.format('text')}) AS size,
+             md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 t AS (SELECT source, sum(size)::BIGINT AS source_size FROM z GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM t),
 l AS (SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
@@ -69,7 +69,7 @@ g AS (SELECT source, source_size, least(max(level) OVER () * weight, 3.0::DOUBLE
 @catalog.add(rf"""
 WITH {_SIZED},
 q AS (SELECT z.*, source_size, target, sum(size) OVER (
-             PARTITION BY z.source ORDER BY key, doc_id NULLS FIRST, size
+             PARTITION BY z.source ORDER BY key
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before
       FROM z JOIN g ON z.source IS NOT DISTINCT FROM g.source),
 e AS (SELECT *, CASE WHEN target > 0 THEN (round * source_size + before)::DOUBLE / target ELSE 0 END AS finish
@@ -78,7 +78,7 @@ c AS (SELECT finish, sum(sum(size)) OVER (ORDER BY finish) AS upto FROM e WHERE
 m AS (SELECT coalesce(max(finish), 0) AS finish FROM c WHERE upto <= (SELECT sum(size) FROM z))
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        (size * count(*) FILTER (finish <= (SELECT finish FROM m)))::BIGINT AS taken
-FROM e GROUP BY doc_id, size, source, source_size, target, key, before
+FROM e GROUP BY r, doc_id, size, source, source_size, target
 """)
 def op4_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "source", "text")

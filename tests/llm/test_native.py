@@ -81,6 +81,31 @@ def test_mixing_against_brute_force(spark):
     assert sum(taken.values()) <= sum(sizes.values())
 
 
+@pytest.mark.parametrize("span", [3, 10_000])
+def test_mixing_with_equal_rows(spark, monkeypatch, span):
+    """A third of the rows is one row without an id; every source still gets its target."""
+    monkeypatch.setattr(mixing, "SPAN", span)
+    rows = [(i, "w " * (i % 5 + 1), f"s{i % 3}") for i in range(200)]
+    rows += [(None, "one two three", "s0")] * 100 + [(7, "x y", "s1")] * 30 + [(7, "x z", "s1")] * 5 + [(None, None, None)] * 20
+    rows += [(None, "one two three", "s2")] * 40
+    sizes, target = brute_mix(rows)
+    table = docs(spark, rows).repartition(5)
+    got = mixing.mix(table, "doc_id", "source", "text").collect()
+    assert len(got) == len(rows)
+    taken = {}
+    for r in got:
+        assert r.taken in (0, r.size, 2 * r.size, 3 * r.size)
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - t) <= 5 for s, t in target.items())
+    assert sum(taken.values()) <= sum(sizes.values())
+    again = mixing.mix(docs(spark, rows[::-1]), "doc_id", "source", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+    words = {}
+    for r in mixing.mixed_documents(table, "doc_id", "source", "text").collect():
+        words[r.source] = words.get(r.source, 0) + len((r.text or "").split())
+    assert {s: n for s, n in words.items() if s} == {s: n for s, n in taken.items() if s}
+
+
 def test_mixed_documents_keep_columns(spark):
     rows = [(i, "w " * 5, "a" if i else "b") for i in range(9)]
     table = docs(spark, rows)
