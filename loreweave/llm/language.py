@@ -6,9 +6,10 @@ the sum over all ways to cut it into pieces, found by the forward algorithm, and
 a text's is the product over its words. A character outside the vocabulary is a
 piece of its own kind.
 
-The models are fitted on a bounded sample: at most ``FIT_DOCS`` documents of each
-language, in hash order, and of these the ``FIT_WORDS`` most frequent words, of
-any length: a word is all text without white space, a whole line in some languages.
+The models are fitted on a bounded sample: at most ``FIT_DOCS`` documents, in hash
+order, of each of the ``MOST_LANGS`` languages with the most documents, and all
+their words, of any length: a word is all text without white space, a whole line in
+some languages. Words longer than ``RUN`` are fitted in runs of that length.
 Scoring reads whole texts and shuffles nothing; words are scored once per task
 and looked up afterwards.
 
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -36,7 +38,7 @@ from loreweave.llm.text import held_out
 from loreweave.operators.ranking import top_k
 
 FIT_DOCS = 1_000
-FIT_WORDS = 20_000
+MOST_LANGS = 200
 EM_ROUNDS = 3
 #: Added to each piece's expected count.
 PSEUDO = 0.05
@@ -44,16 +46,19 @@ PSEUDO = 0.05
 MOST_WORDS = 400_000
 #: Longer words are fitted by logarithms, and scored one by one, with rescaling.
 LONG_WORD = 48
-#: Characters of long words that are fitted at once.
+#: Characters of long words that are fitted at once, and the longest run of them.
 LONG_CELLS = 1 << 17
-LONGEST_PIECE = 10
+RUN = 1 << 12
+#: Words of one length that are looked up at once.
+WORDS = 4096
 NONE = "und"
 
+#: Finds all letters, and signs for numbers with them.
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text and _LETTER.search(text))
+    return any(m[0].isalpha() for m in _LETTER.finditer(text or ""))
 
 
 def words_of(text: str) -> list[str]:
@@ -62,13 +67,12 @@ def words_of(text: str) -> list[str]:
 
 
 def load_pieces(path: str) -> list[str]:
-    """The ordinary pieces of a sentencepiece model, not longer than ``LONGEST_PIECE``."""
+    """The ordinary pieces of a sentencepiece model."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
-    pieces = [sp.id_to_piece(i) for i in ids]
-    return [p for p in pieces if len(p) <= LONGEST_PIECE]
+    return [sp.id_to_piece(i) for i in ids]
 
 
 class Lattice:
@@ -127,27 +131,30 @@ def forward(index: np.ndarray, p: np.ndarray) -> np.ndarray:
 def fit(words: list[str], counts: np.ndarray, pieces: list[str]) -> np.ndarray:
     """Log probabilities of the pieces and of the unknown character (last) for one language."""
     lattice = Lattice(pieces)
+    runs = [w[i : i + RUN] for w in words for i in range(0, len(w), RUN)]
+    counts = np.repeat(np.asarray(counts, float), [-(-len(w) // RUN) for w in words])
     groups: dict[int, list[int]] = defaultdict(list)
     long: list[int] = []
-    for i, w in enumerate(words):
+    for i, w in enumerate(runs):
         (groups[len(w)] if len(w) <= LONG_WORD else long).append(i)
-    built = [(lattice.index([words[i] for i in at]), counts[at].astype(float)) for at in groups.values()]
+    some = [at[i : i + WORDS] for at in groups.values() for i in range(0, len(at), WORDS)]
     total = len(pieces) + 2
     p = np.full(total, 1.0 / total)
     p[lattice.absent] = 0
     for _ in range(EM_ROUNDS):
         expected = np.full(total, PSEUDO)
-        for index, n in built:
+        for part in some:
+            index = lattice.index([runs[i] for i in part])
             front, back = forward(index, p), _backward(index, p)
-            weight = n / front[:, -1]
+            weight = counts[part] / front[:, -1]
             length, size = index.shape[1:]
             for end in range(1, length + 1):
                 for k in range(1, min(end, size) + 1):
                     at = index[:, end - 1, k - 1]
                     share = front[:, end - k] * p[at] * back[:, end] * weight
                     expected += np.bincount(at, share, total)
-        for at in _long_batches(words, long):
-            expected += _expected_long(lattice, [words[i] for i in at], counts[at].astype(float), p)
+        for at in _long_batches(runs, long):
+            expected += _expected_long(lattice, [runs[i] for i in at], counts[at], p)
         expected[lattice.absent] = 0
         p = expected / expected.sum()
     return np.log(np.delete(p, lattice.absent))
@@ -230,8 +237,8 @@ class Scorer:
             if length > LONG_WORD:
                 rows.append(np.array([self.long_word(w) for w in same]))
             else:
-                for at in range(0, len(same), 4096):
-                    rows.append(np.log(forward(self.lattice.index(same[at : at + 4096]), self.p)[:, -1]))
+                for at in range(0, len(same), WORDS):
+                    rows.append(np.log(forward(self.lattice.index(same[at : at + WORDS]), self.p)[:, -1]))
             start = len(self.known)
             self.known.update(zip(same, range(start, start + len(same)), strict=True))
         self.table = np.concatenate(rows)
@@ -272,16 +279,16 @@ def fit_models(labelled: DataFrame, text_col: str, lang_col: str, order: Column,
     """Models of all languages in ``lang_col``; rows without text or language are left out."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), order.alias("place"))
     rows = rows.filter("text is not null and lang is not null")
-    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).collect()
+    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least"))
+    known = known.orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
     shares = {r["lang"]: r["n"] for r in known}
     # A share of each language that holds about twice the documents needed, and its
     # first one in any case, goes into the exact choice.
-    some = F.lit(False)
-    for r in known:
-        share = int(min(1.0, 2 * FIT_DOCS / r["n"]) * 1_000_000)
-        near = (F.pmod("place", F.lit(1_000_000)) <= share) | (F.col("place") == r["least"])
-        some = some | ((F.col("lang") == r["lang"]) & near)
-    sample = top_k(rows.filter(some), ["lang"], FIT_DOCS, F.col("place"), F.col("text")).select("lang", "text")
+    asked = [(r["lang"], int(min(1.0, 2 * FIT_DOCS / r["n"]) * 1_000_000), r["least"]) for r in known]
+    asked = F.broadcast(rows.sparkSession.createDataFrame(asked, "of string, share long, least long"))
+    near = (F.pmod("place", F.lit(1_000_000)) <= F.col("share")) | (F.col("place") == F.col("least"))
+    some = rows.join(asked, (F.col("lang") == F.col("of")) & near).drop("of", "share", "least")
+    sample = top_k(some, ["lang"], FIT_DOCS, F.col("place"), F.col("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,13 +303,13 @@ def fit_models(labelled: DataFrame, text_col: str, lang_col: str, order: Column,
 
     counted = sample.mapInArrow(count, "lang string, word string, n bigint")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    frequent = top_k(counted, ["lang"], FIT_WORDS, F.col("n").desc(), F.col("word")).select("lang", "word", "n")
 
     def learn(part: pa.Table) -> pa.Table:
+        part = part.sort_by("word")
         log_p = fit(part["word"].to_pylist(), part["n"].to_numpy(), pieces)
         return pa.table({"lang": part["lang"].slice(0, 1), "log_p": pa.array([log_p.tolist()])})
 
-    learned = frequent.groupBy("lang").applyInArrow(learn, "lang string, log_p array<double>").collect()
+    learned = counted.groupBy("lang").applyInArrow(learn, "lang string, log_p array<double>").collect()
     learned = sorted(learned, key=lambda r: r["lang"].encode())
     langs = [r["lang"] for r in learned]
     total = sum(shares[x] for x in langs)
@@ -316,7 +323,7 @@ def fit_models(labelled: DataFrame, text_col: str, lang_col: str, order: Column,
 def predict(docs: DataFrame, text_col: str, models: Models) -> DataFrame:
     """``row, lang_pred, score``; ``row`` is the input row."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    rows, place = docs.select(F.struct("*").alias("row")), docs.columns.index(text_col)
     out = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +332,7 @@ def predict(docs: DataFrame, text_col: str, models: Models) -> DataFrame:
         names = [*models.langs, NONE]
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1)):
+            for texts in slices(pc.struct_field(batch.column(0), place)):
                 best, score = scorer(texts)
                 rows = batch.column(0).slice(at, len(texts))
                 at += len(texts)

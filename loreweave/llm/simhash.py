@@ -126,12 +126,21 @@ def links(classes: DataFrame, radius: int = 2, parts: int = 4) -> DataFrame:
     return pairs.mapInArrow(compare, "u bigint, v bigint")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links from the first member of each group of linked fingerprints to its others."""
-    i, j = np.nonzero(np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)) <= radius)
-    values, where = np.unique(np.concatenate([a[i], b[j]]), return_inverse=True)
-    u, v = _spanning(where[: len(i)], where[len(i) :], len(values))
-    return values[u], values[v]
+def _forest(a: np.ndarray, b: np.ndarray, radius: int, rows: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Links from the first member of each group of linked fingerprints to its others.
+
+    Some rows are compared at a time and their links cut down to a spanning
+    forest at once, so memory does not grow with the number of links.
+    """
+    members, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = place[: len(a)], place[len(a) :]
+    u = v = np.zeros(0, np.int64)
+    for at in range(0, len(a), rows):
+        far = np.bitwise_count(a[at : at + rows].view(np.uint64)[:, None] ^ b.view(np.uint64))
+        i, j = np.nonzero(far <= radius)
+        if len(i):
+            u, v = _spanning(np.concatenate([u, left[at + i]]), np.concatenate([v, right[j]]), len(members))
+    return members[u], members[v]
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, radius: int = 2, parts: int = 4) -> DataFrame:

@@ -143,6 +143,54 @@ def test_languages_without_spaces_are_told_apart():
     assert best == [0, 1] and min(score) > 0.99
 
 
+def test_all_pieces_of_the_vocabulary_are_used():
+    pieces = language.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    assert "translation" in pieces and "▁information" in pieces and len(pieces) > 31_700
+
+
+def test_signs_for_numbers_are_no_letters():
+    assert not any(map(language.has_letter, (None, "", "½ ² ① 12 _ 三"[:-1], "٣ ... !")))
+    assert all(map(language.has_letter, ("½ a", "三", "ß", "12é")))
+
+
+def test_long_lines_are_fitted_in_runs(monkeypatch):
+    rng = np.random.default_rng(10)
+    pieces = ["▁", *"ab", "ab", "ba", "aab"]
+    line = "▁" + "".join(rng.choice(list("ab"), 6000))
+    whole = language.fit([line, "▁ab"], np.array([1, 2]), pieces)
+    monkeypatch.setattr(language, "RUN", 512)
+    assert language.fit([line, "▁ab"], np.array([1, 2]), pieces) == pytest.approx(whole, abs=0.05)
+
+
+def test_languages_beyond_the_bound_teach_nothing(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGS", 2)
+    rows = [(i, w, x, 1) for i, (w, x) in enumerate([("aaa", "x")] * 9 + [("bbb", "y")] * 8 + [("ccc", "z")])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int")
+    models = language.fit_models(table, "text", "lang", F.xxhash64("doc_id"), ["▁", "a", "b", "c"])
+    assert models.langs == ["x", "y"]
+
+
+def test_language_query_against_a_plain_forward_pass(spark, corpus):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    models = language.fit_models(corpus, "text", "lang", order, language.load_pieces(path))
+    lattice = language.Lattice(models.pieces)
+    p = np.exp(models.log_p)
+    for r in language.predict(corpus.limit(15).select("doc_id", "text"), "text", models).collect():
+        total = models.log_prior.copy()
+        for word in language.words_of(r.row.text[:400]):
+            alpha = [np.ones(len(models.langs))]
+            for end in range(1, len(word) + 1):
+                ways = [p[-1] * alpha[end - 1]] if word[end - 1] not in lattice.ids else []
+                ways += [p[lattice.ids[word[at:end]]] * alpha[at] for at in range(end) if word[at:end] in lattice.ids]
+                alpha.append(sum(ways))
+            total += np.log(alpha[-1])
+        scorer = language.Scorer(models)
+        best, score = scorer([r.row.text[:400]])
+        assert best[0] == int(total.argmax())
+        assert score[0] == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-6)
+
+
 def test_language_held_out_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(table, "doc_id", "text", "lang", public_tokenizers.path("piece_bpe_32k.model"))
