@@ -6,8 +6,8 @@ bucket; each is a sequence by itself, so a batch drawn from a bucket has equal
 lengths without padding.
 
 Every document is handled in its own task's stream of rows: nothing is shuffled
-and copies or a hot source cost no more than other rows. Words are encoded once
-per task and looked up afterwards; the encoder never joins text over ASCII white
+and copies or a hot source cost no more than other rows. Words, or their letters
+and punctuation, are encoded once per task and looked up afterwards; the encoder never joins text over ASCII white
 space, so the ids are those of the whole text.
 
 Defined cases: a null or empty text has only the end id; a very long text gives
@@ -18,80 +18,94 @@ any name.
 
 from __future__ import annotations
 
-import re
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-#: Words kept per task; the store starts anew beyond it.
-MOST_WORDS = 600_000
+#: Parts of words kept per task; the store starts anew beyond it.
+MOST_PARTS = 600_000
 #: Rows whose ids are held at a time.
-SLICE = 256
-
+SLICE = 512
 
 #: A word of Latin letters and punctuation behind them. The encoder lower-cases it,
 #: keeps letters and punctuation apart and changes nothing else, so both are looked
 #: up by themselves; all other words are encoded as they stand.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*%#$&|]*)").fullmatch
+_PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?*%#$&|]*)$"
 
 
 class WordIds:
-    """Ids of whole texts as little-endian 32-bit bytes, by a store of words."""
+    """Ids of whole texts, by a store of parts of words.
+
+    A word is one or two parts; a part's ids stand in one array with all others,
+    so the ids of many texts are gathered at once.
+    """
 
-    def __init__(self, path: str, end: int) -> None:
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.end = end.to_bytes(4, "little")
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
         vocabulary = self.encoder.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def __call__(self, text: str | None) -> bytes:
-        words = text.encode().split() if text else []
-        known = self.known
-        return b"".join(map(known.__getitem__, words)) + self.end
-
-    def learn(self, texts: list[str | None]) -> None:
-        """Makes sure that the words of ``texts`` are known."""
-        words = {w for text in texts if text for w in text.encode().split()}
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known, self.parts, new = {}, {"": b""}, words
-        split = {}
-        for w in new:
-            text = w.decode()
-            found = _PLAIN(text)
-            split[w] = (found[1].lower(), found[2]) if found else (text, "")
-        letters = list({p for p, _ in split.values() if p.isalpha()}.difference(self.parts))
-        for i in range(0, len(letters), 500):
-            self._encode_together(letters[i : i + 500])
-        others = list({p for pair in split.values() for p in pair}.difference(self.parts))
-        for i in range(0, len(others), 10_000):
-            self._encode(others[i : i + 10_000])
-        parts = self.parts
-        self.known.update((w, parts[p] + parts[q]) for w, (p, q) in split.items())
-
-    def _encode(self, parts: list[str]) -> None:
-        coded = self.encoder.encode_batch_fast(parts, add_special_tokens=False)
-        self.parts.update((p, np.array(c.ids, "<u4").tobytes()) for p, c in zip(parts, coded, strict=True))
-
-    def _encode_together(self, parts: list[str]) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        # The first part is empty.
+        self.parts: dict[str, int] = {"": 0}
+        self.starts, self.sizes, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's ids begin and end."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        plain = pc.extract_regex(words.dictionary, _PLAIN)
+        letters, marks = (pc.struct_field(plain, k) for k in ("letters", "marks"))
+        first = pc.coalesce(pc.utf8_lower(letters), words.dictionary).dictionary_encode()
+        second = pc.fill_null(marks, "").dictionary_encode()
+        whole = np.zeros(len(first.dictionary), bool)
+        whole[first.indices.to_numpy()[pc.is_valid(letters).to_numpy(zero_copy_only=False)]] = True
+        names, others = first.dictionary.to_pylist(), second.dictionary.to_pylist()
+        if len(self.parts) + len(names) + len(others) > MOST_PARTS:
+            self.clear()
+        left, right = self.numbers(names, whole), self.numbers(others, np.zeros(len(others), bool))
+        both = np.column_stack([left[first.indices.to_numpy()], right[second.indices.to_numpy()]])
+        parts = both[words.indices.to_numpy()].ravel()
+        sizes = self.sizes[parts]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        each = np.repeat(self.starts[parts] - ends[:-1], sizes) + np.arange(ends[-1])
+        return self.ids[each], ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+
+    def numbers(self, names: list[str], whole: np.ndarray) -> np.ndarray:
+        """The numbers of different parts, which are learned if they are new; ``whole`` ones are words of letters."""
+        found = np.array(list(map(self.parts.get, names, itertools.repeat(-1))), np.int64)
+        new = found < 0
+        for encode, many, some in ((self._encode_together, 500, new & whole), (self._encode, 10_000, new & ~whole)):
+            at = np.flatnonzero(some)
+            if len(at):
+                words = [names[k] for k in at.tolist()]
+                found[at] = np.arange(len(self.sizes), len(self.sizes) + len(at))
+                self.parts.update(zip(words, found[at].tolist(), strict=True))
+                ids, sizes = zip(*(encode(words[i : i + many]) for i in range(0, len(words), many)), strict=True)
+                sizes = np.concatenate(sizes)
+                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+                self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, *ids])
+        return found
+
+    def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [c.ids for c in self.encoder.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.array([i for c in coded for i in c], "<u4"), np.array([len(c) for c in coded], np.int64)
+
+    def _encode_together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters as one text, which is much cheaper: each ends at the next id that closes a word."""
         ids = np.array(self.encoder.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
-        ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
-        if len(ends) != len(parts):
-            return self._encode(parts)
-        data, start = ids.tobytes(), 0
-        for p, end in zip(parts, ends.tolist(), strict=True):
-            self.parts[p] = data[start:end]
-            start = end
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(parts) else self._encode(parts)
 
 
 def lengths(n: int, longest: int) -> list[int]:
@@ -117,23 +131,24 @@ def pack(
     ])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer, end)
+        coder, closing = WordIds(tokenizer), np.array([end], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 row, start, length, ids, total = [], [], [], [], []
-                texts = part.column(1).to_pylist()
-                coder.learn(texts)
-                for i, text in enumerate(texts):
-                    coded = coder(text)
-                    done, n = 0, len(coded) // 4
+                coded, ends = coder(part.column(1))
+                coded, ends = memoryview(coded.tobytes()), ends.tolist()
+                for i in range(part.num_rows):
+                    own, done = coded[4 * ends[i] : 4 * ends[i + 1]], 0
+                    n = len(own) // 4 + 1
                     for size in lengths(n, longest):
                         row.append(i)
                         start.append(done)
                         length.append(size)
-                        ids.append(coded[4 * done : 4 * (done + size)])
-                        total.append(n)
                         done += size
+                        ids.append(bytes(own[4 * (done - size) : 4 * done]))
+                        total.append(n)
+                    ids[-1] += closing
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total, pa.int64())],

@@ -376,13 +376,16 @@ def test_neighbours_odd_rows(spark):
 # Packing
 
 
-def test_packing_round_trip(spark, corpus):
+@pytest.mark.parametrize("kept", [packing.MOST_PARTS, 40])
+def test_packing_round_trip(spark, corpus, monkeypatch, kept):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "MOST_PARTS", kept)
+    monkeypatch.setattr(packing, "SLICE", 7)
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
     rows = [(r.doc_id, r.text) for r in corpus.limit(60).collect()]
-    rows += [(1000, "it's <|endoftext|>x y ́a\n\tÉÀ Σς"), *[(2000 + i, t) for i, (_, t) in enumerate(ODD)]]
+    rows += [(999, " a \x1c b\x0bC\x0cd,\r\n\te.. ÀÉ!? x,y 1.5\u00a0z "), (1000, "it's <|endoftext|>x y ́a\n\tÉÀ Σς"), *[(2000 + i, t) for i, (_, t) in enumerate(ODD)]]
     pieces = defaultdict(list)
     got = packing.pack(docs(spark, rows), "doc_id", "text", path).collect()
     for r in got:
