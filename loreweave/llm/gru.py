@@ -78,15 +78,25 @@ def unflat(values: np.ndarray, like: Params) -> Params:
     return out
 
 
+def _by_step(values: np.ndarray) -> np.ndarray:
+    """``[unit, step, lane]`` as ``[step, unit, lane]``, so that a step is one block of memory."""
+    return np.ascontiguousarray(values.transpose(1, 0, 2))
+
+
+def _by_unit(values: np.ndarray) -> np.ndarray:
+    """``[step, unit, lane]`` as ``[unit, token]``."""
+    return np.ascontiguousarray(values.transpose(1, 0, 2)).reshape(values.shape[1], -1)
+
+
 def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, keep: list | None = None):
-    """States after each of ``tokens[step, lane]``, as rows, and the last one as ``[unit, lane]``.
+    """States after each of ``tokens[step, lane]``, as ``[unit, token]``, and the last one as ``[unit, lane]``.
 
-    A start mark empties the state before it. Units come before lanes, so the
-    gates are whole blocks of memory.
+    A start mark empties the state before it. Tokens come last everywhere, so
+    sums over units or classes run over rows of memory.
     """
     steps, lanes = tokens.shape
     size = len(h)
-    gates = np.ascontiguousarray((p["inputs"][tokens] + p["bias"]).transpose(0, 2, 1))
+    gates = _by_step(np.take((p["inputs"] + p["bias"]).T, tokens, axis=1))
     inner = np.ascontiguousarray(p["inner"].T)
     alive = (tokens != start).astype(np.float32)
     out = np.empty((steps, size, lanes), np.float32)
@@ -109,24 +119,24 @@ def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, keep: list
         h *= z
         h += n
         out[t] = h
-    return out.transpose(0, 2, 1).reshape(-1, size), h
+    return _by_unit(out), h
 
 
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log probability of one entry of each row."""
-    own = logits[np.arange(len(at)), at]
-    top = logits.max(axis=1)
-    logits -= top[:, None]
+    """Log probability of one entry of each column."""
+    own = logits[at, np.arange(len(at))]
+    top = logits.max(axis=0)
+    logits -= top
     np.exp(logits, out=logits)
-    return own - top - np.log(logits.sum(axis=1))
+    return own - top - np.log(logits.sum(axis=0))
 
 
 def _slope(logits: np.ndarray, at: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Gradient of the negative log probability of one entry of each row, times ``scale``."""
-    logits -= logits.max(axis=1, keepdims=True)
+    """Gradient of the negative log probability of one entry of each column, times ``scale``."""
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits *= scale / logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(at)), at] -= scale[:, 0]
+    logits *= scale / logits.sum(axis=0)
+    logits[at, np.arange(len(at))] -= scale
     return logits
 
 
@@ -134,21 +144,25 @@ def _class_of(ids: np.ndarray, shape: Shape) -> np.ndarray:
     return np.where(ids < shape.head, ids // PER_CLASS, ids - shape.head + shape.blocks)
 
 
-def _blocks(classes: np.ndarray, shape: Shape):
-    """Rows of each block of frequent words."""
-    order = np.argsort(classes, kind="stable")
+def _blocks(classes: np.ndarray, shape: Shape) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Tokens of frequent words in the order of their blocks, and each block's part of it."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
     ends = np.searchsorted(classes[order], np.arange(shape.blocks + 1))
-    for k in range(shape.blocks):
-        if ends[k] < ends[k + 1]:
-            yield k, order[ends[k] : ends[k + 1]]
+    parts = [(k, slice(ends[k], ends[k + 1])) for k in range(shape.blocks) if ends[k] < ends[k + 1]]
+    return order[: ends[-1]], parts
 
 
 def log_probabilities(p: Params, shape: Shape, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Natural log probability of each id; of a tail word, that of its class."""
+    """Natural log probability of each id; of a tail word, that of its class. ``states`` is ``[unit, token]``."""
     classes = _class_of(ids, shape)
-    out = _chosen(states @ p["classes"] + p["class_bias"], classes)
-    for k, rows in _blocks(classes, shape):
-        out[rows] += _chosen(states[rows] @ p["words"][k] + p["word_bias"][k], ids[rows] - k * PER_CLASS)
+    out = _chosen(p["classes"].T @ states + p["class_bias"][:, None], classes)
+    order, parts = _blocks(classes, shape)
+    some, inside = states[:, order], ids[order]
+    found = np.empty(len(order), np.float32)
+    for k, part in parts:
+        logits = p["words"][k].T @ some[:, part] + p["word_bias"][k][:, None]
+        found[part] = _chosen(logits, inside[part] - k * PER_CLASS)
+    out[order] += found
     return out
 
 
@@ -177,34 +191,37 @@ class Trainer:
     def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> np.ndarray:
         p, shape, size = self.p, self.shape, self.shape.hidden
         keep: list = []
-        flat_states, last = _states(p, inputs, h, shape.start, keep)
+        states, last = _states(p, inputs, h, shape.start, keep)
         ids = targets.ravel()
         real = ids != shape.start
         count = max(1, int(real.sum()))
         ids = np.where(real, ids, 0)
         classes = _class_of(ids, shape)
-        scale = (real / np.float32(count)).astype(np.float32)[:, None]
-        d = _slope(flat_states @ p["classes"] + p["class_bias"], classes, scale)
-        grads = {"classes": flat_states.T @ d, "class_bias": d.sum(axis=0)}
-        d_states = d @ p["classes"].T
+        scale = (real / np.float32(count)).astype(np.float32)
+        d = _slope(p["classes"].T @ states + p["class_bias"][:, None], classes, scale)
+        grads = {"classes": states @ d.T, "class_bias": d.sum(axis=1)}
+        d_states = p["classes"] @ d
         d_words, d_word_bias = np.zeros_like(p["words"]), np.zeros_like(p["word_bias"])
-        for k, rows in _blocks(classes, shape):
-            s = flat_states[rows]
-            d = _slope(s @ p["words"][k] + p["word_bias"][k], ids[rows] - k * PER_CLASS, scale[rows])
-            d_words[k], d_word_bias[k] = s.T @ d, d.sum(axis=0)
-            d_states[rows] += d @ p["words"][k].T
+        order, parts = _blocks(classes, shape)
+        some, inside, weight = states[:, order], ids[order], scale[order]
+        d_some = np.empty_like(some)
+        for k, part in parts:
+            s = some[:, part]
+            d = _slope(p["words"][k].T @ s + p["word_bias"][k][:, None], inside[part] - k * PER_CLASS, weight[part])
+            d_words[k], d_word_bias[k] = s @ d.T, d.sum(axis=1)
+            d_some[:, part] = p["words"][k] @ d
+        d_states[:, order] += d_some
         grads |= {"words": d_words, "word_bias": d_word_bias}
         steps, lanes = inputs.shape
-        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, size).transpose(0, 2, 1))
+        d_states = _by_step(d_states.reshape(size, steps, lanes))
         alive = (inputs != shape.start).astype(np.float32)
         d_gates = np.empty((steps, 3 * size, lanes), np.float32)
-        d_inner = np.zeros_like(p["inner"])
+        d_inner, before_all = np.empty_like(d_gates), np.empty_like(d_states)
         carry = np.zeros_like(last)
         for t in range(steps - 1, -1, -1):
             before, r, z, n, g = keep[t]
             carry += d_states[t]
-            here = d_gates[t]
-            dr, dz, dn = here[:size], here[size : 2 * size], here[2 * size :]
+            dr, dz, dn = d_gates[t, :size], d_gates[t, size : 2 * size], d_gates[t, 2 * size :]
             np.multiply(carry, z, out=dz)
             np.subtract(carry, dz, out=dn)
             dn *= 1 - n * n
@@ -214,21 +231,22 @@ class Trainer:
             np.multiply(dn, g, out=dr)
             dr *= r
             dr *= 1 - r
-            inner = here.copy()
-            inner[2 * size :] *= r
-            d_inner += before @ inner.T
-            carry = p["inner"] @ inner
+            here = d_inner[t]
+            here[...] = d_gates[t]
+            here[2 * size :] *= r
+            before_all[t] = before
+            carry = p["inner"] @ here
             carry += kept
             carry *= alive[t]
-        d_gates = d_gates.transpose(0, 2, 1).reshape(-1, 3 * size)
-        grads |= {"inner": d_inner, "bias": d_gates.sum(axis=0)}
+        d_inner, before_all, d_gates = _by_unit(d_inner), _by_unit(before_all), _by_unit(d_gates)
+        grads |= {"inner": before_all @ d_inner.T, "bias": d_gates.sum(axis=1)}
         for k, g in grads.items():
             self.step(k, slice(None), np.clip(g, -1, 1))
-        order = np.argsort(inputs, axis=None, kind="stable")
+        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
         used = inputs.ravel()[order]
         first = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
-        summed = np.add.reduceat(d_gates[order], first, axis=0)
-        self.step("inputs", used[first], summed)
+        summed = np.add.reduceat(d_gates[:, order], first, axis=1)
+        self.step("inputs", used[first], summed.T)
         return last
 
     def step(self, k: str, at, g: np.ndarray) -> None:

@@ -4,9 +4,12 @@ Words are counted over all training documents. The most frequent words get their
 own outputs in the recurrent model of ``gru``; all others share tail classes,
 inside which their counts decide, so every word has a probability and unseen
 words have one count. Training starts from the unigram model: a first model is
-trained in one task on ``WARM_TOKENS`` tokens, then every task goes on with its
-own share of the training documents, and the weights are averaged by tokens.
-That pass covers all training documents; weights have a fixed size.
+trained in one task on ``WARM_TOKENS`` tokens, then one model goes on from it over
+each share of the training documents, and the weights are averaged by tokens.
+That pass covers all training documents; weights have a fixed size. A hash of id
+and text deals documents into shares of about ``SHARE`` tokens and orders them, so
+the result does not depend on how the table is partitioned. Rows that occur more
+than ``EQUAL`` times are spread over all shares; the first model sees each row once.
 
 Scoring is one pass over all documents. Counts of frequent words travel with the
 model (``DICTIONARY`` words at most); rarer words leave the pass as counts per
@@ -20,6 +23,7 @@ runs from the first token to the end. Columns are taken by the given names only.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -34,8 +39,9 @@ from pyspark.sql.types import (
 )
 
 from loreweave.llm import gru
-from loreweave.llm.batches import slices
+from loreweave.llm.batches import runs
 from loreweave.llm.text import held_out
+from loreweave.operators.ranking import keep_first
 from loreweave.sources.staging import stage
 
 #: Tokens of the first model, words whose counts travel with the model, and
@@ -46,14 +52,29 @@ COUNTED = 500_000
 #: Characters scored together: the longest document sets the number of steps, so
 #: more documents beside it cost little.
 SCORED = 8_000_000
+#: Tokens per share of the training documents, bytes trained on at a time, and equal
+#: rows that stay in one share.
+SHARE, STREAM, EQUAL = 1_500_000, 4_000_000, 10_000
 #: Pieces that weights are averaged in.
 SLOTS = 64
 END = b"\n"
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words, with A-Z lower-cased, and the end, which no word can equal."""
-    return [*(text.encode().lower().split() if text else ()), END]
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different words, with A-Z lower-cased, the texts' tokens as places among them, and where each text ends.
+
+    The last word is the end, which no word can equal; each text has it once.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = split.flatten().dictionary_encode()
+    names, place = coded.dictionary, coded.indices.to_numpy()
+    owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    real = np.append(pc.binary_length(names).to_numpy() > 0, True)[place]  # white space at an end leaves an empty word
+    place, sizes = place[real], np.bincount(owner[real], minlength=len(texts))
+    ends = np.cumsum(sizes + 1)
+    tokens = np.full(ends[-1] if len(ends) else 0, len(names), np.int64)
+    tokens[np.arange(len(place)) + np.repeat(np.arange(len(texts)), sizes)] = place
+    return pa.concat_arrays([names.cast(pa.binary()), pa.array([END], pa.binary())]), tokens, ends
 
 
 def tail_class(word: bytes) -> int:
@@ -75,9 +96,10 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
         for batch in batches:
-            for texts in slices(batch.column(0)):
-                for text in texts:
-                    found.update(tokens_of(text))
+            for texts in runs(batch.column(0)):
+                words, tokens, _ = tokens_of(texts)
+                counts = np.bincount(tokens, minlength=len(words)).tolist()
+                found.update({w: n for w, n in zip(words.to_pylist(), counts, strict=True) if n})
                 if len(found) > COUNTED:
                     yield rows(found)
                     found = Counter()
@@ -102,9 +124,14 @@ class Vocabulary:
     head_counts: np.ndarray
 
 
-class _Places(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
+def _known(v: Vocabulary, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The place in the dictionary, -1 for none, and the token id of each word."""
+    names = words.to_pylist()
+    place = np.array(list(map(v.ids.get, names, itertools.repeat(-1))), np.int64)
+    ids = v.token[place]
+    away = np.flatnonzero(place < 0)
+    ids[away] = [v.shape.head + tail_class(names[i]) for i in away]
+    return place, ids
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -142,39 +169,64 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     )
 
 
-def _train(docs: DataFrame, text_col: str, vocab, model, most: int | None = None) -> DataFrame:
-    """``slot, weight, values``: the weights that each task ends with, times its tokens."""
+def _train(docs: DataFrame, vocab, model, most: int | None = None) -> DataFrame:
+    """``share, slot, weight, values``: the weights that each share ends with, times its tokens.
+
+    ``docs`` has ``share, text`` with a share's rows behind each other.
+    """
+
+    def result(trainer: gru.Trainer, seen: int, share: int) -> pa.RecordBatch:
+        values = np.array_split(gru.flat(trainer.p) * np.float32(seen), SLOTS)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([share] * SLOTS, pa.int64()), pa.array(range(SLOTS), pa.int32()), pa.array([float(seen)] * SLOTS),
+             pa.array([x.astype("<f4").tobytes() for x in values], pa.binary())],
+            ["share", "slot", "weight", "values"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = vocab.value, model.value
-        trainer, seen = gru.Trainer(start, v.shape), 0
-        mark = np.array([v.shape.start], np.int32)
         shape = (32, 16) if most else (gru.LANES, gru.WINDOW)
-        places = _Places(v.ids)
-        for batch in batches:
-            for texts in slices(batch.column(0)):
-                if most and seen >= most:
-                    continue
-                parts = []
-                for text in texts:
-                    words = tokens_of(text)
-                    place = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
-                    ids = v.token[place]
-                    away = np.flatnonzero(place < 0)
-                    ids[away] = [v.shape.head + tail_class(words[i]) for i in away]
-                    parts += [mark, ids]
-                stream = np.concatenate(parts)
+        trainer, seen, share, held, size = None, 0, None, [], 0
+
+        def learn() -> None:
+            nonlocal seen, held, size
+            if held and not (most and seen >= most):
+                words, tokens, ends = tokens_of(pa.concat_arrays(held))
+                ids = _known(v, words)[1][tokens]
+                stream = np.full(len(ids) + len(ends), v.shape.start, np.int32)
+                stream[np.arange(len(ids)) + np.repeat(np.arange(1, len(ends) + 1), np.diff(ends, prepend=0))] = ids
                 seen += len(stream)
                 trainer.stream(stream, *shape)
-        if seen:
-            values = np.array_split(gru.flat(trainer.p) * np.float32(seen), SLOTS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLOTS), pa.int32()), pa.array([float(seen)] * SLOTS),
-                 pa.array([x.astype("<f4").tobytes() for x in values], pa.binary())],
-                ["slot", "weight", "values"],
-            )
+            held, size = [], 0
 
-    return docs.select(text_col).mapInArrow(run, "slot int, weight double, values binary")
+        for batch in batches:
+            shares = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shares)) + 1).tolist(), len(shares)]
+            for a, b in itertools.pairwise(cuts):
+                if a == b:
+                    continue
+                if shares[a] != share:
+                    if trainer:
+                        learn()
+                        yield result(trainer, seen, share)
+                    trainer, seen, share = gru.Trainer(start, v.shape), 0, int(shares[a])
+                # Texts are streamed in runs of a fixed size, however they arrive.
+                texts = batch.column(1).slice(a, b - a)
+                upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64) + 1)
+                at = 0
+                while at < len(texts):
+                    before = upto[at - 1] if at else 0
+                    end = min(int(np.searchsorted(upto, before + STREAM - size)) + 1, len(texts))
+                    held.append(texts.slice(at, end - at))
+                    size += int(upto[end - 1] - before)
+                    at = end
+                    if size >= STREAM:
+                        learn()
+        if trainer:
+            learn()
+            yield result(trainer, seen, share)
+
+    return docs.select("share", "text").mapInArrow(run, "share long, slot int, weight double, values binary")
 
 
 def _averaged(parts: DataFrame, like: gru.Params) -> gru.Params:
@@ -196,20 +248,40 @@ def _averaged(parts: DataFrame, like: gru.Params) -> gru.Params:
                 ["slot", "weight", "values"],
             )
 
-    rows = sorted(parts.repartition("slot").mapInArrow(run, out).collect(), key=lambda r: r["slot"])
+    dealt = parts.repartition("slot").sortWithinPartitions("slot", "share").select("slot", "weight", "values")
+    rows = sorted(dealt.mapInArrow(run, out).collect(), key=lambda r: r["slot"])
     if not rows:
         return like
     return gru.unflat(np.concatenate([np.frombuffer(r["values"], "<f8") / r["weight"] for r in rows]), like)
 
 
-def train(docs: DataFrame, text_col: str, vocab, tokens: int) -> gru.Params:
-    """The model of all ``docs``; ``vocab`` is a broadcast vocabulary."""
+def _shares(docs: DataFrame, tokens: int) -> DataFrame:
+    """``share, text`` of ``hash, text``, each share in the order of the hash."""
+    shares = -(-max(1, tokens) // SHARE)
+    equal = docs.groupBy(F.col("hash").alias("same")).agg(F.count("*").alias("n")).filter(F.col("n") > EQUAL)
+    equal = stage(equal, "equal")
+    dealt = docs.withColumn("share", F.pmod("hash", F.lit(shares)))
+    if not equal.isEmpty():
+        same = F.col("hash") == F.col("same")
+        one = keep_first(docs.join(equal, same).drop("same"), ["hash"], F.col("text"))
+        one = one.withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))))
+        times = F.expr(f"cast(n div {shares} + if(share < n % {shares}, 1, 0) as int)")
+        one = one.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).drop("n", "copy")
+        dealt = dealt.join(equal, same, "left_anti").unionByName(one)
+    return dealt.repartition(shares, "share").sortWithinPartitions("share", "hash")
+
+
+def train(docs: DataFrame, vocab, tokens: int) -> gru.Params:
+    """The model of all ``doc_id, text``; ``vocab`` is a broadcast vocabulary."""
     sc, v = docs.sparkSession.sparkContext, vocab.value
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("hash"), "text")
     first = gru.initial(v.shape, v.head_counts, v.tail_tokens)
-    share = min(1.0, 2 * WARM_TOKENS / max(1, tokens))
-    some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select(text_col)
-    warm = _averaged(_train(some.repartition(1), text_col, vocab, sc.broadcast(first), WARM_TOKENS), first)
-    return _averaged(_train(docs, text_col, vocab, sc.broadcast(warm)), warm)
+    part = min(1.0, 2 * WARM_TOKENS / max(1, tokens))
+    some = docs.filter(F.pmod("hash", F.lit(1_000_003)) < int(part * 1_000_003) + 1)
+    some = keep_first(some, ["hash"], F.col("text")).withColumn("share", F.lit(0).cast("bigint"))
+    some = some.repartition(1).sortWithinPartitions("hash")
+    warm = _averaged(_train(some, vocab, sc.broadcast(first), WARM_TOKENS), first)
+    return _averaged(_train(_shares(docs, tokens), vocab, sc.broadcast(warm)), warm)
 
 
 def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -221,7 +293,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     counts = stage(count_words(training, "text"), "words")
     v = vocabulary(counts)
     vocab = sc.broadcast(v)
-    model = sc.broadcast(train(training, "text", vocab, v.tokens))
+    model = sc.broadcast(train(training, vocab, v.tokens))
     passed = _score(docs.select("doc_id", "text", out.alias("held_out")), vocab, model)
     passed = stage(passed.withColumn("row", F.monotonically_increasing_id()), "scores")
     rare = passed.select("row", F.inline("rare")).join(counts.select("word", F.col("n").alias("c")), "word")
@@ -249,42 +321,33 @@ def _score(docs: DataFrame, vocab, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, p = vocab.value, model.value
-        places = _Places(v.ids)
         # By token id: the share of one count in a tail class; frequent words need none.
         one = np.zeros(v.shape.start + 1)
         one[v.shape.head : v.shape.start] = -np.log10(v.tail_tokens + v.tail_types + 1)
-        seen = v.log_count > 0
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1), SCORED):
-                docs_ids, size, known, sums, inside = [], [], [], [], []
-                rare, often, ends = [], [], [0]
-                for text in texts:
-                    words = tokens_of(text)
-                    place = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
-                    ids = v.token[place]
-                    away = np.flatnonzero(place < 0)
-                    if len(away):
-                        missing = [words[i] for i in away]
-                        ids[away] = [v.shape.head + tail_class(w) for w in missing]
-                        found = Counter(missing)
-                        rare.extend(found)
-                        often.extend(found.values())
-                    ends.append(len(rare))
-                    logs = v.log_count[place]
-                    docs_ids.append(ids)
-                    size.append(len(words))
-                    known.append(int(seen[place].sum()))
-                    sums.append(float(logs.sum()))
-                    inside.append(float(one[ids].sum() + logs[ids >= v.shape.head].sum()))
-                words = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(often, pa.int64())], ["word", "n"])
-                found = gru.score_documents(p, v.shape, docs_ids) / np.log(10) + np.array(inside)
+            for texts in runs(batch.column(1), SCORED):
+                words, tokens, ends = tokens_of(texts)
+                place, ids = _known(v, words)
+                logs = v.log_count[place]
+                inside = one[ids] + np.where(ids >= v.shape.head, logs, 0)
+                starts = np.concatenate([[0], ends[:-1]])
+                # Words outside the dictionary, by text.
+                away = np.flatnonzero(place[tokens] < 0)
+                owner = np.searchsorted(ends, away, "right")
+                keys, often = np.unique(owner * len(words) + tokens[away], return_counts=True)
+                rare = words.take(pa.array(keys % len(words)))
+                listed = np.searchsorted(keys, np.arange(len(ends) + 1) * len(words)).astype(np.int32)
+                rare = pa.StructArray.from_arrays([rare, pa.array(often, pa.int64())], ["word", "n"])
+                found = gru.score_documents(p, v.shape, np.split(ids[tokens], ends[:-1])) / np.log(10)
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(sums, pa.float64()), pa.array(found, pa.float64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)],
+                    [part.column(0), part.column(2), pa.array(np.diff(ends, prepend=0)),
+                     pa.array(np.add.reduceat((logs > 0)[tokens], starts, dtype=np.int64)),
+                     pa.array(np.add.reduceat(logs[tokens], starts)),
+                     pa.array(found + np.add.reduceat(inside[tokens], starts)),
+                     pa.ListArray.from_arrays(pa.array(listed), rare)],
                     ["doc_id", "held_out", "n_tokens", "known", "counts", "model", "rare"],
                 )
 

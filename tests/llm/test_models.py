@@ -29,7 +29,7 @@ def corpus(spark):
 
 def test_lm_base_and_gain(spark, corpus):
     got = {r.doc_id: r for r in lm.score(corpus, "doc_id", "text").collect()}
-    texts = {r.doc_id: lm.tokens_of(r.text) for r in corpus.collect()}
+    texts = {r.doc_id: [*(r.text or "").encode().lower().split(), lm.END] for r in corpus.collect()}
     out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
     counts = Counter(w for i, ws in texts.items() if not out[i] for w in ws)
     total = sum(counts.values())
@@ -43,6 +43,32 @@ def test_lm_base_and_gain(spark, corpus):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_tokens():
+    import pyarrow as pa
+
+    texts = [None, "", " a  B\tc\x0bÉ\x1cé\n", "a", " ", "x" * 9]
+    words, tokens, ends = lm.tokens_of(pa.array(["skipped", *texts]).slice(1))
+    got = [[words[int(t)].as_py() for t in part] for part in np.split(tokens, ends[:-1])]
+    assert got == [[*(t or "").encode().lower().split(), lm.END] for t in texts]
+
+
+def test_lm_is_the_same_for_every_partitioning(spark, monkeypatch):
+    """Equal scores from one and from many partitions, in shares, with rare words and hot rows in play."""
+    for name, size in (("SHARE", 4_000), ("EQUAL", 30), ("STREAM", 20_000), ("DICTIONARY", 300), ("COUNTED", 500), ("SCORED", 30_000)):
+        monkeypatch.setattr(lm, name, size)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect()]
+    rows += [(None, None)] * 60 + [(5000, "one and the same row")] * 10
+    table = docs(spark, rows)
+    found = []
+    for parts in (1, 5):
+        got = lm.score(table.repartition(parts), "doc_id", "text").collect()
+        found.append(sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 3)) for r in got))
+    assert found[0] == found[1]
+    counts = Counter(w for i, t in rows for w in [*(t or "").encode().lower().split(), lm.END] if zlib.crc32(str(i).encode()) % 7 != 2 or i is None)
+    assert all(k == sum(counts[w] > 0 for w in [*(t or "").encode().lower().split(), lm.END])
+               for (i, _, k, _, _), (_, t) in zip(found[0], sorted(rows, key=lambda r: (r[0] or -1)), strict=True) if i > 0 and i < 5000)
+
+
 def test_lm_odd_rows(spark):
     got = lm.score(docs(spark, ODD), "doc_id", "text").collect()
     assert len(got) == 7 and all(np.isfinite(r.score) for r in got)
@@ -57,10 +83,46 @@ def test_gru_probabilities_sum_to_one():
     p = gru.initial(shape, np.ones(70), np.ones(gru.TAILS))
     states = np.random.default_rng(0).standard_normal((1, shape.hidden)).astype(np.float32)
     all_ids = np.arange(shape.start)
-    total = np.exp(gru.log_probabilities(p, shape, np.repeat(states, len(all_ids), 0), all_ids)).sum()
+    total = np.exp(gru.log_probabilities(p, shape, np.repeat(states.T, len(all_ids), 1), all_ids)).sum()
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_gru_gradient_by_finite_differences():
+    rng = np.random.default_rng(3)
+    shape = gru.Shape(40)
+    p = {k: v + 0.2 * rng.standard_normal(v.shape) for k, v in gru.initial(shape, np.ones(40), np.ones(gru.TAILS)).items()}
+    p["word_bias"][-1, 40 % gru.PER_CLASS :] = -1e9
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    inputs, targets = rng.integers(0, 72, (6, 5)), rng.integers(0, 72, (6, 5))
+    inputs[2, 3] = targets[1, 3] = shape.start
+    h = rng.standard_normal((shape.hidden, 5)).astype(np.float32) * 0.3
+    found = {}
+
+    class Stepless(gru.Trainer):
+        def step(self, k, at, g):
+            full = np.zeros(p[k].shape)
+            full[at] = g
+            found[k] = full
+
+    Stepless(p, shape).window(inputs, targets, h)
+
+    def loss(q):
+        states, _ = gru._states(q, inputs, h, shape.start)
+        ids = targets.ravel()
+        real = ids != shape.start
+        return -gru.log_probabilities(q, shape, states[:, real], ids[real]).astype(float).sum() / real.sum()
+
+    for k in p:
+        for _ in range(6):
+            at = tuple(int(rng.integers(0, n)) for n in p[k].shape)
+            if k == "word_bias" and p[k][at] < -1e8:
+                continue
+            up, down = ({**p, k: p[k].copy()} for _ in range(2))
+            up[k][at] += 1e-2
+            down[k][at] -= 1e-2
+            assert found[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-2, abs=2e-4), (k, at)
+
+
 def test_gru_gradient():
     """The loss falls along the step that a window takes."""
     rng = np.random.default_rng(1)
