@@ -53,7 +53,7 @@ def run(spark, rows):
 
 @pytest.fixture
 def small(monkeypatch):
-    for name, size in (("MEMBERS", 4), ("QUERIES", 3), ("COLUMNS", 7)):
+    for name, size in (("MEMBERS", 4), ("QUERIES", 3), ("COLUMNS", 7), ("BLOCK", 300), ("SHARD", 500), ("SENT", 0)):
         monkeypatch.setattr(jaccard, name, size)
 
 
