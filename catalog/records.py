@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table, texts
@@ -10,6 +10,7 @@ from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
 from loreweave.plans.jobs import run_sync, sync_cards
+from loreweave.sources.inputs import compare_words, sidecar_words
 from loreweave.sources.inputs import file_digests as digests_of
 from loreweave.sources.staging import scratch, stage
 from loreweave.sources.warehouse import Warehouse, violations
@@ -309,42 +310,104 @@ def sync_lines(spark: SparkSession, sf: str) -> DataFrame:
     return store.cards().select("scryfall_oracle_id", "face_index", "name", "oracle_text", "layout", "source_version")
 
 
+#: Part keys per written file, whatever the number of parts of a brand.
+_BLOCK = 500
+_BLOCKS = f"p_brand, p_partkey // {_BLOCK}"
+
+
+def _blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts with the file that they go to: blocks of keys of a brand, so that no file grows with the table."""
+    return table(spark, sf, "part").withColumn("block", F.expr(f"p_partkey div {_BLOCK}"))
+
+
 def _brand_dumps(spark: SparkSession, sf: str) -> str:
-    """One dump per brand of parts, each a JSON document in a file of its own."""
-    entry = F.struct(
-        F.col("p_partkey").cast("string").alias("key"),
-        F.array(_face(F.col("p_partkey").cast("string"), F.col("p_name"), F.lower("p_type"))).alias("value"),
+    """Dumps of a brand's parts, each a JSON document over lines of its own in a file."""
+    rows = _blocks(spark, sf)
+    face = _face(F.col("p_partkey").cast("string"), F.col("p_name"), F.lower("p_type"))
+    entry = F.to_json(F.create_map(F.col("p_partkey").cast("string"), F.array(face)))
+    inner = F.substring(entry, F.lit(2), F.length(entry) - 2)
+    in_file = Window.partitionBy("p_brand", "block").orderBy("p_partkey")
+    head = F.concat(
+        F.lit('{"meta": {"date": "2024-01-01", "version": '), F.to_json(F.array("p_brand")).substr(F.lit(2), F.length(F.to_json(F.array("p_brand"))) - 2),
+        F.lit('}, "data": {\n'),
     )
-    dumps = table(spark, sf, "part").groupBy("p_brand").agg(F.map_from_entries(F.collect_list(entry)).alias("data"))
-    meta = F.struct(F.lit("2024-01-01").alias("date"), F.col("p_brand").alias("version"))
+    first, last = F.row_number().over(in_file) == 1, F.lead("p_partkey").over(in_file).isNull()
+    line = F.concat(F.when(first, head).otherwise(""), inner, F.when(last, "}}").otherwise(","))
+    lines = rows.select("p_brand", "block", "p_partkey", line.alias("value"))
     path = scratch(spark, "dumps")
-    dumps.select("p_brand", F.to_json(F.struct(meta.alias("meta"), "data"))).write.mode("overwrite").partitionBy("p_brand").text(path)
-    return path
+    lines.repartition("p_brand", "block").sortWithinPartitions("p_brand", "block", "p_partkey").drop("p_partkey").write.mode(
+        "overwrite").partitionBy("p_brand", "block").text(path)
+    return f"{path}/*/*/*.txt"
 
 
-@catalog.add("""
+_DUMPED = """
 SELECT CAST(p_partkey AS VARCHAR) AS scryfall_oracle_id, 0 AS face_index, CAST(p_partkey AS VARCHAR) AS name,
-       p_name AS oracle_text, lower(p_type) AS layout, p_brand AS source_version FROM part""")
+       p_name AS oracle_text, lower(p_type) AS layout, p_brand AS source_version FROM part"""
+
+
+@catalog.add(_DUMPED)
 def sync_dumps(spark: SparkSession, sf: str) -> DataFrame:
     """Several dumps of different versions through the whole sync job: every row keeps the version of its own."""
     store = Warehouse(spark, scratch(spark, "warehouse"))
     store.init()
-    run_sync(store, f"{_brand_dumps(spark, sf)}/*/*.txt")
+    run_sync(store, _brand_dumps(spark, sf))
     return store.cards().select("scryfall_oracle_id", "face_index", "name", "oracle_text", "layout", "source_version")
 
 
-@catalog.add("""
-SELECT p_brand AS brand, sha256(string_agg(p_name, chr(10) ORDER BY p_partkey) || chr(10)) AS sha256
-FROM part GROUP BY p_brand""")
-def file_digests(spark: SparkSession, sf: str) -> DataFrame:
-    """A file of part names per brand, hashed as files."""
-    names = F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "p_name"))), lambda r: r["p_name"])
-    texts = table(spark, sf, "part").groupBy("p_brand").agg(F.array_join(names, "\n").alias("value"))
+@catalog.add(_DUMPED)
+def sync_split_dumps(spark: SparkSession, sf: str) -> DataFrame:
+    """The same dumps, each cut into ranges of a kilobyte that are parsed in parallel."""
+    store = Warehouse(spark, scratch(spark, "warehouse"))
+    store.init()
+    run_sync(store, _brand_dumps(spark, sf), split=1024)
+    return store.cards().select("scryfall_oracle_id", "face_index", "name", "oracle_text", "layout", "source_version")
+
+
+def _name_files(spark: SparkSession, sf: str) -> str:
+    """Files of part names, a line each, per brand and block."""
     path = scratch(spark, "files")
-    texts.write.mode("overwrite").partitionBy("p_brand").text(path)
-    found = digests_of(spark, f"{path}/*/*.txt")
-    brand = F.url_decode(F.regexp_extract("file", "p_brand=([^/]+)/", 1))
-    return found.select(brand.alias("brand"), "sha256")
+    _blocks(spark, sf).select("p_brand", "block", "p_partkey", F.col("p_name").alias("value")).repartition(
+        "p_brand", "block").sortWithinPartitions("p_brand", "block", "p_partkey").drop("p_partkey").write.mode(
+        "overwrite").partitionBy("p_brand", "block").text(path)
+    return path
+
+
+def _file_name(column: str) -> list[Column]:
+    brand, block = (F.regexp_extract(column, f"{c}=([^/]+)/", 1) for c in ("p_brand", "block"))
+    return [F.url_decode(brand).alias("brand"), block.cast("bigint").alias("block")]
+
+
+_NAMES = f"""
+SELECT p_brand AS brand, p_partkey // {_BLOCK} AS block, sha256(string_agg(p_name, chr(10) ORDER BY p_partkey) || chr(10)) AS sha256
+FROM part GROUP BY {_BLOCKS}"""
+
+
+@catalog.add(_NAMES)
+def file_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of part names per brand and block of keys, hashed as files."""
+    found = digests_of(spark, f"{_name_files(spark, sf)}/*/*/*.txt")
+    return found.select(*_file_name("file"), "sha256")
+
+
+@catalog.add(f"""
+WITH f AS ({_NAMES})
+SELECT brand, block, sha256, CASE WHEN block % 4 = 3 THEN NULL WHEN block % 4 = 1 THEN sha256('') ELSE sha256 END AS expected,
+       block % 4 IN (0, 2) AS matches FROM f""")
+def sidecar_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests compared with sidecars: of four blocks one has a wrong sidecar and one has none."""
+    path = _name_files(spark, sf)
+    digest = F.when(F.col("block") % 4 == 1, F.sha2(F.lit(""), 256)).otherwise(F.col("sha256"))
+    # A sidecar per file, named after it; small files, each written from one row.
+    found = stage(digests_of(spark, f"{path}/*/*/*.txt").withColumns(dict(zip(["brand", "block"], _file_name("file"), strict=True))), "digests")
+    sides = f"{path}-sidecars"
+    named = found.filter("block % 4 <> 3").select("brand", "block", F.concat(digest, F.lit("  names.txt")).alias("value"))
+    named.repartition("brand", "block").write.mode("overwrite").partitionBy("brand", "block").text(sides)
+    expected = sidecar_words(spark, f"{sides}/*/*/*.txt").select(
+        F.url_decode(F.regexp_extract("sidecar", "brand=([^/]+)/", 1)).alias("brand"),
+        F.regexp_extract("sidecar", "block=([^/]+)/", 1).cast("bigint").alias("block"), "expected",
+    )
+    compared = compare_words(found, expected, ["brand", "block"])
+    return compared.select("brand", "block", "sha256", "expected", "matches")
 
 
 @catalog.add(_SNAPSHOTS + f" SELECT * EXCLUDE (edhrec_saltiness) FROM ({_MERGE.format(stale='')})")

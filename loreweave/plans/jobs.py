@@ -14,7 +14,7 @@ from loreweave.operators import sync as S
 from loreweave.operators.chunks import SOURCES, ChunkSource, last_chunk
 from loreweave.operators.embedding import Backend, pending, with_hash
 from loreweave.operators.normalize import normalize
-from loreweave.sources.inputs import check_digests, read_books, read_dump, read_entry_lines
+from loreweave.sources.inputs import check_digests, read_books, read_dump, read_entry_lines, read_split_dump
 from loreweave.sources.staging import stage
 from loreweave.sources.warehouse import Delta, Warehouse, check, run_time
 
@@ -69,10 +69,11 @@ def sync_cards(
 
 def run_sync(
     store: Warehouse, dump: str | None = None, sidecar: str | None = None, *, lines: str | None = None,
-    delete_stale: bool = True, partitions: int | None = None,
+    delete_stale: bool = True, partitions: int | None = None, split: int | None = None,
 ) -> dict[str, int]:
     """Verify, read, normalise and sync dumps, or entries as JSON lines, which Spark can split.
 
+    ``split`` cuts uncompressed dumps into ranges of so many bytes, parsed in parallel.
     Every row carries the version of its own input; the log names all versions
     and one digest over the verified files, which for one file is its own.
     """
@@ -82,7 +83,10 @@ def run_sync(
     if sidecar is not None:
         digests = sorted(r.sha256 for r in check_digests(store.spark, dump or lines, sidecar).select("sha256").collect())
         sha = digests[0] if len(digests) == 1 else hashlib.sha256("".join(digests).encode()).hexdigest()
-    if lines is None:
+    if lines is None and split is not None:
+        _, entries = read_split_dump(store.spark, dump, size=split)
+        entries = stage(entries, "entries")
+    elif lines is None:
         _, entries = read_dump(store.spark, dump, partitions=partitions)
     else:
         entries = read_entry_lines(store.spark, lines)
