@@ -14,9 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents, dealt out for work that is heavy per text."""
+    """The documents; a table that is read by fewer tasks than there are cores is dealt out, larger ones stay."""
+    docs = table(spark, sf_dir, "documents").select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return table(spark, sf_dir, "documents").select(*columns).repartition(cores)
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 class Catalog:

@@ -208,8 +208,8 @@ def tags(spark: SparkSession, sf: str) -> DataFrame:
 
 @catalog.add(_TAGS + " SELECT doc_id, key FROM tags")
 def tags_by_grams(spark: SparkSession, sf: str) -> DataFrame:
-    """The same through a bitmap that is nearly full, so the join and the test decide."""
-    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf), buckets=64)
+    """The same with the hints in several blocks, each an automaton of its own."""
+    return tag_texts(texts(spark, sf, "doc_id", "text"), "doc_id", "text", hints(spark, sf), characters=4096)
 
 
 @catalog.add(_TAGS + " SELECT doc_id, string_agg(key, '|' ORDER BY key) AS tags FROM tags GROUP BY doc_id")

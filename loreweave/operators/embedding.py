@@ -25,32 +25,49 @@ class Backend:
         return self.apply(df, text_col, out_col)
 
 
-def token_slots(text: Column, width: int) -> Column:
-    """The slot of each token of a text: eight hex digits of its MD5, modulo ``width``."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    number = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint")
-    return F.transform(tokens, lambda t: (number(t) % width).cast("int"))
+def tokens(text: Column) -> Column:
+    """The runs of letters and digits of a text, in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+#: Slots of tokens that a worker keeps; the store starts anew beyond it.
+MOST_TOKENS = 500_000
 
 
 def slot_counts(width: int):
-    """A column function: how often each slot occurs, scaled to length one; zeros for no slot."""
+    """A column function: how often the tokens of each slot occur, scaled to length one; zeros for no token.
+
+    A token's slot is the number in the first eight hex digits of its MD5,
+    modulo ``width``; it is worked out once for each different token.
+    """
+    known: dict[bytes, int] = {}
 
     @F.arrow_udf("array<float>")
-    def counts(slots: pa.Array) -> pa.Array:
+    def counts(found: pa.Array) -> pa.Array:
+        import hashlib
+
         import numpy as np
         import pyarrow as pa
 
         parts = []
         step = max(4_000_000 // width, 1)  # rows whose counts are held at a time
-        for i in range(0, len(slots), step):
-            part = slots.slice(i, step).fill_null([])
+        for i in range(0, len(found), step):
+            part = found.slice(i, step).fill_null([])
             sizes = np.diff(part.offsets.to_numpy())
-            place = np.repeat(np.arange(len(part)), sizes) * width + part.flatten().to_numpy()
-            found = np.bincount(place, minlength=len(part) * width).reshape(len(part), width)
-            length = np.sqrt((found * found).sum(axis=1, keepdims=True))
-            parts.append((found / np.where(length > 0, length, 1)).astype("float32"))
+            coded = part.flatten().cast(pa.binary()).dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            if len(known) > MOST_TOKENS:
+                known.clear()
+            for name in names:
+                if name not in known:
+                    known[name] = int.from_bytes(hashlib.md5(name).digest()[:4]) % width
+            slot = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
+            place = np.repeat(np.arange(len(part)), sizes) * width + slot
+            total = np.bincount(place, minlength=len(part) * width).reshape(len(part), width)
+            length = np.sqrt((total * total).sum(axis=1, keepdims=True))
+            parts.append((total / np.where(length > 0, length, 1)).astype("float32"))
         flat = np.concatenate(parts).ravel() if parts else np.zeros(0, "float32")
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(slots) + 1) * width, pa.int32()), pa.array(flat))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * width, pa.int32()), pa.array(flat))
 
     return counts
 
@@ -63,7 +80,7 @@ def hashing_backend(width: int = 384) -> Backend:
     """
 
     def apply(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-        return df.withColumn(out_col, slot_counts(width)(token_slots(F.col(text_col), width)))
+        return df.withColumn(out_col, slot_counts(width)(tokens(F.col(text_col))))
 
     return Backend(f"hashing-{width}", width, apply)
 

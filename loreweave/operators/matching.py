@@ -1,50 +1,76 @@
-"""Which of many search strings occur in which texts, without testing every pair."""
+"""Which of many search strings occur in which texts, by one walk over each text.
+
+The search strings become an automaton (Aho-Corasick): a tree of their characters
+with a link from each place to the longest end that is a beginning too. A text is
+walked once, character by character, whatever the number of search strings, and
+only the numbers of those that it holds leave its row. Search strings go to the
+tasks in blocks of bounded size; texts are walked once per block.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Character runs under which texts and search strings meet, longest that fits.
-GRAMS = (8, 4, 2, 1)
-#: Places of the bitmap that a text's runs are tested against.
-BUCKETS = 1 << 18
+#: Characters of search strings in one automaton, which takes up to a hundred bytes for each.
+CHARACTERS = 1_000_000
+
+
+def _blocks(words: DataFrame, characters: int) -> Iterator[list[str]]:
+    """Search strings in blocks of bounded size, one block at a time on the driver."""
+    part, size = [], 0
+    for (word,) in words.toLocalIterator():
+        if part and size + len(word) > characters:
+            yield part
+            part, size = [], 0
+        part.append(word)
+        size += len(word)
+    if part:
+        yield part
+
+
+def _automaton(words: list[str]):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for number, word in enumerate(words):
+        found.add_word(word, number)
+    found.make_automaton()
+    return found
+
+
+def _numbers(shared):
+    """A column function: the numbers of the search strings that a text holds, each once."""
+
+    @F.arrow_udf("array<int>")
+    def numbers(texts: pa.Array) -> pa.Array:
+        import pyarrow as pa
+
+        walk = shared.value.iter
+        found = [None if t is None else list({n for _, n in walk(t)}) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.int32()))
+
+    return numbers
 
 
-def candidates(
-    texts: DataFrame, text: str, needles: DataFrame, anchor: str, *, buckets: int = BUCKETS
+def occurrences(
+    texts: DataFrame, text: str, needles: DataFrame, anchor: str, *, characters: int = CHARACTERS
 ) -> DataFrame:
-    """Rows of ``texts`` with rows of ``needles`` whose ``anchor`` may occur in ``text``.
+    """Rows of ``texts`` with the rows of ``needles`` whose ``anchor`` occurs in ``text``.
 
-    A search string is indexed under its first characters. A bitmap of fixed
-    size over these runs is applied to a text's own runs inside its row, so a
-    run that meets no search string never leaves it; a false hit of the bitmap
-    or of the join costs time, and the caller's test drops it. Search strings
-    without an anchor meet nothing.
+    Rows without a text and search strings without an anchor meet nothing.
     """
-    size = F.coalesce(*[F.when(F.length(anchor) >= n, F.lit(n)) for n in GRAMS])
-    sized = needles.filter(F.length(anchor) > 0).withColumn("_size", size)
-    sized = sized.withColumn("_gram", F.xxhash64(F.substring(F.col(anchor), F.lit(1), F.col("_size"))))
-    place = F.pmod("_gram", F.lit(buckets))
-    used = sized.select("_size", place.alias("place")).distinct().collect()  # at most four per bucket
-    bitmap = bytearray(buckets)
-    for r in used:
-        bitmap[r["place"]] = 1
-    if not used:
-        return texts.limit(0).join(sized.drop("_size", "_gram"), F.lit(False))
-    # One byte per place in a single literal; reading a byte of it takes constant time.
-    met, one = F.lit(bytes(bitmap)), F.lit(b"\x01")
-    runs = F.flatten(F.array(*[
-        F.filter(
-            _hashes(text, n),
-            lambda h: F.substring(met, F.pmod(h, F.lit(buckets)).cast("int") + 1, F.lit(1)) == one,
-        )
-        for n in sorted({r["_size"] for r in used})
-    ]))
-    each = texts.withColumn("_gram", F.explode(F.array_distinct(runs)))
-    return each.join(sized.drop("_size"), "_gram").drop("_gram")
-
-
-def _hashes(text: str, n: int) -> Column:
-    runs = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1))
-    return F.transform(runs, lambda g: F.xxhash64(g))
+    spark = texts.sparkSession
+    wanted = needles.filter(F.length(anchor) > 0)
+    out = texts.limit(0).join(wanted.limit(0), F.lit(False))
+    for words in _blocks(wanted.select(anchor).distinct(), characters):
+        numbers = _numbers(spark.sparkContext.broadcast(_automaton(words)))
+        numbered = spark.createDataFrame(list(enumerate(words)), "_number int, _word string")
+        asked = wanted.join(numbered, F.col(anchor) == F.col("_word")).drop("_word")
+        found = texts.withColumn("_numbers", numbers(F.col(text)))
+        found = found.withColumn("_number", F.explode("_numbers")).drop("_numbers").join(asked, "_number").drop("_number")
+        out = out.unionByName(found)
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from loreweave.functions.vectors import cosine_to, id_face, id_oracle
 from loreweave.operators.kernel import matcher
-from loreweave.operators.matching import candidates
+from loreweave.operators.matching import occurrences
 from loreweave.operators.ranking import top_k
 from loreweave.sources.staging import stage
 
@@ -48,7 +48,7 @@ def phrase_counts(df: DataFrame, text_col: str, phrases: DataFrame) -> DataFrame
     """Rows whose text contains each phrase, in any case: ``phrase, n``; ``phrases`` has ``phrase``.
 
     ``%`` and ``_`` in a phrase are wildcards. A phrase meets the texts that
-    may hold its longest plain part, and only these run its pattern. Phrases of
+    hold its longest plain part, and only these run its pattern. Phrases of
     wildcards alone ask for a number of characters.
     """
     plain = F.transform(
@@ -60,7 +60,8 @@ def phrase_counts(df: DataFrame, text_col: str, phrases: DataFrame) -> DataFrame
     asked = asked.withColumn("_anchor", longest).withColumn("_like", F.concat(F.lit("%"), "_low_phrase", F.lit("%")))
     texts = df.select(F.lower(text_col).alias("_low"))
     rows = texts.withColumn("_row", F.monotonically_increasing_id())
-    found = candidates(rows, "_low", asked, "_anchor").filter(F.expr("_low like _like"))
+    # A plain phrase is its own longest part.
+    found = occurrences(rows, "_low", asked, "_anchor").filter(F.expr("_anchor = _low_phrase or _low like _like"))
     counts = found.select("_row", "phrase").distinct().groupBy("phrase").agg(F.count("*").alias("n"))
 
     wild = asked.filter("_anchor = ''").select("phrase", F.length(F.replace("_low_phrase", F.lit("%"), F.lit(""))).alias("least"))

@@ -88,15 +88,15 @@ TEXTS = [(1, "Destroy ALL creatures and gain life"), (2, "nothing here"), (3, No
          (5, "a"), (6, "")] + [(100 + i, "the hot phrase destroy target again") for i in range(40)]
 
 
-@pytest.mark.parametrize("buckets", [1 << 12, 1])
+@pytest.mark.parametrize("characters", [1 << 12, 1, 30])
 @pytest.mark.parametrize("extra", [0, 30])
-def test_tags(spark, buckets, extra):
+def test_tags(spark, characters, extra):
     hints = [("one", "destroy target"), ("all", "Destroy all"), ("gain", "gain life"), ("burn", "DAMAGE É"),
              ("gain", "creatures"), ("a", "a"), ("hot", "the hot phrase destroy target again"), ("no", "absent"), ("e", "")]
     hints += [(f"x{i}", f"absent {i}") for i in range(extra)]
     texts = spark.createDataFrame(TEXTS, "id int, t string")
     table = spark.createDataFrame(hints, "key string, hint string")
-    tags = tag_texts(texts, "id", "t", table, buckets=buckets)
+    tags = tag_texts(texts, "id", "t", table, characters=characters)
     want = {(i, k) for i, t in TEXTS if t for k, h in hints if h and h.lower() in t.lower()}
     rows = [(r.id, r.key) for r in tags.collect()]
     assert set(rows) == want and len(rows) == len(want)
