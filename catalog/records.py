@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import Catalog, table, texts
+from loreweave import schema
 from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
 from loreweave.plans.jobs import run_sync, sync_cards
+from loreweave.sources.buckets import BucketTable
 from loreweave.sources.inputs import compare_words, sidecar_words
 from loreweave.sources.inputs import file_digests as digests_of
 from loreweave.sources.staging import scratch, stage
@@ -247,8 +250,6 @@ def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _as_cards(rows: DataFrame) -> DataFrame:
-    from loreweave import schema
-
     filled = {
         "name": F.col("scryfall_oracle_id"), "layout": F.lit("normal"), "mana_value": F.lit(0.0),
         "type_line": F.lit("order"), "legalities": F.create_map().cast("map<string,string>"),
@@ -418,3 +419,13 @@ def sync_job_table(spark: SparkSession, sf: str) -> DataFrame:
     for name in ("old", "new"):
         sync_cards(store, _as_cards(snapshot(spark, sf, name)), name, "")
     return store.cards().select(*snapshot(spark, sf, "new").drop("edhrec_saltiness").columns)
+
+
+@catalog.add(_SNAPSHOTS + f" SELECT * EXCLUDE (edhrec_saltiness) FROM ({_MERGE.format(stale='')})")
+def sync_bucket_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a table in hash buckets, of which a run writes those it touches."""
+    layout = T.StructType([f for f in schema.CARDS.fields if f.name != "updated_at"])
+    cards = BucketTable(spark, scratch(spark, "buckets"), layout, schema.CARD_KEY, 8)
+    for name in ("old", "new"):
+        cards.sync(_as_cards(snapshot(spark, sf, name)))
+    return cards.rows().select(*snapshot(spark, sf, "new").drop("edhrec_saltiness").columns)
