@@ -100,7 +100,7 @@ def common(n):
 
 def least_shared(n):
     """How many of the least hashes are kept beyond those that may not be shared."""
-    return 1 + np.minimum(n // 20, 15)
+    return 1 + n // 10
 
 
 class _Blocks:
@@ -138,7 +138,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             at = 0
             for texts in slices(batch.column(1)):
                 sets = [shingles(t) for t in texts]
-                least = [s[: len(s) - common(len(s)) + int(least_shared(len(s)))] for s in sets]
+                least = [s[: len(s) - common(len(s)) + least_shared(len(s))] for s in sets]
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
@@ -268,7 +268,9 @@ def _surviving(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _rarest(sets: DataFrame) -> DataFrame:
-    """``c, n, rarest``: each set's rarest shingles that others share, as ``token, df, reach``.
+    """``c, n, tokens, rarest``: each set's rarest shingles that others share, as ``token, df, reach``.
+
+    Sets of which too many shingles stand in no other are left out.
 
     Two alike sets share one of them, and the first that they share, in this
     order, has a ``reach`` in both that is no less than the number they share.
@@ -289,11 +291,11 @@ def _rarest(sets: DataFrame) -> DataFrame:
         token, df, reach = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 3
         ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in parts])]).astype(np.int32)
         entry = pa.StructArray.from_arrays([pa.array(token), pa.array(df), pa.array(reach)], ["token", "df", "reach"])
-        kept = left.select(["c", "n"]).take(pa.array(rows, pa.int64()))
+        kept = left.select(["c", "n", "tokens"]).take(pa.array(rows, pa.int64()))
         return kept.append_column("rarest", pa.ListArray.from_arrays(pa.array(ends), entry))
 
     replies = frequencies(sets, total).groupBy("block")
-    out = "c long, n long, rarest array<struct<token: long, df: long, reach: long>>"
+    out = "c long, n long, tokens binary, rarest array<struct<token: long, df: long, reach: long>>"
     return stage(sets.groupBy("block").cogroup(replies).applyInArrow(pick, out), "rarest")
 
 
@@ -346,7 +348,7 @@ def _parts(members: DataFrame, name: str) -> DataFrame:
     return dealt.withColumn("part", F.pmod(F.xxhash64("c"), "parts"))
 
 
-def _first_links(rarest: DataFrame, sets: DataFrame) -> DataFrame | None:
+def _first_links(rarest: DataFrame) -> DataFrame:
     """``u, v``: links inside parts of classes that share a frequent one of their rarest shingles."""
 
     def link(group: pa.Table) -> pa.Table:
@@ -364,7 +366,7 @@ def _first_links(rarest: DataFrame, sets: DataFrame) -> DataFrame | None:
     links, before = None, None
     while True:
         dealt = _parts(members, "token").filter("k > 1")
-        found = dealt.join(sets.select("c", "tokens"), "c").groupBy("token", "part").applyInArrow(
+        found = dealt.join(rarest.select("c", "tokens"), "c").groupBy("token", "part").applyInArrow(
             link, "c bigint, n bigint, token bigint, parts bigint, root bigint"
         )
         found = stage(found, "linked")
@@ -379,7 +381,7 @@ def _first_links(rarest: DataFrame, sets: DataFrame) -> DataFrame | None:
 
 def _met(rarest: DataFrame, labels: DataFrame) -> DataFrame:
     """``c, n, label``: classes and the groups, other than their own, whose bounds they pass."""
-    rows = rarest.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("own", F.coalesce("root", "c"))
+    rows = rarest.drop("tokens").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("own", F.coalesce("root", "c"))
     rows = rows.select("c", "n", "own", F.inline("rarest"))
     rows = stage(rows.drop("df"), "rows")
     matrix = rows.groupBy(F.col("token").alias("t"), F.col("own").alias("label")).agg(
@@ -396,7 +398,7 @@ def _met(rarest: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(met, "met")
 
 
-def _later_links(met: DataFrame, rarest: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _later_links(met: DataFrame, rarest: DataFrame, labels: DataFrame) -> DataFrame:
     """``u, v``: one link from each class to each part of a group that has a member alike."""
 
     def compare(group: pa.Table) -> pa.Table:
@@ -433,7 +435,7 @@ def _later_links(met: DataFrame, rarest: DataFrame, labels: DataFrame, sets: Dat
     queries = queries.join(places, F.col("label") == F.col("l")).select(
         "c", "n", "label", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "block", F.lit(True).alias("asks")
     )
-    all_rows = members.unionByName(queries).join(sets.select("c", "tokens"), "c")
+    all_rows = members.unionByName(queries).join(rarest.select("c", "tokens"), "c")
     return all_rows.groupBy("label", "part", "block").applyInArrow(compare, "u bigint, v bigint")
 
 
@@ -442,12 +444,12 @@ def class_links(sets: DataFrame) -> DataFrame | None:
     rarest = _rarest(sets)
     if rarest.isEmpty():
         return None
-    links = stage(_first_links(rarest, sets), "links")
+    links = stage(_first_links(rarest), "links")
     labels = components(links)
     met = _met(rarest, labels)
     if met.isEmpty():
         return links
-    return links.union(stage(_later_links(met, rarest, labels, sets), "links"))
+    return links.union(stage(_later_links(met, rarest, labels), "links"))
 
 
 def join(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
