@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,11 +43,9 @@ from loreweave.llm.text import held_out
 from loreweave.operators.ranking import keep_first
 from loreweave.sources.staging import stage
 
-#: Tokens of the first model, words whose counts travel with the model, and
-#: distinct words counted before they leave a task.
+#: Tokens of the first model, and words whose counts travel with the model.
 WARM_TOKENS = 400_000
 DICTIONARY = 200_000
-COUNTED = 500_000
 #: Characters scored together: the longest document sets the number of steps, so
 #: more documents beside it cost little.
 SCORED = 8_000_000
@@ -85,25 +82,14 @@ def tail_class(word: bytes) -> int:
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """``word, tail, n`` over all documents."""
 
-    def rows(found: Counter[bytes]) -> pa.RecordBatch:
-        words = list(found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(map(tail_class, words), pa.int32()),
-             pa.array(found.values(), pa.int64())],
-            ["word", "tail", "n"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
         for batch in batches:
             for texts in runs(batch.column(0)):
                 words, tokens, _ = tokens_of(texts)
-                counts = np.bincount(tokens, minlength=len(words)).tolist()
-                found.update({w: n for w, n in zip(words.to_pylist(), counts, strict=True) if n})
-                if len(found) > COUNTED:
-                    yield rows(found)
-                    found = Counter()
-        yield rows(found)
+                counts = np.bincount(tokens, minlength=len(words))
+                words, counts = words.take(pa.array(np.flatnonzero(counts))), counts[counts > 0]
+                tails = pa.array(map(tail_class, words.to_pylist()), pa.int32())
+                yield pa.RecordBatch.from_arrays([words, tails, pa.array(counts)], ["word", "tail", "n"])
 
     counted = docs.select(text_col).mapInArrow(run, "word binary, tail int, n bigint")
     return counted.groupBy("word", "tail").agg(F.sum("n").alias("n"))
