@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import Catalog, table, texts
 from loreweave.operators import chunks as C
 from loreweave.operators import embedding as E
-from loreweave.plans.jobs import embed_source
+from loreweave.operators.search import vector_search
+from loreweave.plans.jobs import embed_source, run
+from loreweave.sources.inputs import read_books
 from loreweave.sources.staging import scratch
 from loreweave.sources.warehouse import Warehouse
 
@@ -33,13 +35,53 @@ def books(spark: SparkSession, sf: str) -> DataFrame:
     return texts(spark, sf, "doc_id", "lang", "text").select(F.col("doc_id").alias("doc"), text.alias("text"))
 
 
+#: Documents per written book, whatever the size of the table.
+_SHELF = 50
+
+
+def book_files(spark: SparkSession, sf: str) -> str:
+    """Books as text files with a byte order mark and line ends of two characters: a file per block of documents.
+
+    The lines of a block are numbered on; its glossary has one block for each line.
+    """
+    each = texts(spark, sf, "doc_id", "lang", "text").select(
+        F.expr(f"doc_id div {_SHELF}").alias("book"), "doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("at", "line")
+    )
+    place = Window.partitionBy("book").orderBy("doc_id", "at")
+    numbered = each.withColumn("i", F.row_number().over(place) - 1)
+    top = "Contents\n1. Game Concepts\nGlossary\nCredits\n\n1. Game Concepts"
+    rule = F.when(F.endswith("line", F.lit(".")), F.concat(F.lit("100."), F.col("i").cast("string"), F.lit(" {T} "), "line")).otherwise(F.col("line"))
+    parts = [
+        numbered.select("book", F.lit(1).alias("part"), "i", rule.alias("value")),
+        numbered.select("book", F.lit(3).alias("part"), "i", F.concat("line", F.lit("\n"), "lang", F.lit("\n")).alias("value")),
+    ]
+    for part, text in ((0, "\ufeff" + top), (2, "Glossary"), (4, "Credits\nend")):
+        parts.append(each.select("book").distinct().select("book", F.lit(part).alias("part"), F.lit(0).alias("i"), F.lit(text).alias("value")))
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
+    path = scratch(spark, "books")
+    ends = F.replace("value", F.lit("\n"), F.lit("\r\n")).alias("value")
+    lines.repartition("book").sortWithinPartitions("book", "part", "i").select("book", ends).write.mode("overwrite").option(
+        "lineSep", "\r\n").partitionBy("book").text(path)
+    return path
+
+
 _HEAD = r"^\d{3}(\.\d+[a-z]?)?\.?\s"
-_BOOKS = rf"""
+_LINES = """
 WITH lines AS (
   SELECT doc_id AS doc, lang, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents
-), numbered AS (
+)"""
+_FILE_LINES = f"""
+WITH each AS (
+  SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents
+), lines AS (
+  SELECT doc_id // {_SHELF} AS doc, lang, line, row_number() OVER (PARTITION BY doc_id // {_SHELF} ORDER BY doc_id, place) - 1 AS i FROM each
+)"""
+_PIECES = rf""", numbered AS (
   SELECT *, CASE WHEN line LIKE '%.' THEN '100.' || i || ' {{T}} ' || line ELSE line END AS l FROM lines
 ), grouped AS (
   SELECT *, sum(CASE WHEN regexp_matches(l, '{_HEAD}') THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY i) AS seg
@@ -54,6 +96,7 @@ WITH lines AS (
   SELECT doc, 'glossary:' || line AS id, i AS pos, line || chr(10) || lang AS raw
   FROM lines WHERE length(line || chr(10) || lang) >= 10
 )"""
+_BOOKS = _LINES + _PIECES
 
 
 @catalog.add(_BOOKS + " SELECT doc, id, raw FROM rules")
@@ -66,15 +109,98 @@ def glossary_terms(spark: SparkSession, sf: str) -> DataFrame:
     return C.glossary_terms(C.book_sections(books(spark, sf))).drop("pos")
 
 
-@catalog.add(_BOOKS + """
+_RULES = """
 SELECT id, 0 AS chunk_index, replace(replace(raw, '{T}', 'Tap (tap this permanent)'), 'º', 'o') AS chunk_text FROM (
   SELECT id, arg_max(raw, {'doc': doc, 'part': part, 'pos': pos}) AS raw FROM (
     SELECT *, 0 AS part FROM rules UNION ALL SELECT doc, id, pos, raw, 1 FROM terms)
-  GROUP BY id)""")
+  GROUP BY id)"""
+
+
+@catalog.add(_BOOKS + _RULES)
 def rules_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return C.rules_chunks(books(spark, sf))
 
 
+@catalog.add(_FILE_LINES + _PIECES + """
+SELECT doc, id, raw FROM rules UNION ALL SELECT doc, id, raw FROM terms""")
+def book_file_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules and glossary terms of books that are read from files."""
+    read = read_books(spark, f"{book_files(spark, sf)}/*/*.txt")
+    numbered = read.withColumn("doc", F.regexp_extract("doc", "book=([0-9]+)/", 1).cast("bigint"))
+    return C.book_pieces(C.book_sections(numbered)).select("doc", "id", "raw")
+
+
+def _by_letters() -> E.Backend:
+    return E.batch_backend("letters", 4, _letter_model, batch_size=64)
+
+
+@catalog.add(r"""
+SELECT step, source, count(*) AS chunks, count(DISTINCT id) AS ids, sum(letters)::BIGINT AS letters FROM (
+  SELECT unnest(CASE source WHEN 'card_name' THEN ['names', 'again', 'all'] ELSE ['all'] END) AS step, source, id,
+         len(regexp_extract_all(text, '[eE]')) + 2 * len(regexp_extract_all(text, '[tT]'))
+         + 3 * len(regexp_extract_all(text, '[aA]')) + 4 * len(regexp_extract_all(text, '[nN]')) AS letters
+  FROM (SELECT 'card_name' AS source, doc_id AS id, source || ' ' || doc_id AS text FROM documents
+        UNION ALL SELECT 'card_text', doc_id, trim(regexp_replace(regexp_replace(replace(text, 'º', 'o'), '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g')) FROM documents))
+GROUP BY step, source""")
+def run_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job by flags on a fresh warehouse, with a model of its own taken from the registry.
+
+    Tables only; cards only; names of the cards, with an unknown source beside
+    them; the same again; then everything, without books. After each step: the
+    vectors by source, and their sum weighed by place.
+    """
+    E.BACKENDS["letters"] = _by_letters
+    model = E.backend("letters")
+    docs = table(spark, sf, "documents")
+    face = F.struct(
+        F.struct(F.col("doc_id").cast("string").alias("scryfallOracleId")).alias("identifiers"), "text",
+        F.lit(1.5).cast("float").alias("manaValue"), F.lit("Kind").alias("type"),
+    )
+    path, root = scratch(spark, "lines"), scratch(spark, "warehouse")
+    docs.select(F.concat_ws(" ", "source", F.col("doc_id").cast("string")).alias("name"), F.array(face).alias("faces"),
+                F.lit("v1").alias("version")).write.mode("overwrite").json(path)
+    steps = {
+        "tables": {"init_only": True}, "cards": {"lines": path, "etl_only": True},
+        "names": {"embed_only": True, "only": ["card_name", "nothing"]},
+        "again": {"embed_only": True, "only": ["card_name"]}, "all": {"lines": path},
+    }
+    out = None
+    for step, flags in steps.items():
+        run(spark, root, model=model, **flags)
+        weighed = F.aggregate(F.transform("embedding", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+        found = Warehouse(spark, root).all_vectors().groupBy("source").agg(
+            F.count("*").alias("chunks"), F.countDistinct("id").alias("ids"), F.sum(weighed).cast("bigint").alias("letters")
+        )
+        found = found.select(F.lit(step).alias("step"), "source", "chunks", "ids", "letters")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@catalog.add("""
+WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 7),
+s AS (SELECT 'rule:' || vec_id AS id, round(list_cosine_similarity(embedding::DOUBLE[], q::DOUBLE[]), 12) AS s FROM embeddings, q),
+r AS (SELECT id, s, row_number() OVER (ORDER BY s DESC, id) AS rank FROM s)
+SELECT 'rules' AS source, id, round(s, 6) AS similarity, NULL AS refused FROM r WHERE rank <= 3
+UNION ALL SELECT 'nothing', NULL, NULL, 'unknown source: nothing'""")
+def search_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest rules to a vector; a source that does not exist is refused."""
+    vectors = table(spark, sf, "embeddings")
+    query = vectors.filter("vec_id = 7").first()["embedding"]
+    rows = vectors.select(
+        F.concat(F.lit("rule:"), F.col("vec_id").cast("string")).alias("id"), F.lit("rules").alias("source"), "embedding",
+        F.lit("").alias("chunk_text"),
+    )
+    found = vector_search(rows, None, query, "rules", 3).select(
+        F.lit("rules").alias("source"), "id", F.round("similarity", 6).alias("similarity"), F.lit(None).cast("string").alias("refused")
+    )
+    try:
+        vector_search(rows, None, query, "nothing", 3)
+        refused = None
+    except ValueError as e:
+        refused = str(e)
+    return found.unionByName(spark.createDataFrame([("nothing", None, None, refused)], found.schema))
+
+
 # ---- Cards: documents as card faces, with names from their labels --------------
 
 
