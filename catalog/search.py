@@ -11,6 +11,7 @@ from loreweave.functions.vectors import cosine, id_oracle
 from loreweave.operators import ann
 from loreweave.operators import checks as K
 from loreweave.operators import search as S
+from loreweave.operators.gram_index import GramIndex
 from loreweave.sources.staging import scratch
 
 catalog = Catalog()
@@ -235,6 +236,23 @@ def phrase_count(spark: SparkSession, sf: str) -> DataFrame:
     return S.phrase_counts(texts(spark, sf, "text"), "text", phrases)
 
 
+INDEXED = ["the th", "QUE", "e d", "tion", "no such phrase", "ung der"]
+
+
+@catalog.add(f"""
+WITH phrases AS (SELECT unnest({INDEXED}) AS phrase),
+kept AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+SELECT phrase, doc_id AS id FROM phrases JOIN kept ON contains(lower(text), lower(phrase))""")
+def phrase_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases from posting lists: labelled documents first, then the others in a segment that takes out the toxic ones."""
+    docs, labels = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), table(spark, sf, "labels")
+    labelled = labels.select(F.col("doc_id").alias("id"))
+    index = GramIndex(spark, scratch(spark, "grams"))
+    index.add(docs.join(labelled, "id", "left_semi"))
+    index.add(docs.join(labelled, "id", "left_anti"), labels.filter("toxic = 1").select(F.col("doc_id").alias("id")))
+    return index.find(INDEXED)
+
+
 @catalog.add("""
 SELECT p_partkey, list_contains(string_split(p_name, ' '), 'ring') AS has_ring,
        list_has_all(string_split(p_name, ' '), ['small', 'ring']) AS has_both,
