@@ -11,6 +11,7 @@ from loreweave.functions.vectors import cosine, id_oracle
 from loreweave.operators import ann
 from loreweave.operators import checks as K
 from loreweave.operators import search as S
+from loreweave.operators.bitmap_index import BitmapIndex
 from loreweave.operators.gram_index import GramIndex
 from loreweave.sources.staging import scratch
 
@@ -236,6 +237,21 @@ def phrase_count(spark: SparkSession, sf: str) -> DataFrame:
     return S.phrase_counts(texts(spark, sf, "text"), "text", phrases)
 
 
+@catalog.add("""
+SELECT p_partkey, p_name FROM part
+WHERE (list_has_all(string_split(p_name, ' '), ['small', 'ring']) AND p_size = 7)
+   OR list_contains(string_split(p_name, ' '), 'widget')""")
+def bitmap_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Names as arrays of words and sizes as maps: small rings of one size, or anything that is a widget."""
+    rows = table(spark, sf, "part").select(
+        "p_partkey", "p_name", F.split("p_name", " ").alias("words"),
+        F.create_map(F.lit("size"), F.col("p_size").cast("string")).alias("props"),
+    )
+    index = BitmapIndex(spark, scratch(spark, "bitmaps"))
+    index.write(rows, ["words", "props"])
+    return index.rows({"words": ["small", "ring"], "props": ["size=7"]}, {"words": ["widget"]}).select("p_partkey", "p_name")
+
+
 INDEXED = ["the th", "QUE", "e d", "tion", "no such phrase", "ung der"]
 
 
