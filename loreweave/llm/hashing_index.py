@@ -18,8 +18,8 @@ are; every task answers with k candidates per query and block.
 
 Defined cases: vectors that are null, zero or hold a null or a value that is not
 finite take no part; vectors of different lengths are not compared; ties go to
-the smaller id; rows with the same id are one candidate, and a query's own id is
-none; fewer candidates than k give fewer rows; no rows give none. Only the id and
+the smaller id; rows with the same id are candidates of their own, and rows with a
+query's own id are none; fewer candidates than k give fewer rows; no rows give none. Only the id and
 the vector are read, so other columns may have any name.
 """
 
