@@ -9,6 +9,7 @@ from catalog import Catalog, table, texts
 from catalog.chunks import slots_sql
 from catalog.search import _COS
 from loreweave.operators import taxonomy as X
+from loreweave.operators.closure import ancestors, cycles
 from loreweave.operators.tagging import tag_arrays, tag_texts
 from loreweave.plans.retrieval import fan_out, merge_best
 from loreweave.operators.search import similar_batch
@@ -266,3 +267,36 @@ def fan_out_texts(spark: SparkSession, sf: str) -> DataFrame:
     vectors = model.embed(docs, "text").select("id", "embedding")
     tax = tree(spark, sf)
     return fan_out(terms(spark, sf), tax, vectors, model, 5).withColumn("similarity", F.round("similarity", 6))
+
+
+# ---- Trees as rows of key and parent: parts in families of forty -------------------------
+
+_FAMILY = """
+WITH RECURSIVE nodes AS (
+  SELECT 'p' || p_partkey AS key, CASE
+    WHEN p_partkey % 40 <> 0 THEN 'p' || greatest(p_partkey - 1 - p_partkey % 3, p_partkey // 40 * 40)
+    WHEN p_partkey // 40 % 10 = 7 THEN 'p' || (p_partkey + 5) END AS parent_key FROM part
+), up AS (
+  SELECT n.key, n.parent_key AS ancestor FROM nodes n JOIN nodes p ON p.key = n.parent_key
+  UNION SELECT up.key, n.parent_key FROM up JOIN nodes n ON n.key = up.ancestor JOIN nodes p ON p.key = n.parent_key
+), rings AS (SELECT key FROM up WHERE key = ancestor), lost AS (SELECT DISTINCT key FROM up WHERE ancestor IN (SELECT key FROM rings))"""
+
+
+def families(spark: SparkSession, sf: str) -> DataFrame:
+    """Each part hangs on one up to three before it; in one family of ten the first hangs on a later one."""
+    k = F.col("p_partkey")
+    first = F.expr("p_partkey div 40 * 40")
+    parent = F.when(k % 40 != 0, F.greatest(k - 1 - k % 3, first)).when(F.expr("p_partkey div 40 % 10 = 7"), k + 5)
+    name = lambda c: F.concat(F.lit("p"), c.cast("string"))
+    return table(spark, sf, "part").select(name(k).alias("key"), name(parent).alias("parent_key"))
+
+
+@catalog.add(_FAMILY + " SELECT key, ancestor FROM up WHERE key NOT IN (SELECT key FROM lost)")
+def tree_ancestors(spark: SparkSession, sf: str) -> DataFrame:
+    return ancestors(families(spark, sf)).select("key", "ancestor")
+
+
+@catalog.add(_FAMILY + """
+SELECT key, min(ancestor) AS cycle FROM up WHERE ancestor IN (SELECT key FROM rings) GROUP BY key""")
+def tree_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    return cycles(families(spark, sf))
