@@ -11,6 +11,7 @@ from loreweave import schema
 from loreweave.functions.hashing import content_hash
 from loreweave.operators import normalize as N
 from loreweave.operators import sync as S
+from loreweave.operators.running import RunningCounts, key_sketch, vanished_keys
 from loreweave.plans.jobs import run_sync, sync_cards
 from loreweave.sources.buckets import BucketTable
 from loreweave.sources.inputs import compare_words, sidecar_words
@@ -429,3 +430,40 @@ def sync_bucket_table(spark: SparkSession, sf: str) -> DataFrame:
     for name in ("old", "new"):
         cards.sync(_as_cards(snapshot(spark, sf, name)))
     return cards.rows().select(*snapshot(spark, sf, "new").drop("edhrec_saltiness").columns)
+
+
+# ---- Counts kept up from changes, and sketches of keys ----------------------------------
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
+    return docs.join(table(spark, sf, "labels"), "doc_id", "left")
+
+
+@catalog.add("""
+WITH now AS (
+  SELECT source, n_chars, CASE WHEN quality = 0 THEN source ELSE lang END AS lang
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(toxic, 0) = 0)
+SELECT source, count(*) AS n, count(*) FILTER (n_chars > 500) AS long, count(DISTINCT lang) AS distinct_lang
+FROM now GROUP BY source""")
+def running_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs: labelled documents come; the others come and toxic ones go; those of low quality change."""
+    docs = _labelled(spark, sf)
+    columns = ["source", "lang", "n_chars"]
+    state = RunningCounts(spark, scratch(spark, "counts"), ["source"], {"long": F.col("n_chars") > 500}, ["lang"], max_runs=2)
+    known, toxic = F.col("quality").isNotNull(), F.col("toxic") == 1
+    poor = docs.filter((F.col("quality") == 0) & ~toxic).select(columns)
+    state.apply(docs.filter(known).select(columns), docs.limit(0).select(columns))
+    state.apply(docs.filter(~known).select(columns), docs.filter(toxic).select(columns))
+    state.apply(poor.withColumn("lang", F.col("source")), poor)
+    return state.counts()
+
+
+@catalog.add("""
+SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
+def vanished_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents that are not among those of good quality; sketches of both say whether there are any."""
+    docs = _labelled(spark, sf)
+    old, new = docs.filter("quality is not null"), docs.filter("quality = 1")
+    sketches = [key_sketch(rows, ["doc_id"]) for rows in (old, new)]
+    return vanished_keys(old, new, ["doc_id"], *sketches)
