@@ -242,11 +242,10 @@ class Trainer:
         grads |= {"inner": before_all @ d_inner.T, "bias": d_gates.sum(axis=1)}
         for k, g in grads.items():
             self.step(k, slice(None), np.clip(g, -1, 1))
-        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
-        used = inputs.ravel()[order]
-        first = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
-        summed = np.add.reduceat(d_gates[:, order], first, axis=1)
-        self.step("inputs", used[first], summed.T)
+        tokens = inputs.ravel()
+        used = np.flatnonzero(np.bincount(tokens))
+        summed = np.array([np.bincount(tokens, row)[used] for row in d_gates], np.float32)
+        self.step("inputs", used, summed.T)
         return last
 
     def step(self, k: str, at, g: np.ndarray) -> None:

@@ -45,7 +45,7 @@ from loreweave.sources.staging import stage
 
 #: Tokens of the first model, and words whose counts travel with the model.
 WARM_TOKENS = 400_000
-DICTIONARY = 200_000
+DICTIONARY = 400_000
 #: Characters scored together: the longest document sets the number of steps, so
 #: more documents beside it cost little.
 SCORED = 8_000_000
