@@ -253,3 +253,17 @@ def test_selection_and_last_chunk(spark, tmp_path):
     chunks = spark.createDataFrame([("a", 0, "first"), ("a", 0, "second"), ("b", 0, "x")], "id string, chunk_index int, chunk_text string").coalesce(1)
     assert jobs.embed_source(store, "own", chunks, model) == 2
     assert {r.id: r.chunk_text for r in store.vectors("own").collect()} == {"a": "second", "b": "x"}
+
+
+def test_blocks_of_files_share_folders(spark, tmp_path):
+    """Files of forty blocks stand in one folder, whatever the number of brands, and are named by both."""
+    from catalog import records as R
+
+    rows = spark.range(6000).select(
+        F.col("id").alias("p_partkey"), F.concat(F.lit("Brand#/ ,="), (F.col("id") % 3).cast("string")).alias("p_brand"),
+        F.expr("id div 50").alias("block"), F.lit("x").alias("value"),
+    )
+    pattern = R._write_blocks(rows, str(tmp_path / "f"))
+    assert len(list((tmp_path / "f").iterdir())) == 3
+    found = R.digests_of(spark, pattern).select(*R._file_name("file"), "sha256")
+    assert sorted((r.brand, r.block) for r in found.collect()) == [(f"Brand#/ ,={b}", k) for b in range(3) for k in range(120)]
