@@ -87,7 +87,9 @@ def run_sync(
         _, entries = read_split_dump(store.spark, dump, size=split)
         entries = stage(entries, "entries")
     elif lines is None:
+        # Written down once: the versions would parse every dump again.
         _, entries = read_dump(store.spark, dump, partitions=partitions)
+        entries = stage(entries, "entries")
     else:
         entries = read_entry_lines(store.spark, lines)
     rows = normalize(entries, F.col("version"))

@@ -142,3 +142,19 @@ def test_written_lines(spark, tmp_path):
     found = inputs.file_digests(spark, f"{tmp_path}/t/*")
     assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert {r.file.rsplit(" ", 1)[1]: r.sha256 for r in found.collect()} == {str(k): hashlib.sha256(t.encode()).hexdigest() for k, t in text.items()}
+
+
+def test_dumps_are_parsed_once(spark, tmp_path, monkeypatch):
+    """The job goes on from the written entries; the dump itself is not read again."""
+    path = tmp_path / "d.json"
+    path.write_text(body({f"Card {k}": [{"identifiers": {"scryfallOracleId": f"o{k}"}, "text": "t", "type": "T", "manaValue": 1.0}] for k in range(5)}))
+
+    def normalize(entries, version):
+        path.unlink()
+        return N.normalize(entries, version)
+
+    monkeypatch.setattr(jobs, "normalize", normalize)
+    store = Warehouse(spark, str(tmp_path / "w"))
+    store.init()
+    assert jobs.run_sync(store, str(path))["inserted"] == 5
+    assert store.sync_log().first().source_version == "v1"
