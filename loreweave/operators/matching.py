@@ -15,8 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loreweave.sources.staging import stage
+
 #: Characters of search strings in one automaton, which takes up to a hundred bytes for each.
 CHARACTERS = 1_000_000
+#: Texts of an Arrow batch that a worker holds as strings at a time.
+ROWS = 256
 
 
 def _blocks(words: DataFrame, characters: int) -> Iterator[list[str]]:
@@ -50,7 +54,9 @@ def _numbers(shared):
         import pyarrow as pa
 
         walk = shared.value.iter
-        found = [None if t is None else list({n for _, n in walk(t)}) for t in texts.to_pylist()]
+        found = []
+        for i in range(0, len(texts), ROWS):
+            found += [None if t is None else list({n for _, n in walk(t)}) for t in texts.slice(i, ROWS).to_pylist()]
         return pa.array(found, pa.list_(pa.int32()))
 
     return numbers
@@ -69,7 +75,8 @@ def occurrences(
     for words in _blocks(wanted.select(anchor).distinct(), characters):
         numbers = _numbers(spark.sparkContext.broadcast(_automaton(words)))
         numbered = spark.createDataFrame(list(enumerate(words)), "_number int, _word string")
-        asked = wanted.join(numbered, F.col(anchor) == F.col("_word")).drop("_word")
+        # Written down, so that Spark knows its size: else the texts would be shuffled by number, all that hold one to one task.
+        asked = stage(wanted.join(numbered, F.col(anchor) == F.col("_word")).drop("_word"), "needles")
         found = texts.withColumn("_numbers", numbers(F.col(text)))
         found = found.withColumn("_number", F.explode("_numbers")).drop("_numbers").join(asked, "_number").drop("_number")
         out = out.unionByName(found)

@@ -185,3 +185,14 @@ def test_widths_are_checked(spark):
     queries = spark.createDataFrame([(1, [1.0, 0.0])], QRY)
     with pytest.raises(Exception, match="width"):
         S.similar_batch(vectors, queries, 1).collect()
+
+
+def test_texts_stay_where_they_are(spark):
+    """A few search strings are sent to the texts; texts that hold the same one do not come to one task."""
+    from loreweave.operators.matching import ROWS, occurrences
+
+    rows = spark.range(3 * ROWS).select("id", F.when(F.col("id") != 5, F.lit("a common word")).alias("t"))
+    needles = spark.createDataFrame([("common", 1), ("common", 2), ("none", 3), ("", 4)], "a string, k int")
+    found = occurrences(rows, "t", needles, "a")
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.groupBy("k").count().orderBy("k").collect() == [(1, 3 * ROWS - 1), (2, 3 * ROWS - 1)]
