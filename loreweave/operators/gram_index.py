@@ -22,9 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loreweave.sources.streams import listed
+
 #: Characters per block: the places of a posting list stay below it, but for one longer text.
 BLOCK = 4_000_000
 SIZE = 3
+#: Written bytes of posting lists that one task sorts into one file.
+FILE = 64 << 20
 _BITS = 21
 _POSTINGS = "block long, gram long, places binary"
 _LOG = T.StructType([T.StructField("segment", T.IntegerType())])
@@ -57,7 +61,7 @@ def undelta(data: bytes) -> np.ndarray:
 
 
 class GramIndex:
-    """An index below ``root`` over rows of ``id, text``; case is ignored."""
+    """An index below ``root`` over rows of ``id, text``; case is ignored. A segment has ``files`` files at least."""
 
     def __init__(self, spark: SparkSession, root: str, id_type: T.DataType = T.LongType(), *, files: int | None = None) -> None:
         self.spark, self.root, self.id_type = spark, root.rstrip("/"), id_type
@@ -119,7 +123,9 @@ class GramIndex:
         rows.mapInArrow(run, out).write.mode("overwrite").parquet(made)
         made = self.spark.read.schema(out).parquet(made)
         postings = made.filter("gram is not null").select("block", "gram", "places")
-        postings.repartitionByRange(self.files, "gram", "block").sortWithinPartitions("gram", "block").write.mode("overwrite").parquet(f"{path}/postings")
+        written = listed(self.spark, f"{path}/made").agg(F.sum("length")).first()[0] or 0
+        files = max(self.files, -(-written // FILE))
+        postings.repartitionByRange(files, "gram", "block").sortWithinPartitions("gram", "block").write.mode("overwrite").parquet(f"{path}/postings")
         made.filter("gram is null").select("block", "ids", "starts").write.mode("overwrite").parquet(f"{path}/texts")
         leaving = rows.select("id") if gone is None else gone.select("id").unionByName(rows.select("id"))
         leaving.distinct().write.mode("overwrite").parquet(f"{path}/gone")

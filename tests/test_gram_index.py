@@ -68,3 +68,13 @@ def test_only_the_lists_in_question_are_read(spark, tmp_path):
     assert "text:string" not in plan
     assert sorted(r.id for r in found.collect()) == sorted(["t29", *[f"t29{k}" for k in range(10)]])
     assert index.counts(["number 29"]).filter(F.col("n") == 11).count() == 1
+
+
+def test_files_of_lists_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(gram_index, "FILE", 20_000)
+    index = GramIndex(spark, str(tmp_path / "i"), files=2)
+    rows = spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    index.add(rows)
+    assert len(list((tmp_path / "i/segment=1/postings").glob("part-*.parquet"))) > 8
+    want = {r.id for r in rows.collect() if "abc" in r.text}
+    assert {r.id for r in index.find(["ABC"]).collect()} == want
