@@ -13,17 +13,20 @@ from pyspark.sql import functions as F
 
 from loreweave.sources.staging import stage
 
+#: Every round joins tables as long as the tree, or nearly; none of them is sent through the driver.
+JOIN = "merge"
+
 
 def _jumps(nodes: DataFrame) -> DataFrame:
     """``key, up`` of nodes whose parent is a node; other parents end the path."""
     known = nodes.select(F.col("key").alias("up"))
     linked = nodes.filter("parent_key is not null").select("key", F.col("parent_key").alias("up"))
-    return linked.join(known, "up", "left_semi").select("key", "up")
+    return linked.join(known.hint(JOIN), "up", "left_semi").select("key", "up")
 
 
 def _twice(jumps: DataFrame) -> DataFrame:
     on = jumps.select(F.col("key").alias("up"), F.col("up").alias("far"))
-    return jumps.join(on, "up").select("key", F.col("far").alias("up"))
+    return jumps.join(on.hint(JOIN), "up").select("key", F.col("far").alias("up"))
 
 
 def cycles(nodes: DataFrame) -> DataFrame:
@@ -32,17 +35,17 @@ def cycles(nodes: DataFrame) -> DataFrame:
     ``key`` is unique and not null. Nodes without a cycle above them are not listed.
     """
     jumps = stage(_jumps(nodes), "jumps")
-    step, far, reached = jumps, 1, jumps.count()
+    step, far, reached, most = jumps, 1, jumps.count(), nodes.count()
     # ``least`` is the least key within ``far`` steps from a node on.
     least = jumps.select("key", F.least("key", "up").alias("least"))
-    while reached and far <= nodes.count():
+    while reached and far <= most:
         behind = least.select(F.col("key").alias("up"), F.col("least").alias("behind"))
-        least = stage(step.join(least, "key").join(behind, "up").select("key", F.least("least", "behind").alias("least")), "least")
+        least = stage(step.join(least.hint(JOIN), "key").join(behind.hint(JOIN), "up").select("key", F.least("least", "behind").alias("least")), "least")
         step = stage(_twice(step), "jumps")
         far, reached = far * 2, step.count()
     # A jump over all nodes ends on the cycle; from there on, everything is on it.
     on = least.select(F.col("key").alias("up"), F.col("least").alias("cycle"))
-    return step.join(on, "up").select("key", "cycle")
+    return step.join(on.hint(JOIN), "up").select("key", "cycle")
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
@@ -51,11 +54,11 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     Nodes that lead to a cycle have no rows; ``cycles`` names them.
     """
     bad = stage(cycles(nodes), "cycles")
-    jumps = stage(_jumps(nodes).join(bad.select("key"), "key", "left_anti"), "jumps")
+    jumps = stage(_jumps(nodes).join(bad.select("key").hint(JOIN), "key", "left_anti"), "jumps")
     found, far = jumps.select("key", F.col("up").alias("ancestor"), F.lit(1).alias("distance")), 1
     while not jumps.isEmpty():
         beyond = found.select(F.col("key").alias("up"), "ancestor", (F.col("distance") + far).alias("distance"))
-        found = stage(found.unionByName(jumps.join(beyond, "up").select("key", "ancestor", "distance")), "ancestors")
+        found = stage(found.unionByName(jumps.join(beyond.hint(JOIN), "up").select("key", "ancestor", "distance")), "ancestors")
         jumps, far = stage(_twice(jumps), "jumps"), far * 2
     return found
 

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from loreweave.operators.closure import ancestors, collected, cycles
 
 
@@ -45,3 +47,19 @@ def test_small(spark):
     check(spark, {"a": None})
     check(spark, {"a": "b", "b": "a"})
     check(spark, {"a": "b", "b": None, "c": "zz"})
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    """Tables of a round are joined where they are, however small their files look."""
+    from loreweave.operators import closure
+
+    plans, write = [], closure.stage
+
+    def stage(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(closure, "stage", stage)
+    nodes = spark.range(40).select(F.col("id").cast("string").alias("key"), F.expr("if(id > 0, cast(id - 1 as string), null)").alias("parent_key"))
+    assert closure.ancestors(nodes).count() == 40 * 39 // 2
+    assert plans and not any("BroadcastExchange" in p for p in plans)
