@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,8 @@ def tokens(text: Column) -> Column:
 
 #: Slots of tokens that a worker keeps; the store starts anew beyond it.
 MOST_TOKENS = 500_000
+#: Tokens whose places are held at a time, unless one text has more.
+TOKENS = 1_000_000
 
 
 def slot_counts(width: int):
@@ -48,11 +49,16 @@ def slot_counts(width: int):
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         parts = []
         step = max(4_000_000 // width, 1)  # rows whose counts are held at a time
-        for i in range(0, len(found), step):
-            part = found.slice(i, step).fill_null([])
+        upto = np.concatenate([[0], np.cumsum(pc.list_value_length(found).fill_null(0).to_numpy(zero_copy_only=False))])
+        i = 0
+        while i < len(found):
+            fit = int(np.searchsorted(upto, upto[i] + TOKENS, "right")) - 1
+            part = found.slice(i, min(max(fit - i, 1), step)).fill_null([])
+            i += len(part)
             sizes = np.diff(part.offsets.to_numpy())
             coded = part.flatten().cast(pa.binary()).dictionary_encode()
             names = coded.dictionary.to_pylist()
@@ -95,15 +101,19 @@ def batch_backend(
     """
 
     def apply(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-        @F.pandas_udf("array<float>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<float>")
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            import pyarrow as pa
+
+            kind = pa.list_(pa.float32())
             model = load()
             for texts in batches:
-                vectors: list = []
-                values = texts.tolist()
-                for i in range(0, len(values), batch_size):
-                    vectors.extend(model(values[i : i + batch_size]))
-                yield pd.Series([list(map(float, v)) for v in vectors], dtype=object)
+                vectors = [pa.array([], kind)]
+                # Only the texts of one call are held as strings.
+                for i in range(0, len(texts), batch_size):
+                    made = model(texts.slice(i, batch_size).to_pylist())
+                    vectors.append(pa.array([list(map(float, v)) for v in made], kind))
+                yield pa.concat_arrays(vectors)
 
         return df.withColumn(out_col, encode(F.col(text_col)))
 

@@ -158,3 +158,16 @@ def test_run(spark, tmp_path):
     assert again == {"embed": {"rules": 0}}
     texts = {r.chunk_text for r in Warehouse(spark, root).vectors("card_text").collect()}
     assert texts == {"this card has Tap (tap this permanent)"}
+
+
+def test_hashed_tokens_in_pieces(spark, monkeypatch):
+    """Vectors do not depend on how many tokens are held at a time; empty and null texts keep their place."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    df = spark.range(50).select("id", F.when(F.col("id") % 7 != 3, F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" x ")), (F.col("id") % 5).cast("int"))).alias("t"))
+    want = {r.id: r.v for r in E.hashing_backend(16).embed(df, "t", "v").collect()}
+    monkeypatch.setattr(E, "TOKENS", 3)
+    rows = df.select("id", E.tokens(F.col("t")).alias("found")).orderBy("id").collect()
+    got = E.slot_counts(16).func(pa.array([r.found for r in rows], pa.list_(pa.string())))
+    assert got.to_pylist() == [want[r.id] for r in rows]
