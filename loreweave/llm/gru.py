@@ -19,6 +19,10 @@ HEAD, PER_CLASS, TAILS = 1024, 32, 32
 #: Steps per window, and lanes when training and at most when scoring.
 WINDOW, LANES, MOST_LANES = 32, 256, 512
 RATE = 0.08
+#: Tokens whose outputs are worked on together, so that they stay in the cache, and tokens scored at a time.
+CACHED, SCORED = 2048, 16_384
+#: Logits up to this size need no shift before ``exp``, whose sums then neither overflow nor vanish.
+REACH = 60.0
 
 
 @dataclass(frozen=True)
@@ -96,7 +100,7 @@ def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, keep: list
     """
     steps, lanes = tokens.shape
     size = len(h)
-    gates = _by_step(np.take((p["inputs"] + p["bias"]).T, tokens, axis=1))
+    gates = _by_step(np.take((p["inputs"] + p["bias"]).T, tokens.astype(np.intp), axis=1))
     inner = np.ascontiguousarray(p["inner"].T)
     alive = (tokens != start).astype(np.float32)
     out = np.empty((steps, size, lanes), np.float32)
@@ -113,27 +117,47 @@ def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, keep: list
         n = gates[t, 2 * size :]
         n += r * g[2 * size :]
         np.tanh(n, out=n)
+        before, h = h, h - n
         if keep is not None:
-            keep.append((h, r, z, n, g[2 * size :]))
-        h = h - n
+            # The new state's slopes in the update gate and in n, and n's in the reset gate.
+            left = 1 - z
+            keep.append((before, r, z, h * z * left, (1 - n * n) * left, r * (1 - r) * g[2 * size :]))
         h *= z
         h += n
         out[t] = h
     return _by_unit(out), h
 
 
-def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _with_one(states: np.ndarray) -> np.ndarray:
+    """``states`` with a last unit that is always one, whose weights are biases."""
+    out = np.empty((len(states) + 1, states.shape[1]), np.float32)
+    out[:-1] = states
+    out[-1] = 1
+    return out
+
+
+def _weights(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
+    """``[output, unit]`` for states with a one, and whether every logit is small; states lie between -1 and 1.
+
+    The greatest bias becomes 0, which changes no softmax, so its logit is at least minus the sum of its weights.
+    """
+    reach = np.abs(weights).sum(axis=0).max()
+    return np.concatenate([weights.T, (bias - bias.max())[:, None]], axis=1), bool(reach < REACH)
+
+
+def _chosen(logits: np.ndarray, small: bool, at: np.ndarray) -> np.ndarray:
     """Log probability of one entry of each column."""
+    if not small:
+        logits -= logits.max(axis=0)
     own = logits[at, np.arange(len(at))]
-    top = logits.max(axis=0)
-    logits -= top
     np.exp(logits, out=logits)
-    return own - top - np.log(logits.sum(axis=0))
+    return own - np.log(logits.sum(axis=0))
 
 
-def _slope(logits: np.ndarray, at: np.ndarray, scale: np.ndarray) -> np.ndarray:
+def _slope(logits: np.ndarray, small: bool, at: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Gradient of the negative log probability of one entry of each column, times ``scale``."""
-    logits -= logits.max(axis=0)
+    if not small:
+        logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
     logits *= scale / logits.sum(axis=0)
     logits[at, np.arange(len(at))] -= scale
@@ -155,13 +179,18 @@ def _blocks(classes: np.ndarray, shape: Shape) -> tuple[np.ndarray, list[tuple[i
 def log_probabilities(p: Params, shape: Shape, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of each id; of a tail word, that of its class. ``states`` is ``[unit, token]``."""
     classes = _class_of(ids, shape)
-    out = _chosen(p["classes"].T @ states + p["class_bias"][:, None], classes)
+    states = _with_one(states)
+    out = np.empty(len(ids), np.float32)
+    weights, small = _weights(p["classes"], p["class_bias"])
+    for at in range(0, len(ids), CACHED):
+        piece = slice(at, at + CACHED)
+        out[piece] = _chosen(weights @ states[:, piece], small, classes[piece])
     order, parts = _blocks(classes, shape)
-    some, inside = states[:, order], ids[order]
+    some, inside = np.take(states, order, axis=1), ids[order]
     found = np.empty(len(order), np.float32)
     for k, part in parts:
-        logits = p["words"][k].T @ some[:, part] + p["word_bias"][k][:, None]
-        found[part] = _chosen(logits, inside[part] - k * PER_CLASS)
+        weights, small = _weights(p["words"][k], p["word_bias"][k])
+        found[part] = _chosen(weights @ some[:, part], small, inside[part] - k * PER_CLASS)
     out[order] += found
     return out
 
@@ -198,51 +227,57 @@ class Trainer:
         ids = np.where(real, ids, 0)
         classes = _class_of(ids, shape)
         scale = (real / np.float32(count)).astype(np.float32)
-        d = _slope(p["classes"].T @ states + p["class_bias"][:, None], classes, scale)
-        grads = {"classes": states @ d.T, "class_bias": d.sum(axis=1)}
-        d_states = p["classes"] @ d
+        states = _with_one(states)
+        d_states = np.empty((size, len(ids)), np.float32)
+        weights, small = _weights(p["classes"], p["class_bias"])
+        found = np.zeros((size + 1, len(weights)), np.float32)
+        for at in range(0, len(ids), CACHED):
+            piece = slice(at, at + CACHED)
+            d = _slope(weights @ states[:, piece], small, classes[piece], scale[piece])
+            found += states[:, piece] @ d.T
+            d_states[:, piece] = p["classes"] @ d
+        grads = {"classes": found[:-1], "class_bias": found[-1]}
         d_words, d_word_bias = np.zeros_like(p["words"]), np.zeros_like(p["word_bias"])
         order, parts = _blocks(classes, shape)
-        some, inside, weight = states[:, order], ids[order], scale[order]
-        d_some = np.empty_like(some)
+        some, inside, weight = np.take(states, order, axis=1), ids[order], scale[order]
+        d_some = np.zeros((size, len(order) + 1), np.float32)  # the last place for tokens without a block
         for k, part in parts:
             s = some[:, part]
-            d = _slope(p["words"][k].T @ s + p["word_bias"][k][:, None], inside[part] - k * PER_CLASS, weight[part])
-            d_words[k], d_word_bias[k] = s @ d.T, d.sum(axis=1)
+            weights, small = _weights(p["words"][k], p["word_bias"][k])
+            d = _slope(weights @ s, small, inside[part] - k * PER_CLASS, weight[part])
+            found = s @ d.T
+            d_words[k], d_word_bias[k] = found[:-1], found[-1]
             d_some[:, part] = p["words"][k] @ d
-        d_states[:, order] += d_some
+        place = np.full(len(ids), len(order))
+        place[order] = np.arange(len(order))
+        d_states += np.take(d_some, place, axis=1)
         grads |= {"words": d_words, "word_bias": d_word_bias}
         steps, lanes = inputs.shape
         d_states = _by_step(d_states.reshape(size, steps, lanes))
         alive = (inputs != shape.start).astype(np.float32)
-        d_gates = np.empty((steps, 3 * size, lanes), np.float32)
-        d_inner, before_all = np.empty_like(d_gates), np.empty_like(d_states)
+        # By unit group: reset, update, new state as the inner product sees it, new state.
+        d_gates = np.empty((steps, 4, size, lanes), np.float32)
         carry = np.zeros_like(last)
         for t in range(steps - 1, -1, -1):
-            before, r, z, n, g = keep[t]
+            _, r, z, by_z, by_n, by_r = keep[t]
+            dr, dz, dg, dn = d_gates[t]
             carry += d_states[t]
-            dr, dz, dn = d_gates[t, :size], d_gates[t, size : 2 * size], d_gates[t, 2 * size :]
-            np.multiply(carry, z, out=dz)
-            np.subtract(carry, dz, out=dn)
-            dn *= 1 - n * n
-            kept = dz.copy()
-            dz *= before - n
-            dz *= 1 - z
-            np.multiply(dn, g, out=dr)
-            dr *= r
-            dr *= 1 - r
-            here = d_inner[t]
-            here[...] = d_gates[t]
-            here[2 * size :] *= r
-            before_all[t] = before
-            carry = p["inner"] @ here
-            carry += kept
+            np.multiply(carry, by_z, out=dz)
+            np.multiply(carry, by_n, out=dn)
+            np.multiply(dn, by_r, out=dr)
+            np.multiply(dn, r, out=dg)
+            carry *= z
+            carry += p["inner"] @ d_gates[t, :3].reshape(3 * size, lanes)
             carry *= alive[t]
-        d_inner, before_all, d_gates = _by_unit(d_inner), _by_unit(before_all), _by_unit(d_gates)
-        grads |= {"inner": before_all @ d_inner.T, "bias": d_gates.sum(axis=1)}
+        before_all = _by_unit(np.stack([k[0] for k in keep]))
+        d_gates = _by_unit(d_gates.reshape(steps, 4 * size, lanes))
+        grads |= {"inner": before_all @ d_gates[: 3 * size].T}
+        d_gates[2 * size : 3 * size] = d_gates[3 * size :]
+        d_gates = d_gates[: 3 * size]
+        grads["bias"] = d_gates.sum(axis=1)
         for k, g in grads.items():
             self.step(k, slice(None), np.clip(g, -1, 1))
-        tokens = inputs.ravel()
+        tokens = inputs.ravel().astype(np.intp)
         used = np.flatnonzero(np.bincount(tokens))
         summed = np.array([np.bincount(tokens, row)[used] for row in d_gates], np.float32)
         self.step("inputs", used, summed.T)
@@ -286,8 +321,9 @@ def score_documents(p: Params, shape: Shape, docs: list[np.ndarray]) -> np.ndarr
     inputs, targets, owner = inputs.T, targets.T, owner.T
     h = np.zeros((shape.hidden, lanes), np.float32)
     sums = np.zeros(len(docs) + 1)
-    for at in range(0, steps, WINDOW):
-        states, h = _states(p, np.ascontiguousarray(inputs[at : at + WINDOW]), h, shape.start)
-        found = log_probabilities(p, shape, states, targets[at : at + WINDOW].ravel())
-        sums += np.bincount(owner[at : at + WINDOW].ravel(), found, len(docs) + 1)
+    window = max(WINDOW, SCORED // lanes)
+    for at in range(0, steps, window):
+        states, h = _states(p, np.ascontiguousarray(inputs[at : at + window]), h, shape.start)
+        found = log_probabilities(p, shape, states, targets[at : at + window].ravel())
+        sums += np.bincount(owner[at : at + window].ravel(), found, len(docs) + 1)
     return sums[:-1]

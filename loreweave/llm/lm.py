@@ -23,6 +23,7 @@ runs from the first token to the end. Columns are taken by the given names only.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import zlib
 from collections.abc import Iterator
@@ -79,6 +80,28 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % gru.TAILS
 
 
+@functools.cache
+def _classes_of_endings() -> tuple[np.ndarray, np.ndarray]:
+    """``tail_class`` of each last byte, for words of one byte, and of each pair of last bytes."""
+    one = [tail_class(bytes([b])) for b in range(256)]
+    return np.array(one, np.int32), np.array([tail_class(bytes(pair)) for pair in itertools.product(range(256), repeat=2)], np.int32)
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """``tail_class`` of each of some binary words."""
+    one, two = _classes_of_endings()
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    sizes, out = np.diff(ends), np.full(len(words), tail_class(b""), np.int32)
+    if data:
+        data = np.frombuffer(data, np.uint8)
+        for least, of in ((1, one), (2, two)):
+            some = np.flatnonzero(sizes >= least)
+            last = data[ends[1:][some] - 1]
+            out[some] = of[last if least == 1 else data[ends[1:][some] - 2].astype(np.int32) * 256 + last]
+    return out
+
+
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """``word, tail, n`` over all documents."""
 
@@ -88,7 +111,7 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
                 words, tokens, _ = tokens_of(texts)
                 counts = np.bincount(tokens, minlength=len(words))
                 words, counts = words.take(pa.array(np.flatnonzero(counts))), counts[counts > 0]
-                tails = pa.array(map(tail_class, words.to_pylist()), pa.int32())
+                tails = pa.array(tail_classes(words))
                 yield pa.RecordBatch.from_arrays([words, tails, pa.array(counts)], ["word", "tail", "n"])
 
     counted = docs.select(text_col).mapInArrow(run, "word binary, tail int, n bigint")
@@ -116,7 +139,7 @@ def _known(v: Vocabulary, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     place = np.array(list(map(v.ids.get, names, itertools.repeat(-1))), np.int64)
     ids = v.token[place]
     away = np.flatnonzero(place < 0)
-    ids[away] = [v.shape.head + tail_class(names[i]) for i in away]
+    ids[away] = v.shape.head + tail_classes(words.take(pa.array(away)))
     return place, ids
 
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -147,6 +148,46 @@ def test_gru_state_runs_through_windows_and_not_across_documents():
     assert together[1] == pytest.approx(gru.log_probabilities(p, shape, states, texts[1]).sum(), rel=1e-4)
 
 
+def test_gru_scores_few_lanes_in_long_windows(monkeypatch):
+    """A single long document is not scored in as many windows as it has steps of training."""
+    shape, calls = gru.Shape(40), []
+    p = gru.initial(shape, np.ones(40), np.ones(gru.TAILS))
+    plain = gru.log_probabilities
+    monkeypatch.setattr(gru, "log_probabilities", lambda *args: calls.append(1) or plain(*args))
+    gru.score_documents(p, shape, [np.arange(4096, dtype=np.int32) % 40])
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("times", [1, 1000])
+def test_gru_probabilities_of_small_and_of_large_weights(times):
+    """Large weights need the shift before ``exp`` that small ones go without."""
+    rng = np.random.default_rng(4)
+    shape = gru.Shape(70)
+    p = gru.initial(shape, rng.integers(1, 90, 70), np.ones(gru.TAILS))
+    p |= {k: p[k] * np.float32(times) for k in ("classes", "words")}
+    ids = rng.integers(0, shape.start, 5000)
+    states = np.tanh(rng.standard_normal((shape.hidden, 5000))).astype(np.float32)
+
+    def softmax(weights, bias, at, some):
+        logits = weights.T.astype(float) @ some + bias[:, None]
+        logits -= logits.max(axis=0)
+        return logits[at, np.arange(len(at))] - np.log(np.exp(logits).sum(axis=0))
+
+    classes = gru._class_of(ids, shape)
+    wanted = softmax(p["classes"], p["class_bias"], classes, states)
+    for k in range(shape.blocks):
+        mine = np.flatnonzero(classes == k)
+        wanted[mine] += softmax(p["words"][k], p["word_bias"][k], ids[mine] - k * gru.PER_CLASS, states[:, mine])
+    assert np.allclose(gru.log_probabilities(p, shape, states, ids), wanted, rtol=1e-4, atol=1e-4)
+
+
+def test_lm_tail_classes():
+    words = [b"", b"a", b"\xff", b"ab", b"", b"word", "ü".encode(), b"\n"]
+    for some in (words, [], [b""]):
+        got = lm.tail_classes(pa.array([b"skipped", *some], pa.binary()).slice(1))
+        assert got.tolist() == [lm.tail_class(w) for w in some]
+
+
 # Language ID
 
 
