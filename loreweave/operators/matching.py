@@ -74,7 +74,8 @@ def occurrences(
     out = texts.limit(0).join(wanted.limit(0), F.lit(False))
     for words in _blocks(wanted.select(anchor).distinct(), characters):
         numbers = _numbers(spark.sparkContext.broadcast(_automaton(words)))
-        numbered = spark.createDataFrame(list(enumerate(words)), "_number int, _word string")
+        # As an Arrow table it needs no Python workers, which would stay beside those that walk the texts.
+        numbered = spark.createDataFrame(pa.table({"_number": pa.array(range(len(words)), pa.int32()), "_word": pa.array(words, pa.string())}))
         # Written down, so that Spark knows its size: else the texts would be shuffled by number, all that hold one to one task.
         asked = stage(wanted.join(numbered, F.col(anchor) == F.col("_word")).drop("_word"), "needles")
         found = texts.withColumn("_numbers", numbers(F.col(text)))

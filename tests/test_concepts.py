@@ -109,3 +109,13 @@ def test_tags_keep_rows_apart(spark):
     rows = tag_texts(texts, "id", "t", hints).collect()
     assert sorted((str(r.id), r.key) for r in rows) == [("1", "c"), ("1", "c"), ("None", "c")]
     assert tag_texts(texts, "id", "t", hints.limit(0)).count() == 0
+
+
+def test_tags_number_their_hints_without_python_rows(spark, monkeypatch):
+    """Hints go to Spark as Arrow tables; lists of rows take Python workers of their own, which stay beside the others."""
+    seen, plain = [], type(spark).createDataFrame
+    texts = spark.createDataFrame([(1, "a Small ring"), (2, None)], "id int, text string")
+    hints = spark.createDataFrame([("k", "small"), ("k", "ring"), ("l", "Ä")], "key string, hint string")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *args, **named: seen.append(data) or plain(self, data, *args, **named))
+    assert [tuple(r) for r in tag_texts(texts, "id", "text", hints).collect()] == [(1, "k")]
+    assert len(seen) == 1 and not isinstance(seen[0], list)
