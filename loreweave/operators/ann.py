@@ -60,8 +60,9 @@ def write_lists(assigned: DataFrame, path: str) -> None:
 
 
 def centroid_table(spark: SparkSession, centroids: np.ndarray) -> DataFrame:
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
-    return spark.createDataFrame(rows, "list_id int, centroid array<float>")
+    """``list_id, centroid``; as an Arrow table it needs no Python workers on the executors."""
+    rows = pa.array(centroids.astype("float32").tolist(), pa.list_(pa.float32()))
+    return spark.createDataFrame(pa.table({"list_id": pa.array(range(len(rows)), pa.int32()), "centroid": rows}))
 
 
 def search_lists(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -198,11 +199,9 @@ def similar_batch(
     size = wanted.agg(F.sum(F.size("query_vector")), F.max(F.size("query_vector"))).first()
     blocks = max(1, -(-(size[0] or 0) // block_floats))
     number = F.pmod(F.xxhash64("query_id", "query_vector"), F.lit(blocks))
-    partial = base.sparkSession.createDataFrame([], out)
-    for b in range(blocks):
-        rows = wanted.filter(number == b).toArrow()
-        if rows.num_rows:
-            partial = partial.union(_match_block(base, rows, size[1], k, out))
+    each = (wanted.filter(number == b).toArrow() for b in range(blocks))
+    found = [_match_block(base, rows, size[1], k, out) for rows in each if rows.num_rows]
+    partial = reduce(DataFrame.union, found) if found else base.sparkSession.createDataFrame([], out)
     order = (F.desc_nulls_last("similarity"), F.col("id"))
     return top_k(partial, ["query_id"], k, *order)
 

@@ -196,3 +196,18 @@ def test_texts_stay_where_they_are(spark):
     found = occurrences(rows, "t", needles, "a")
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.groupBy("k").count().orderBy("k").collect() == [(1, 3 * ROWS - 1), (2, 3 * ROWS - 1)]
+
+
+def test_lists_are_searched_without_python_rows(spark, monkeypatch):
+    """Neither centroids nor an empty start are lists of rows, which take Python workers of their own."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((60, 4)))]
+    vectors = spark.createDataFrame(rows, "id int, embedding array<float>")
+    queries = spark.createDataFrame(rows[:3], "query_id int, query_vector array<float>")
+    centroids = rng.standard_normal((5, 4))
+    seen, plain = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *args, **named: seen.append(data) or plain(self, data, *args, **named))
+    assert [tuple(r) for r in ann.centroid_table(spark, centroids).collect()] == [(i, [float(x) for x in c.astype("float32")]) for i, c in enumerate(centroids)]
+    found = ann.search_lists(ann.assign_lists(vectors, centroids), centroids, queries, 2, nprobe=5)
+    assert {(r.query_id, r.id) for r in found.filter("rank = 1").collect()} == {(0, 0), (1, 1), (2, 2)}
+    assert not [data for data in seen if isinstance(data, list)]
