@@ -92,57 +92,85 @@ def _by_unit(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values.transpose(1, 0, 2)).reshape(values.shape[1], -1)
 
 
-def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, keep: list | None = None):
+class Room:
+    """Arrays that are used again: what a step does costs less than fresh memory for its results."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *size: int, kind: type = np.float32) -> np.ndarray:
+        found = self.held.get(name)
+        if found is None or found.shape != size:
+            found = self.held[name] = np.empty(size, kind)
+        return found
+
+
+class Ready:
+    """The weights as the passes take them, and the room they work in.
+
+    The gates' weights are halved, as the logistic function is half a tanh of half its argument.
+    Outputs are ``[output, unit]`` for states with a last unit that is always one, whose weights
+    are biases. The greatest bias becomes 0, which changes no softmax; states lie between -1 and 1,
+    so every logit is at least minus the sum of its weights.
+    """
+
+    def __init__(self, p: Params, room: Room) -> None:
+        self.room, size = room, len(p["inner"])
+        self.table = room("table", 3 * size, len(p["inputs"]))
+        np.add(p["inputs"].T, p["bias"][:, None], out=self.table)
+        self.table[: 2 * size] *= 0.5
+        self.inner = np.ascontiguousarray(p["inner"].T)
+        self.inner[: 2 * size] *= 0.5
+        self.classes, self.words = _weights(p["classes"], p["class_bias"]), _weights(p["words"], p["word_bias"])
+
+
+def _states(p: Params, tokens: np.ndarray, h: np.ndarray, start: int, ready: Ready | None = None, keep: dict | None = None):
     """States after each of ``tokens[step, lane]``, as ``[unit, token]``, and the last one as ``[unit, lane]``.
 
     A start mark empties the state before it. Tokens come last everywhere, so
-    sums over units or classes run over rows of memory.
+    sums over units or classes run over rows of memory. ``keep`` gets what the way back needs.
     """
-    steps, lanes = tokens.shape
-    size = len(h)
-    gates = _by_step(np.take((p["inputs"] + p["bias"]).T, tokens.astype(np.intp), axis=1))
-    inner = np.ascontiguousarray(p["inner"].T)
-    alive = (tokens != start).astype(np.float32)
-    out = np.empty((steps, size, lanes), np.float32)
+    ready = ready or Ready(p, Room())
+    room, size, (steps, lanes) = ready.room, len(h), tokens.shape
+    at, empty = tokens.astype(np.intp), tokens == start
+    some = empty.any(axis=1)
+    out, inner = room("states", steps, size, lanes), room("inner", 3 * size, lanes)
+    gates, moved = room("gates", 1 if keep is None else steps, 3 * size, lanes), room("moved", size, lanes)
+    if keep is not None:
+        keep |= {"gates": gates, "before": room("before", steps, size, lanes), "inner": room("inner_n", steps, size, lanes)}
     for t in range(steps):
-        h = h * alive[t]
-        g = inner @ h
-        rz = gates[t, : 2 * size]
+        if some[t]:
+            h = h * ~empty[t]
+        g, gate = np.matmul(ready.inner, h, out=inner), gates[t % len(gates)]
+        np.take(ready.table, at[t], axis=1, out=gate, mode="clip")
+        rz, n = gate[: 2 * size], gate[2 * size :]
         rz += g[: 2 * size]
-        rz *= 0.5
         np.tanh(rz, out=rz)
         rz *= 0.5
         rz += 0.5
-        r, z = rz[:size], rz[size:]
-        n = gates[t, 2 * size :]
-        n += r * g[2 * size :]
-        np.tanh(n, out=n)
-        before, h = h, h - n
         if keep is not None:
-            # The new state's slopes in the update gate and in n, and n's in the reset gate.
-            left = 1 - z
-            keep.append((before, r, z, h * z * left, (1 - n * n) * left, r * (1 - r) * g[2 * size :]))
-        h *= z
+            keep["before"][t], keep["inner"][t] = h, g[2 * size :]
+        n += np.multiply(rz[:size], g[2 * size :], out=moved)
+        np.tanh(n, out=n)
+        h = np.subtract(h, n, out=out[t])
+        h *= rz[size:]
         h += n
-        out[t] = h
-    return _by_unit(out), h
+    return _by_unit(out), h.copy()
 
 
-def _with_one(states: np.ndarray) -> np.ndarray:
+def _with_one(states: np.ndarray, room: Room) -> np.ndarray:
     """``states`` with a last unit that is always one, whose weights are biases."""
-    out = np.empty((len(states) + 1, states.shape[1]), np.float32)
+    out = room("with one", len(states) + 1, states.shape[1])
     out[:-1] = states
     out[-1] = 1
     return out
 
 
 def _weights(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
-    """``[output, unit]`` for states with a one, and whether every logit is small; states lie between -1 and 1.
-
-    The greatest bias becomes 0, which changes no softmax, so its logit is at least minus the sum of its weights.
-    """
-    reach = np.abs(weights).sum(axis=0).max()
-    return np.concatenate([weights.T, (bias - bias.max())[:, None]], axis=1), bool(reach < REACH)
+    """Weights of ``Ready``, and whether every logit is small."""
+    reach = np.abs(weights).sum(axis=-2).max()
+    least = (bias - bias.max(axis=-1, keepdims=True))[..., None]
+    return np.concatenate([weights.swapaxes(-1, -2), least], axis=-1), bool(reach < REACH)
 
 
 def _chosen(logits: np.ndarray, small: bool, at: np.ndarray) -> np.ndarray:
@@ -176,22 +204,28 @@ def _blocks(classes: np.ndarray, shape: Shape) -> tuple[np.ndarray, list[tuple[i
     return order[: ends[-1]], parts
 
 
-def log_probabilities(p: Params, shape: Shape, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _inside(ready: Ready, states: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """Logits ``[place, token]`` of the words of each token's block."""
+    logits = np.empty((PER_CLASS, states.shape[1]), np.float32)
+    for k, part in parts:
+        np.matmul(ready.words[0][k], states[:, part], out=logits[:, part])
+    return logits
+
+
+def log_probabilities(p: Params, shape: Shape, states: np.ndarray, ids: np.ndarray, ready: Ready | None = None) -> np.ndarray:
     """Natural log probability of each id; of a tail word, that of its class. ``states`` is ``[unit, token]``."""
+    ready = ready or Ready(p, Room())
     classes = _class_of(ids, shape)
-    states = _with_one(states)
+    states = _with_one(states, ready.room)
     out = np.empty(len(ids), np.float32)
-    weights, small = _weights(p["classes"], p["class_bias"])
+    weights, small = ready.classes
     for at in range(0, len(ids), CACHED):
-        piece = slice(at, at + CACHED)
-        out[piece] = _chosen(weights @ states[:, piece], small, classes[piece])
+        some = states[:, at : at + CACHED]
+        logits = np.matmul(weights, some, out=ready.room("logits", len(weights), some.shape[1]))
+        out[at : at + CACHED] = _chosen(logits, small, classes[at : at + CACHED])
     order, parts = _blocks(classes, shape)
-    some, inside = np.take(states, order, axis=1), ids[order]
-    found = np.empty(len(order), np.float32)
-    for k, part in parts:
-        weights, small = _weights(p["words"][k], p["word_bias"][k])
-        found[part] = _chosen(weights @ some[:, part], small, inside[part] - k * PER_CLASS)
-    out[order] += found
+    logits = _inside(ready, np.take(states, order, axis=1), parts)
+    out[order] += _chosen(logits, ready.words[1], ids[order] % PER_CLASS)
     return out
 
 
@@ -202,6 +236,7 @@ class Trainer:
         self.p = {k: v.copy() for k, v in params.items()}
         self.shape = shape
         self.seen = {k: np.full_like(v, 1e-8) for k, v in params.items()}
+        self.room = Room()
 
     def stream(self, ids: np.ndarray, lanes: int = LANES, window: int = WINDOW) -> None:
         """Learns from documents that follow each other, each behind a start mark."""
@@ -218,74 +253,85 @@ class Trainer:
             h = self.window(inputs, table[at + 1 : at + 1 + len(inputs)], h)
 
     def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> np.ndarray:
-        p, shape, size = self.p, self.shape, self.shape.hidden
-        keep: list = []
-        states, last = _states(p, inputs, h, shape.start, keep)
+        p, shape, size, room = self.p, self.shape, self.shape.hidden, self.room
+        ready, keep = Ready(p, room), {}
+        states, last = _states(p, inputs, h, shape.start, ready, keep)
         ids = targets.ravel()
         real = ids != shape.start
         count = max(1, int(real.sum()))
         ids = np.where(real, ids, 0)
         classes = _class_of(ids, shape)
         scale = (real / np.float32(count)).astype(np.float32)
-        states = _with_one(states)
-        d_states = np.empty((size, len(ids)), np.float32)
-        weights, small = _weights(p["classes"], p["class_bias"])
-        found = np.zeros((size + 1, len(weights)), np.float32)
+        states, d_states = _with_one(states, room), room("d states", size, len(ids))
+        weights, small = ready.classes
+        found = np.zeros((len(weights), size + 1), np.float32)
         for at in range(0, len(ids), CACHED):
             piece = slice(at, at + CACHED)
-            d = _slope(weights @ states[:, piece], small, classes[piece], scale[piece])
-            found += states[:, piece] @ d.T
-            d_states[:, piece] = p["classes"] @ d
-        grads = {"classes": found[:-1], "class_bias": found[-1]}
-        d_words, d_word_bias = np.zeros_like(p["words"]), np.zeros_like(p["word_bias"])
+            some = states[:, piece]
+            logits = np.matmul(weights, some, out=room("logits", len(weights), some.shape[1]))
+            d = _slope(logits, small, classes[piece], scale[piece])
+            found += d @ some.T
+            np.matmul(p["classes"], d, out=d_states[:, piece])
+        grads = {"classes": found[:, :-1].T, "class_bias": found[:, -1]}
         order, parts = _blocks(classes, shape)
-        some, inside, weight = np.take(states, order, axis=1), ids[order], scale[order]
+        some = np.take(states, order, axis=1)
+        d = _slope(_inside(ready, some, parts), ready.words[1], ids[order] % PER_CLASS, scale[order])
+        found = np.zeros((shape.blocks, PER_CLASS, size + 1), np.float32)
         d_some = np.zeros((size, len(order) + 1), np.float32)  # the last place for tokens without a block
         for k, part in parts:
-            s = some[:, part]
-            weights, small = _weights(p["words"][k], p["word_bias"][k])
-            d = _slope(weights @ s, small, inside[part] - k * PER_CLASS, weight[part])
-            found = s @ d.T
-            d_words[k], d_word_bias[k] = found[:-1], found[-1]
-            d_some[:, part] = p["words"][k] @ d
+            np.matmul(d[:, part], some[:, part].T, out=found[k])
+            np.matmul(p["words"][k], d[:, part], out=d_some[:, part])
         place = np.full(len(ids), len(order))
         place[order] = np.arange(len(order))
-        d_states += np.take(d_some, place, axis=1)
-        grads |= {"words": d_words, "word_bias": d_word_bias}
-        steps, lanes = inputs.shape
-        d_states = _by_step(d_states.reshape(size, steps, lanes))
-        alive = (inputs != shape.start).astype(np.float32)
-        # By unit group: reset, update, new state as the inner product sees it, new state.
-        d_gates = np.empty((steps, 4, size, lanes), np.float32)
-        carry = np.zeros_like(last)
-        for t in range(steps - 1, -1, -1):
-            _, r, z, by_z, by_n, by_r = keep[t]
-            dr, dz, dg, dn = d_gates[t]
-            carry += d_states[t]
-            np.multiply(carry, by_z, out=dz)
-            np.multiply(carry, by_n, out=dn)
-            np.multiply(dn, by_r, out=dr)
-            np.multiply(dn, r, out=dg)
-            carry *= z
-            carry += p["inner"] @ d_gates[t, :3].reshape(3 * size, lanes)
-            carry *= alive[t]
-        before_all = _by_unit(np.stack([k[0] for k in keep]))
-        d_gates = _by_unit(d_gates.reshape(steps, 4 * size, lanes))
-        grads |= {"inner": before_all @ d_gates[: 3 * size].T}
-        d_gates[2 * size : 3 * size] = d_gates[3 * size :]
-        d_gates = d_gates[: 3 * size]
-        grads["bias"] = d_gates.sum(axis=1)
+        d_states += np.take(d_some, place, axis=1, out=room("d some", size, len(ids)), mode="clip")
+        grads |= {"words": found[:, :, :-1].swapaxes(1, 2), "word_bias": found[:, :, -1]}
+        d_gates = self.back(inputs == shape.start, d_states, keep)
+        # The state before sees the inner product of the new state, the token the new state itself.
+        grads["inner"] = np.matmul(keep["before"], d_gates[:, : 3 * size].transpose(0, 2, 1)).sum(axis=0)
+        tokens, row = inputs.ravel().astype(np.intp), room("row", *inputs.shape, kind=np.float64)
+        used = np.flatnonzero(np.bincount(tokens))
+        summed = np.empty((len(used), 3 * size))
+        for k, unit in enumerate([*range(2 * size), *range(3 * size, 4 * size)]):
+            row[...] = d_gates[:, unit]
+            summed[:, k] = np.bincount(tokens, row.ravel())[used]
+        grads["bias"] = summed.sum(axis=0)
         for k, g in grads.items():
             self.step(k, slice(None), np.clip(g, -1, 1))
-        tokens = inputs.ravel().astype(np.intp)
-        used = np.flatnonzero(np.bincount(tokens))
-        summed = np.array([np.bincount(tokens, row)[used] for row in d_gates], np.float32)
-        self.step("inputs", used, summed.T)
+        self.step("inputs", used, summed.astype(np.float32))
         return last
 
+    def back(self, empty: np.ndarray, d_states: np.ndarray, keep: dict) -> np.ndarray:
+        """``[step, unit, lane]``: gradients of the reset and update gate, the new state's inner product and the new state."""
+        (steps, lanes), size, room = empty.shape, self.shape.hidden, self.room
+        d_states, some = _by_step(d_states.reshape(size, steps, lanes)), empty.any(axis=1)
+        out, moved, product = room("d gates", steps, 4 * size, lanes), room("moved", size, lanes), room("product", size, lanes)
+        carry = np.zeros((size, lanes), np.float32)
+        for t in range(steps - 1, -1, -1):
+            r, z, n = keep["gates"][t].reshape(3, size, lanes)
+            dr, dz, dg, dn = out[t].reshape(4, size, lanes)
+            carry += d_states[t]
+            np.subtract(1, z, out=moved)
+            np.multiply(carry, moved, out=dn)
+            carry *= z
+            np.subtract(keep["before"][t], n, out=dz)
+            dz *= carry
+            dz *= moved
+            np.multiply(n, n, out=moved)
+            dn *= np.subtract(1, moved, out=moved)
+            np.multiply(dn, r, out=dg)
+            np.subtract(1, r, out=moved)
+            np.multiply(dg, moved, out=dr)
+            dr *= keep["inner"][t]
+            carry += np.matmul(self.p["inner"], out[t, : 3 * size], out=product)
+            if some[t]:
+                carry *= ~empty[t]
+        return out
+
     def step(self, k: str, at, g: np.ndarray) -> None:
-        self.seen[k][at] += g * g
-        self.p[k][at] -= RATE * g / np.sqrt(self.seen[k][at])
+        seen = self.seen[k][at]
+        seen += g * g
+        self.seen[k][at] = seen
+        self.p[k][at] -= RATE * g / np.sqrt(seen)
 
 
 def score_documents(p: Params, shape: Shape, docs: list[np.ndarray]) -> np.ndarray:
@@ -321,9 +367,9 @@ def score_documents(p: Params, shape: Shape, docs: list[np.ndarray]) -> np.ndarr
     inputs, targets, owner = inputs.T, targets.T, owner.T
     h = np.zeros((shape.hidden, lanes), np.float32)
     sums = np.zeros(len(docs) + 1)
-    window = max(WINDOW, SCORED // lanes)
+    window, ready = max(WINDOW, SCORED // lanes), Ready(p, Room())
     for at in range(0, steps, window):
-        states, h = _states(p, np.ascontiguousarray(inputs[at : at + window]), h, shape.start)
-        found = log_probabilities(p, shape, states, targets[at : at + window].ravel())
+        states, h = _states(p, np.ascontiguousarray(inputs[at : at + window]), h, shape.start, ready)
+        found = log_probabilities(p, shape, states, targets[at : at + window].ravel(), ready)
         sums += np.bincount(owner[at : at + window].ravel(), found, len(docs) + 1)
     return sums[:-1]

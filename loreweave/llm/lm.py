@@ -66,15 +66,21 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     coded = split.flatten().dictionary_encode()
     names, place = coded.dictionary, coded.indices.to_numpy()
-    owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
     real = np.append(pc.binary_length(names).to_numpy() > 0, True)[place]  # white space at an end leaves an empty word
-    place, sizes = place[real], np.bincount(owner[real], minlength=len(texts))
-    ends = np.cumsum(sizes + 1)
-    tokens = np.full(ends[-1] if len(ends) else 0, len(names), np.int64)
-    tokens[np.arange(len(place)) + np.repeat(np.arange(len(texts)), sizes)] = place
+    upto = np.concatenate([[0], np.cumsum(real, dtype=np.int32)])[split.offsets.to_numpy()]
+    ends = upto[1:] + np.arange(1, len(texts) + 1)
+    tokens = _with_marks(place[real], ends - 1, len(names), np.int64)
     return pa.concat_arrays([names.cast(pa.binary()), pa.array([END], pa.binary())]), tokens, ends
 
 
+def _with_marks(values: np.ndarray, at: np.ndarray, mark: int, kind: type) -> np.ndarray:
+    """``values`` with ``mark`` put in, at the places ``at`` of the result."""
+    out, own = np.full(len(values) + len(at), mark, kind), np.ones(len(values) + len(at), bool)
+    own[at] = False
+    out[own] = values
+    return out
+
+
 def tail_class(word: bytes) -> int:
     """Tail words are classed by their ending."""
     return zlib.crc32(word[-2:]) % gru.TAILS
@@ -120,11 +126,10 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What a task knows of the words: ids and counts of frequent ones, totals of the rest."""
+    """What a task knows of the words: names and counts of frequent ones, totals of the rest."""
 
     shape: gru.Shape
-    ids: dict[bytes, int]  # word to place
-    token: np.ndarray  # by place
+    words: pa.Array  # by count
     log_count: np.ndarray  # log10(count + 1), by place
     tokens: int
     types: int
@@ -133,14 +138,16 @@ class Vocabulary:
     head_counts: np.ndarray
 
 
-def _known(v: Vocabulary, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The place in the dictionary, -1 for none, and the token id of each word."""
-    names = words.to_pylist()
-    place = np.array(list(map(v.ids.get, names, itertools.repeat(-1))), np.int64)
-    ids = v.token[place]
-    away = np.flatnonzero(place < 0)
-    ids[away] = v.shape.head + tail_classes(words.take(pa.array(away)))
-    return place, ids
+def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """The place of each word, -1 for none."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy()
+
+
+def _ids(v: Vocabulary, words: pa.Array, place: np.ndarray | None = None) -> np.ndarray:
+    """The token id of each word; ``place`` is its place in the dictionary, if known."""
+    if place is None:
+        place = _places(words, v.words.slice(0, v.shape.head))
+    return np.where((place >= 0) & (place < v.shape.head), place, v.shape.head + tail_classes(words))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -156,25 +163,22 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if used + k > DICTIONARY:
             break
         least, used = at, used + k
-    frequent = counts.filter(bar >= least).select("word", "n").collect() if least is not None else []
-    frequent = sorted(((bytes(r["word"]), r["n"]) for r in frequent), key=lambda x: (-x[1], x[0]))
-    if not frequent:
-        frequent = [(END, 0)]
+    frequent = counts.filter(F.lit(False) if least is None else bar >= least).select("word", "n").toArrow()
+    frequent = frequent.sort_by([("n", "descending"), ("word", "ascending")])
+    words, often = frequent["word"].cast(pa.binary()).combine_chunks(), frequent["n"].to_numpy()
+    if not len(words):
+        words, often = pa.array([END], pa.binary()), np.zeros(1, np.int64)
     totals = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
     tail_tokens, tail_types = np.zeros(gru.TAILS), np.zeros(gru.TAILS)
     for r in totals:
         tail_tokens[r["tail"]], tail_types[r["tail"]] = r["n"], r["k"]
     tokens, types = int(tail_tokens.sum()), int(tail_types.sum())
-    shape = gru.Shape(min(gru.HEAD, len(frequent)))
-    for word, n in frequent[: shape.head]:
-        tail_tokens[tail_class(word)] -= n
-        tail_types[tail_class(word)] -= n > 0
-    words = [w for w, _ in frequent]
-    token = [i if i < shape.head else shape.head + tail_class(w) for i, w in enumerate(words)]
+    shape = gru.Shape(min(gru.HEAD, len(words)))
+    head, tails = often[: shape.head], tail_classes(words.slice(0, shape.head))
+    tail_tokens -= np.bincount(tails, head, gru.TAILS)
+    tail_types -= np.bincount(tails, head > 0, gru.TAILS)
     return Vocabulary(
-        shape, dict(zip(words, range(len(words)), strict=True)),
-        np.array([*token, 0], np.int32), np.log10(np.array([*(n for _, n in frequent), 0]) + 1.0),
-        tokens, types, tail_tokens, tail_types, np.array([n for _, n in frequent[: shape.head]], float),
+        shape, words, np.log10(np.append(often, 0) + 1.0), tokens, types, tail_tokens, tail_types, head.astype(float)
     )
 
 
@@ -201,9 +205,8 @@ def _train(docs: DataFrame, vocab, model, most: int | None = None) -> DataFrame:
             nonlocal seen, held, size
             if held and not (most and seen >= most):
                 words, tokens, ends = tokens_of(pa.concat_arrays(held))
-                ids = _known(v, words)[1][tokens]
-                stream = np.full(len(ids) + len(ends), v.shape.start, np.int32)
-                stream[np.arange(len(ids)) + np.repeat(np.arange(1, len(ends) + 1), np.diff(ends, prepend=0))] = ids
+                starts = np.concatenate([[0], ends[:-1]]) + np.arange(len(ends))
+                stream = _with_marks(_ids(v, words)[tokens], starts, v.shape.start, np.int32)
                 seen += len(stream)
                 trainer.stream(stream, *shape)
             held, size = [], 0
@@ -277,7 +280,7 @@ def _shares(docs: DataFrame, tokens: int) -> DataFrame:
         times = F.expr(f"cast(n div {shares} + if(share < n % {shares}, 1, 0) as int)")
         one = one.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).drop("n", "copy")
         dealt = dealt.join(equal, same, "left_anti").unionByName(one)
-    return dealt.repartition(shares, "share").sortWithinPartitions("share", "hash")
+    return dealt.repartitionById(shares, F.col("share").cast("int")).sortWithinPartitions("share", "hash")
 
 
 def train(docs: DataFrame, vocab, tokens: int) -> gru.Params:
@@ -337,7 +340,8 @@ def _score(docs: DataFrame, vocab, model) -> DataFrame:
             at = 0
             for texts in runs(batch.column(1), SCORED):
                 words, tokens, ends = tokens_of(texts)
-                place, ids = _known(v, words)
+                place = _places(words, v.words)
+                ids = _ids(v, words, place)
                 logs = v.log_count[place]
                 inside = one[ids] + np.where(ids >= v.shape.head, logs, 0)
                 starts = np.concatenate([[0], ends[:-1]])

@@ -181,6 +181,43 @@ def test_gru_probabilities_of_small_and_of_large_weights(times):
     assert np.allclose(gru.log_probabilities(p, shape, states, ids), wanted, rtol=1e-4, atol=1e-4)
 
 
+def test_gru_makes_weights_ready_once(monkeypatch):
+    """Scoring brings the outputs' weights into shape once, not for each window and block."""
+    shape, calls = gru.Shape(70), []
+    p = gru.initial(shape, np.ones(70), np.ones(gru.TAILS))
+    plain = gru._weights
+    monkeypatch.setattr(gru, "_weights", lambda *args: calls.append(1) or plain(*args))
+    gru.score_documents(p, shape, [np.arange(50_000, dtype=np.int32) % 70])
+    assert len(calls) == 2
+
+
+def test_lm_shares_go_to_a_task_each(spark, monkeypatch):
+    """No task trains two shares, one behind the other, while another has none."""
+    monkeypatch.setattr(lm, "SHARE", 100)
+    rows = spark.range(2000).select(F.xxhash64("id").alias("hash"), F.col("id").cast("string").alias("text"))
+    got = lm._shares(rows, 4000).groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("share").alias("n")).collect()
+    assert len(got) == 40 and all(r.n == 1 for r in got)
+
+
+def test_lm_ids_of_words(spark):
+    """Frequent words have ids of their own, by count and then by name; all others that of their ending."""
+    words = [f"w{i % (i // 7 + 1)}" for i in range(20_000)] + [f"x{i}" for i in range(1500)]
+    v = lm.vocabulary(lm.count_words(docs(spark, list(enumerate(words))), "text"))
+    counts = Counter(w.encode() for w in words) + Counter({lm.END: len(words)})
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    assert v.words.to_pylist() == order and (v.tokens, v.types) == (2 * len(words), len(counts))
+    assert v.shape.head == 1024 < len(order) and v.head_counts.tolist() == [counts[w] for w in order[:1024]]
+    assert np.allclose(v.log_count, [*(np.log10(counts[w] + 1) for w in order), 0])
+    names = [*order[1020:1030], b"unseen", lm.END, b""]
+    place = lm._places(pa.array(names, pa.binary()), v.words)
+    assert place.tolist() == [order.index(w) if w in order else -1 for w in names]
+    wanted = [order.index(w) if w in order[:1024] else 1024 + lm.tail_class(w) for w in names]
+    for known in (None, place):
+        assert lm._ids(v, pa.array(names, pa.binary()), known).tolist() == wanted
+    tails = Counter(lm.tail_class(w) for w in order[1024:])
+    assert v.tail_types.tolist() == [tails[k] for k in range(gru.TAILS)]
+
+
 def test_lm_tail_classes():
     words = [b"", b"a", b"\xff", b"ab", b"", b"word", "ü".encode(), b"\n"]
     for some in (words, [], [b""]):
